@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, secrets
+from . import bpe, exact_dedup, mixing, secrets
 
-MODULES = (exact_dedup, mixing, secrets)
+MODULES = (bpe, exact_dedup, mixing, secrets)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
