@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, mixing, secrets
+from . import bpe, exact_dedup, mixing, secrets, vector_search, warc
+from .work import shipped
 
-MODULES = (bpe, exact_dedup, mixing, secrets)
-QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
+MODULES = (bpe, exact_dedup, vector_search, warc, mixing, secrets)
+QUERIES = {name: shipped(f) for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}

@@ -5,6 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,3 +54,26 @@ def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, t
         marked.where(F.col("_hot")).drop("_hot").join(F.broadcast(hot), keys, "left")
         .unionByName(marked.where(F.col("_hot").isNull()).drop("_hot").join(rest, keys, "left"))
     )
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package; once for each Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_crosslane_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="spark-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._crosslane_shipped = True
+
+
+def shipped(query: Callable) -> Callable:
+    @wraps(query)
+    def run(spark: SparkSession, *rest):
+        ship(spark)
+        return query(spark, *rest)
+
+    return run
