@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .work import with_group, written
+from .work import with_group, with_row_keys, written
 
 INDEX_BUCKETS = 32
 
@@ -76,10 +76,9 @@ def deduplicate(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: s
 
 def kept_rows(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is new, with all their columns."""
-    name = f"_n{uuid.uuid4().hex[:8]}"
-    numbered = written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
-    judged = deduplicate(numbered.select(F.col(name).alias("_id"), F.col(text_col).alias("_text"), F.col(id_col).alias("_doc")).withColumn("_key", F.struct(F.col("_doc").isNull().alias("n"), F.col("_doc"), F.col("_id"))), index, "_key", "_text")
-    return numbered.join(judged.where("kept").select(F.col("_key._id").alias(name)), name, "left_semi").drop(name)
+    numbered, name = with_row_keys(docs, id_col)
+    judged = deduplicate(numbered.select(F.col(name), F.col(f"`{text_col}`").alias("_text")), index, name, "_text")
+    return numbered.join(judged.where("kept").select(name), name, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def new_index_name() -> str:

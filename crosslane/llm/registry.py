@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, exact_dedup, licenses, mixing, secrets, vector_search, warc
+from . import bpe, chat, exact_dedup, jaccard_join, licenses, mixing, secrets, toxicity, vector_search, warc
 from .work import shipped
 
-MODULES = (bpe, licenses, exact_dedup, vector_search, warc, chat, mixing, secrets)
+MODULES = (bpe, toxicity, jaccard_join, licenses, exact_dedup, vector_search, warc, chat, mixing, secrets)
 QUERIES = {name: shipped(f) for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}

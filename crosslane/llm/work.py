@@ -40,6 +40,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_keys(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """``docs``, written, with a key for each row that sorts by id (null last) and tells repeated ids apart; the key's name."""
+    name = f"_key_{uuid.uuid4().hex[:8]}"
+    one = F.col(f"`{id_col}`")
+    return written(docs.withColumn(name, F.struct(one.isNull().alias("none"), one.alias("id"), F.monotonically_increasing_id().alias("row"))), "rows"), name
+
+
 def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
     """Left join of ``rows`` with one row of ``groups`` for each key, which holds its number of rows in ``size``.
 
