@@ -38,18 +38,22 @@ def rewritten(name: Column, language: Column) -> Column:
     for lang, rules in RULES.items():
         start = state(F.lower(F.trim(name)), no_labels, F.lit(False))
 
-        def one(acc: Column, _: Column, rules: tuple = rules) -> Column:
-            made = acc
-            for label, pattern, replacement, final in reversed(rules):
-                to = F.lower(F.trim(F.regexp_replace(acc["name"], pattern, replacement)))
-                made = F.when(acc["name"].rlike(pattern), state(to, F.concat(acc["labels"], F.array(F.lit(label))), F.lit(final))).otherwise(made)
-            return F.when(acc["done"], acc).otherwise(made)
-
-        out = out.when(language == lang, F.aggregate(F.sequence(F.lit(1), F.lit(PASSES)), start, one))
+        out = out.when(language == lang, F.aggregate(F.sequence(F.lit(1), F.lit(PASSES)), start, _pass(rules, state)))
     kept = out.otherwise(state(name, no_labels, F.lit(True)))
     return F.struct(kept["name"].alias("name"), kept["labels"].alias("labels"))
 
 
+def _pass(rules: tuple, state):
+    def one(acc: Column, _: Column) -> Column:
+        made = acc
+        for label, pattern, replacement, final in reversed(rules):
+            to = F.lower(F.trim(F.regexp_replace(acc["name"], pattern, replacement)))
+            made = F.when(acc["name"].rlike(pattern), state(to, F.concat(acc["labels"], F.array(F.lit(label))), F.lit(final))).otherwise(made)
+        return F.when(acc["done"], acc).otherwise(made)
+
+    return one
+
+
 def language_of(country: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for p in LANGUAGES.items() for x in p]), F.upper(country))
 

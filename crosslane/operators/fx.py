@@ -30,7 +30,7 @@ def as_of(df: DataFrame, rates: DataFrame, currency: str, day: str, out: str) ->
 
 def converted(amount: Column, from_ccy: Column, to_ccy: Column, from_rate: Column, to_rate: Column) -> Column:
     """``amount`` in the other currency through the base one, half-even to ten decimals; unchanged in the same one; null without a rate."""
-    through = F.try_divide(amount.cast("decimal(18,6)") * to_rate, from_rate.cast("decimal(18,10)"))
+    through = F.try_divide((amount.cast("decimal(24,12)") * to_rate).cast("decimal(30,14)"), from_rate.cast("decimal(18,10)"))
     return F.when(from_ccy == to_ccy, amount.cast("decimal(38,10)")).otherwise(F.bround(through, 10).cast("decimal(38,10)"))
 
 

@@ -50,9 +50,8 @@ def lane_index(records: DataFrame, policies: DataFrame, profiles: DataFrame, rat
     r = parsed(r.select(*records.columns, *lane_semantics(), "plausibility")).where("strength_price is not null")
     # One date for all countries: the latest snapshot.
     if fx_date is None:
-        r = r.join(F.broadcast(records.agg(F.max("snapshot_date").alias("fx_date"))), how="inner")
-    else:
-        r = r.withColumn("fx_date", fx_date)
+        fx_date = F.lit(records.agg(F.max("snapshot_date")).first()[0])
+    r = r.withColumn("fx_date", fx_date.cast("date"))
     r = to_base(r, rates, amount="price_amount", currency="price_currency", day="fx_date")
     eur = per_strength(per_unit(F.col("amount_eur"), F.col("pack_units")), F.col("strength_value"))
     kind = product_type(F.col("product_name"), F.col("canonical_inn"))

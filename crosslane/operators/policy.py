@@ -102,11 +102,15 @@ def conditional_parameters(parameters: Column, branches: list[tuple[dict, dict]]
     out = None
     for when, values in branches:
         over = F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
-        merged = F.map_concat(F.map_filter(parameters, lambda k, v, values=values: ~k.isin(*values)), over)
+        merged = F.map_concat(_without(parameters, list(values)), over)
         out = F.when(condition(when), merged) if out is None else out.when(condition(when), merged)
     return parameters if out is None else out.otherwise(parameters)
 
 
+def _without(parameters: Column, names: list[str]) -> Column:
+    return F.map_filter(parameters, lambda k, v: ~k.isin(*names))
+
+
 def _num(c: Column) -> Column:
     return F.replace(c, F.lit(","), F.lit(".")).try_cast("decimal(18,6)")
 

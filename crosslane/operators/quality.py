@@ -117,13 +117,14 @@ def broken(df: DataFrame, rules: dict[str, Column], id_col: str = "id") -> DataF
     return df.select(F.col(id_col), F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))).alias("rule"))
 
 
-#: Constraints of a price record: what must not hold.
-RECORD_RULES = {
-    "currency is not an ISO code": ~F.col("price_currency").rlike("^[A-Z]{3}$"),
-    "country is not two letters": F.length("country_code") != 2,
-    "price is negative": F.col("price_amount") < 0,
-    "product name is empty": F.trim("product_name") == "",
-}
+def record_rules() -> dict[str, Column]:
+    """Constraints of a price record: what must not hold."""
+    return {
+        "currency is not an ISO code": ~F.col("price_currency").rlike("^[A-Z]{3}$"),
+        "country is not two letters": F.length("country_code") != 2,
+        "price is negative": F.col("price_amount") < 0,
+        "product name is empty": F.trim("product_name") == "",
+    }
 
 
 def route_anomalies(anomalies: DataFrame) -> DataFrame:

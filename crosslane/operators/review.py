@@ -68,8 +68,7 @@ def usability_counts(reviews: DataFrame) -> DataFrame:
 
 def first_listing(reviews: DataFrame, most: int = 100) -> DataFrame:
     """The first rows by id, each with the number of rows that are left out."""
-    total = reviews.agg(F.count("*").alias("_n"))
-    return reviews.orderBy("id").limit(most).crossJoin(F.broadcast(total)).withColumn("omitted", F.greatest(F.lit(0), F.col("_n") - most)).drop("_n")
+    return reviews.orderBy("id").limit(most).withColumn("omitted", F.lit(max(0, reviews.count() - most)))
 
 
 def current(assessments: DataFrame) -> DataFrame:

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from .plans.queries import ORACLE as ORACLE_SQL
+from .plans.queries import QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
