@@ -28,6 +28,8 @@ from .work import with_group, with_row_keys, written
 WIDTH, NUM, DEN = 4, 85, 100
 #: Cells and rows of the sketch of shingle frequencies, cells of one stored piece of it.
 CELLS, ROWS, PIECE = 1 << 22, 2, 1 << 16
+#: Share of a text's shingles that its prefix holds beyond what may be missing from an overlap.
+SPARE_NUM, SPARE_DEN = 1, 20
 #: Most shingles in a block that is searched at once; larger ones are searched tile by tile.
 BLOCK_SHINGLES = 4_000_000
 #: Bits of the filter of texts that are in a block; set keys that a task remembers.
@@ -70,9 +72,9 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
             if n:
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(sizes), pa.int64()), pa.array(np.concatenate(keys), pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=["id", "n", "key", "piece", "counts"])
         if some:
-            whole = np.concatenate(counts)
-            for k in range(len(whole) // PIECE):
-                part = whole[k * PIECE : (k + 1) * PIECE]
+            for k in range(ROWS * CELLS // PIECE):
+                row, at = divmod(k * PIECE, CELLS)
+                part = counts[row][at : at + PIECE]
                 if part.any():
                     yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["id", "n", "key", "piece", "counts"])
 
@@ -111,6 +113,14 @@ def missing_at_most(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return n - -(-n * num // den)
 
 
+def kept_back(n):
+    """Of its rarest shingles, how many a text of n shingles has in its prefix beyond the one that a link needs at least.
+
+    A linked pair then shares so many listed shingles as the smaller of the two keeps back; a text that has company in
+    fewer lists than the smallest text it could link with keeps back has no link. A passage in common seldom gives as many."""
+    return np.maximum(1, n * SPARE_NUM // SPARE_DEN)
+
+
 def _postings(docs: DataFrame, width: int, num: int, den: int, levels) -> DataFrame:
     """(token, key, n): the rarest shingles of each set, in the order of level and hash, that the prefix holds."""
 
@@ -135,33 +145,47 @@ def _postings(docs: DataFrame, width: int, num: int, den: int, levels) -> DataFr
                 hashes, owner = hashes[order], owner[order]
                 kept = np.where(fresh, sizes, 0)
                 place = np.arange(len(owner)) - np.repeat(np.cumsum(kept) - kept, kept)
-                head = place <= missing_at_most(sizes, num, den)[owner]
+                head = place < (missing_at_most(sizes, num, den) + kept_back(sizes))[owner]
                 yield pa.RecordBatch.from_arrays([pa.array(hashes[head].view(_SIGNED)), pa.array(keys[owner[head]]), pa.array(sizes[owner[head]], pa.int64())], names=["token", "key", "n"])
 
     return docs.select(docs.columns[1]).mapInArrow(run, "token long, key long, n long")
 
 
 def _chains(postings: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): each set of an inverted list with the first one of its stretch; a stretch ends where sizes are too far apart to link."""
+    """(a, b, c): each set of an inverted list with the first one of its stretch, and with null b, in how many lists the set
+    has company. A stretch ends where sizes are too far apart to link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # token, size and head of the stretch so far
+        last = None  # token, size, set, head and length of the stretch so far
         for batch in batches:
             token, key, n = (c.to_numpy() for c in batch.columns)
+            again = np.zeros(len(token), bool)  # a set that several tasks have listed
+            again[1:] = (token[1:] == token[:-1]) & (key[1:] == key[:-1])
+            if last and len(token):
+                again[0] = last[0] == token[0] and last[2] == key[0]
+            token, key, n = token[~again], key[~again], n[~again]
             if not len(token):
                 continue
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (n[:-1] * den < num * n[1:])
-            head = key[np.maximum.accumulate(np.where(new, np.arange(len(token)), 0))]
+            start = np.flatnonzero(new)
+            size = np.diff(np.append(start, len(token)))
+            head = np.repeat(key[start], size)
+            company = np.repeat(size > 1, size)
+            single = []
             if last and last[0] == token[0] and last[1] * den >= num * n[0]:
-                until = np.flatnonzero(new[1:])
-                head[: until[0] + 1 if len(until) else len(head)] = last[2]
-            last = (token[-1], n[-1], head[-1])
+                head[: size[0]], company[: size[0]] = last[3], True
+                single = [last[3]] if last[4] == 1 else []
+                size[0] += last[4]
+            last = (token[-1], n[-1], key[-1], head[-1], size[-1])
             edge = head != key
             pairs = np.unique(np.column_stack([key[edge], head[edge]]), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            has, times = np.unique(np.concatenate([key[company], np.array(single, key.dtype)]), return_counts=True)
+            b = pa.concat_arrays([pa.array(pairs[:, 1]), pa.nulls(len(has), pa.int64())])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([pairs[:, 0], has])), b, pa.array(np.concatenate([np.zeros(len(pairs), np.int64), times]))], names=["a", "b", "c"])
 
-    return postings.repartition("token").sortWithinPartitions("token", "n", "key").mapInArrow(run, "a long, b long").groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_")
+    listed = postings.repartition("token").sortWithinPartitions("token", "n", "key")
+    return listed.mapInArrow(run, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -319,17 +343,24 @@ def linked_sets(docs: DataFrame, profiles: DataFrame, width: int, num: int, den:
     """(key, root) of the sets that link with another one; ``docs`` has the columns id and text."""
     spark = docs.sparkSession
     levels = spark.sparkContext.broadcast(_levels(profiles.where(F.col("piece").isNotNull())))
-    coarse = components(_chains(_postings(docs, width, num, den, levels), num, den))
-    bits = spark.sparkContext.broadcast(_filter(coarse))
-    sets = _sets(docs, width, bits).dropDuplicates(["key"]).join(coarse, "key")
-    sets = written(sets, "sets")
-    tiles = sets.groupBy("root").agg(F.sum("n").alias("all")).where(F.col("all") > BLOCK_SHINGLES).select("root", F.ceil(2 * F.col("all") / BLOCK_SHINGLES).cast("int").alias("m"))
-    tiles = written(tiles, "tiles")
-    if not tiles.limit(1).count():
+    chains = written(_chains(_postings(docs, width, num, den, levels), num, den), "chains")
+    coarse = components(chains.where("b is not null").select("a", "b"))
+    size = profiles.where("n > 0").groupBy("key").agg(F.max("n").alias("n"))
+    # The smallest text that a set of n can link with has n * num / den shingles, rounded up.
+    # Only sets with enough company are worth comparing, and only with another such set of their block.
+    least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * num / den) * SPARE_NUM / SPARE_DEN))
+    able = chains.where("b is null").select(F.col("a").alias("key"), "c").join(size, "key").where(F.col("c") >= least).join(coarse, "key").select("key", "n", "root")
+    able = written(able, "able")
+    blocks = able.groupBy("root").agg(F.count("*").alias("sets"), F.sum("n").alias("all")).where("sets > 1")
+    wanted = written(able.join(blocks, "root").select("key", "root", F.ceil(2 * F.col("all") / BLOCK_SHINGLES).cast("int").alias("m"), (F.col("all") > BLOCK_SHINGLES).alias("large")), "wanted")
+    bits = spark.sparkContext.broadcast(_filter(wanted))
+    sets = _sets(docs, width, bits).dropDuplicates(["key"]).join(wanted, "key")
+    if not wanted.where("large").limit(1).count():
         return components(_search(sets.withColumns({"i": F.lit(0), "j": F.lit(0)}), num, den))
     # A large block is dealt to parts; every two parts meet in a tile.
-    dealt = sets.join(tiles, "root", "left").withColumn("p", F.pmod(F.xxhash64("key"), F.coalesce("m", F.lit(1))).cast("int"))
-    meets = dealt.withColumn("q", F.explode(F.sequence(F.lit(0), F.coalesce("m", F.lit(1)) - 1)))
+    parts = F.when(F.col("large"), F.col("m")).otherwise(1)
+    dealt = sets.withColumn("m", parts).withColumn("p", F.pmod(F.xxhash64("key"), F.col("m")).cast("int"))
+    meets = dealt.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     blocks = meets.withColumns({"i": F.least("p", "q"), "j": F.greatest("p", "q")})
     return components(_search(blocks, num, den))
 
