@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .policy import small
-
 RATE = "from_ccy string, to_ccy string, rate_date date, rate decimal(18,10), source_url string, stored_at timestamp"
 BASE = "EUR"
 
@@ -25,7 +23,7 @@ def as_of(df: DataFrame, rates: DataFrame, currency: str, day: str, out: str) ->
     r = rate_intervals(rates).select(F.col("to_ccy").alias("_ccy"), F.col("rate").alias("_rate"), "since", "until")
     on = (F.col(currency) == F.col("_ccy")) & (F.col("since") <= F.col(day)) & (F.col("until").isNull() | (F.col(day) < F.col("until")))
     rate = F.when(F.col(currency) == BASE, F.lit(1).cast("decimal(18,10)")).otherwise(F.col("_rate"))
-    return df.join(small(r), on, "left").withColumn(out, rate).drop("_ccy", "_rate", "since", "until")
+    return df.join(r, on, "left").withColumn(out, rate).drop("_ccy", "_rate", "since", "until")
 
 
 def converted(amount: Column, from_ccy: Column, to_ccy: Column, from_rate: Column, to_rate: Column) -> Column:

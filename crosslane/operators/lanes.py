@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from ..functions.molecules import product_type
 from ..functions.scalars import parse_pack, parse_strength, per_strength, per_unit, plain_decimal
 from .fx import to_base
-from .policy import lane_semantics, policy_gate, small, valid_policy
+from .policy import lane_semantics, policy_gate, valid_policy
 from .quality import data_gate
 
 LANE, IDENTITY = ["comparison_category", "vat_position", "margin_position"], ["canonical_inn", "strength_value", "strength_unit", "form_class", "route"]
@@ -46,7 +46,7 @@ def lane_index(records: DataFrame, policies: DataFrame, profiles: DataFrame, rat
     keep = ["country_code", "snapshot_date", "price_type"]
     on = [k for k in keep if k in profiles.columns]
     prof = profiles.select(*on, "population_rate", F.col("assessment").alias("plausibility"), F.lit(True).alias("_there"))
-    r = r.join(small(prof), on, "left").withColumn("_d", data_gate(assessment="plausibility")).where("not _d.blocked")
+    r = r.join(prof, on, "left").withColumn("_d", data_gate(assessment="plausibility")).where("not _d.blocked")
     r = parsed(r.select(*records.columns, *lane_semantics(), "plausibility")).where("strength_price is not null")
     # One date for all countries: the latest snapshot.
     if fx_date is None:

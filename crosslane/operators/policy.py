@@ -25,7 +25,8 @@ DERIVED = "derived_ex_factory"
 
 
 def small(df: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
-    """``df`` marked for broadcast if a count shows that it is small."""
+    """A dimension marked for broadcast if a count shows that it is small. Not for frames derived from records: counting
+    those would run their plan twice, and adaptive execution broadcasts them by their actual size."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
@@ -42,7 +43,7 @@ def valid_policy(asked: DataFrame, policies: DataFrame) -> DataFrame:
     ok = (F.col("_p.effective_from") <= F.col("snapshot_date")) & (F.col("_p.effective_to").isNull() | (F.col("snapshot_date") <= F.col("_p.effective_to")))
     hit = d.join(small(p), (F.col("_cc") == F.col("country_code")) & (F.col("_pt") == F.col("price_type")) & ok)
     best = hit.groupBy(*keys).agg(F.max_by("_p", F.struct("_p.effective_from", "_p.authored_at", "_p.id")).alias("policy"))
-    return asked.join(small(best), keys, "left")
+    return asked.join(best, keys, "left")
 
 
 def policy_gate(policy: str = "policy") -> Column:
@@ -162,7 +163,7 @@ def virtual_lanes(records: DataFrame, policies: DataFrame, branches: dict[str, l
     )
     there = records.select(F.col("country_code").alias("_cc"), F.col("snapshot_date"), F.col("price_type").alias("_target")).distinct()
     hit = records.join(small(edges), (F.col("_cc") == F.col("country_code")) & (F.col("_source") == F.col("price_type")))
-    hit = hit.join(small(there), ["_cc", "snapshot_date", "_target"], "left_anti")
+    hit = hit.join(there, ["_cc", "snapshot_date", "_target"], "left_anti")
     params = F.col("_params")
     for policy_id, some in (branches or {}).items():
         params = F.when(F.col("policy_id") == policy_id, conditional_parameters(F.col("_params"), some)).otherwise(params)

@@ -31,7 +31,7 @@ def _off_ties(sql: str) -> str:
     return out + sql[at:]
 
 
-_OFFSET = {2: "3e-9", 4: "3e-9", 6: "3e-9"}
+_OFFSET = {2: "3.14159265e-9", 4: "3.14159265e-9", 6: "3.14159265e-9"}
 
 
 def query(sql: str | None = None):
@@ -55,7 +55,7 @@ def query(sql: str | None = None):
 
 
 _DATED = {
-    "snapshot_date": ("policy_gate_by_lane", "price_profiles", "snapshot_status", "currency_profiles", "date_profiles", "skipped_lanes", "comparison_readiness"),
+    "snapshot_date": ("policy_gate_by_lane", "price_profiles", "snapshot_status", "currency_profiles", "date_profiles", "skipped_lanes", "comparison_readiness", "snapshot_states"),
     "price_date": ("duplicate_clusters",),
 }
 
@@ -264,7 +264,7 @@ def product_types(spark, d):
 _LANES = f"""{_JOINED}, r AS (SELECT 'EUR' AS ccy, DATE '1900-01-01' AS since, 1.0 AS rate UNION ALL SELECT * FROM fx),
 days AS (SELECT DISTINCT snapshot_date FROM obs), rate AS (SELECT snapshot_date, ccy, max_by(rate, since) AS r FROM days JOIN r ON since <= snapshot_date GROUP BY ALL),
 ok AS (SELECT * FROM gated WHERE category <> 'not_comparable' AND price_amount > 0 AND pack_units > 0),
-c AS (SELECT a.id AS id_a, b.id AS id_b, a.snapshot_date, a.country_code AS country_code_a, b.country_code AS country_code_b, a.price_currency AS ca, b.price_currency AS cb, CAST(a.price_amount AS DOUBLE) / a.pack_units / a.strength_value AS va, CAST(b.price_amount AS DOUBLE) / b.pack_units / b.strength_value AS vb
+c AS (SELECT a.id AS id_a, b.id AS id_b, a.snapshot_date, a.country_code AS country_code_a, b.country_code AS country_code_b, a.price_currency AS ca, b.price_currency AS cb, a.pack_units AS pa, b.pack_units AS pb, a.policy_id AS pola, b.policy_id AS polb, a.confidence AS confa, b.confidence AS confb, a.price_type AS pta, b.price_type AS ptb, a.price_amount AS amounta, b.price_amount AS amountb, a.inn AS inn, CAST(a.price_amount AS DOUBLE) / a.pack_units / a.strength_value AS va, CAST(b.price_amount AS DOUBLE) / b.pack_units / b.strength_value AS vb
   FROM ok a JOIN ok b ON a.category = b.category AND a.inn = b.inn AND a.dosage_form = b.dosage_form AND a.strength_value = b.strength_value AND a.snapshot_date = b.snapshot_date AND a.country_code < b.country_code)"""
 
 
@@ -273,16 +273,18 @@ def _candidate_records(spark: SparkSession, d: str) -> DataFrame:
     o = _records(spark, d)
     g = valid_policy(o, s.policies(spark)).withColumn("_g", policy_gate()).where("not _g.blocked")
     r = lanes.parsed(g.select(*o.columns, *lane_semantics())).where("strength_price is not null")
-    return r.withColumns({"attributes": F.array().cast("array<string>"), "form_confidence": F.lit("strong"), "atc_code": F.lit(None).cast("string")})
+    codes = molecules.dictionary(s.atc(spark)).select(F.col("name").alias("canonical_inn"), F.col("codes")[0].alias("atc_code"))
+    r = r.join(policy.small(codes), "canonical_inn", "left")
+    return r.withColumns({"attributes": F.array().cast("array<string>"), "form_confidence": F.lit("strong"), "profile_id": F.concat_ws("-", "country_code", F.year("snapshot_date"), "price_type")})
 
 
-@query(f"""WITH {_LANES} SELECT id_a, id_b, 'medium' AS identity_confidence, round(va / (vb / rb.r * ra.r), 4) AS price_ratio FROM c JOIN rate ra ON ra.ccy = ca AND ra.snapshot_date = c.snapshot_date JOIN rate rb ON rb.ccy = cb AND rb.snapshot_date = c.snapshot_date""")
+@query(f"""WITH {_LANES} SELECT id_a, id_b, CASE WHEN pa = pb THEN 'exact' ELSE 'high' END AS identity_confidence, round(va / CASE WHEN ca = cb THEN vb ELSE ROUND(vb / rb.r * ra.r, 10) END, 4) AS price_ratio FROM c JOIN rate ra ON ra.ccy = ca AND ra.snapshot_date = c.snapshot_date JOIN rate rb ON rb.ccy = cb AND rb.snapshot_date = c.snapshot_date""")
 def candidate_pairs(spark, d):
     c = candidates.candidates(_candidate_records(spark, d), s.rates(spark), same_quarter=True)
     return c.select("id_a", "id_b", "identity_confidence", _d(F.col("price_ratio"), 4).alias("price_ratio"))
 
 
-@query(f"""WITH {_LANES} SELECT country_code_a, country_code_b, 'medium' AS identity_confidence, count(*) AS n FROM c GROUP BY ALL""")
+@query(f"""WITH {_LANES} SELECT country_code_a, country_code_b, CASE WHEN pa = pb THEN 'exact' ELSE 'high' END AS identity_confidence, count(*) AS n FROM c GROUP BY ALL""")
 def candidate_summary(spark, d):
     c = candidates.candidates(_candidate_records(spark, d), s.rates(spark), same_quarter=True)
     return candidates.candidate_summary(c)[0].drop("n_ratio")

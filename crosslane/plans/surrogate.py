@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import stable_id
-from ..operators import fx, policy
+from ..operators import policy
 
 # Policies: id, price type, category, from, to, confidence, VAT position. The second N policy begins later and replaces the first.
 POLICIES = (
@@ -81,4 +81,4 @@ def atc(spark: SparkSession) -> DataFrame:
 
 
 ATC_CTE = "atc AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{n}')" for c, n in ATC if len(c) == 7) + ") v(atc_code, atc_name))"
-__all__ = ["ATC_CTE", "FX", "OBS", "POL", "atc", "fx", "observations", "policies", "rates"]
+__all__ = ["ATC_CTE", "FX", "OBS", "POL", "atc", "observations", "policies", "rates"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .plans import review_queries  # noqa: F401  registers its queries
 from .plans.queries import ORACLE as ORACLE_SQL
 from .plans.queries import QUERIES
 
