@@ -114,7 +114,7 @@ def atc_code(c: Column) -> Column:
 
 
 def per_unit(amount: Column, units: Column) -> Column:
-    return F.when((amount > 0) & (units > 0), (amount.cast(PRICE) / units.cast("decimal(10,0)")).cast(EXACT))
+    return F.when((amount > 0) & (units > 0), (amount.cast("decimal(28,12)") / units.cast("decimal(10,0)")).cast(EXACT))
 
 
 def per_strength(unit_price: Column, value: Column) -> Column:

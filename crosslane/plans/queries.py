@@ -278,10 +278,10 @@ def _candidate_records(spark: SparkSession, d: str) -> DataFrame:
     return r.withColumns({"attributes": F.array().cast("array<string>"), "form_confidence": F.lit("strong"), "profile_id": F.concat_ws("-", "country_code", F.year("snapshot_date"), "price_type")})
 
 
-@query(f"""WITH {_LANES} SELECT id_a, id_b, CASE WHEN pa = pb THEN 'exact' ELSE 'high' END AS identity_confidence, round(va / CASE WHEN ca = cb THEN vb ELSE ROUND(vb / rb.r * ra.r, 10) END, 4) AS price_ratio FROM c JOIN rate ra ON ra.ccy = ca AND ra.snapshot_date = c.snapshot_date JOIN rate rb ON rb.ccy = cb AND rb.snapshot_date = c.snapshot_date""")
+@query(f"""WITH {_LANES} SELECT id_a, id_b, CASE WHEN pa = pb THEN 'exact' ELSE 'high' END AS identity_confidence, round(va / CASE WHEN ca = cb THEN vb ELSE ROUND(vb / rb.r * ra.r, 10) END, 2) AS price_ratio FROM c JOIN rate ra ON ra.ccy = ca AND ra.snapshot_date = c.snapshot_date JOIN rate rb ON rb.ccy = cb AND rb.snapshot_date = c.snapshot_date""")
 def candidate_pairs(spark, d):
     c = candidates.candidates(_candidate_records(spark, d), s.rates(spark), same_quarter=True)
-    return c.select("id_a", "id_b", "identity_confidence", _d(F.col("price_ratio"), 4).alias("price_ratio"))
+    return c.select("id_a", "id_b", "identity_confidence", _d(F.col("price_ratio"), 2).alias("price_ratio"))
 
 
 @query(f"""WITH {_LANES} SELECT country_code_a, country_code_b, CASE WHEN pa = pb THEN 'exact' ELSE 'high' END AS identity_confidence, count(*) AS n FROM c GROUP BY ALL""")
