@@ -62,7 +62,8 @@ def water_fill(sources: DataFrame, epochs: int = EPOCHS) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = EPOCHS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row for each row of ``docs``: its columns with _size, _source_size, _target and _copies (times taken).
+    """One row for each row of ``docs``: ``doc`` (a struct of its columns, whatever their names), size, source_size, target
+    and copies (times taken).
 
     Whole repetitions are floor(target / source size); the rest goes to rows in a seeded order, as long
     as half of a row at least still fits. Rows are ordered within cells of that order, so a source of any
@@ -71,7 +72,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = EPO
     A null source is a source of its own and comes last. The same seed gives the same mix.
     """
     place = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))), 1, 12), 16, 10).cast("long")
-    rows = docs.withColumn("_size", word_count(F.col(text_col))).withColumn("_place", place).withColumn("_source", F.col(source_col).cast("string"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), word_count(F.col(text_col)).alias("_size"), place.alias("_place"), F.col(source_col).cast("string").alias("_source"))
     sizes = written(rows.select("_source", "_size", "_place"), "sizes").withColumn("_cell", (F.col("_place") % CELLS).cast("int"))
     cells = written(sizes.groupBy("_source", "_cell").agg(F.sum("_size").alias("cell_size")), "cells")
     sources = in_order(cells.groupBy("_source").agg(F.sum("cell_size").alias("source_size")), "_source")
@@ -103,7 +104,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = EPO
     again = (F.col("_rest") > 0) & F.col("_edge").isNotNull() & ((cell < F.col("_edge")) | ((cell == F.col("_edge")) & (F.col("_place") <= F.coalesce("_last", F.lit(-1)))))
     joined = rows.join(small_side(plan.withColumnRenamed("_source", "_s")), F.col("_source").eqNullSafe(F.col("_s")), "left")
     copies = F.least(F.lit(epochs), F.col("_whole") + F.when(again & (F.col("_size") > 0), 1).otherwise(0))
-    return joined.withColumn("_copies", copies.cast("int")).drop("_s", "_whole", "_rest", "_edge", "_last", "_place", "_source")
+    return joined.select("doc", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").cast(T.DoubleType()).alias("target"), copies.cast("int").alias("copies"))
 
 
 def small_side(plan: DataFrame, most: int = 100_000) -> DataFrame:
@@ -113,14 +114,13 @@ def small_side(plan: DataFrame, most: int = 100_000) -> DataFrame:
 
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: every row as often as it is taken, with the columns of ``docs``."""
-    return mix(docs, **how).where("_copies > 0").withColumn("_again", F.explode(F.sequence(F.lit(1), "_copies"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return mix(docs, **how).where("copies > 0").select("doc", F.explode(F.sequence(F.lit(1), "copies")).alias("_again")).select("doc.*")
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     return mix(docs).select(
-        "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").cast(T.DoubleType()).alias("target"),
-        (F.col("_copies") * F.col("_size")).cast("long").alias("taken"), F.col("_copies").alias("copies"),
+        F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies"
     )
 
 

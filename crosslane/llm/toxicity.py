@@ -206,7 +206,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """The columns of ``docs`` and the score of the whole text (null: empty). Narrow: no shuffle."""
+    """The columns of ``docs`` and the score of the whole text (null: empty), in place of a column of that name. Narrow: no shuffle."""
+    docs = docs.drop(score_col)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES weights at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,14 +27,14 @@ _END = "\r\n\r\n"
 _DATE = "2024-09-01T00:00:00Z"
 
 
-def record_types(pages: DataFrame, id_col: str = "page_id", body_col: str = "html") -> DataFrame:
-    """Add to pages: _digest (SHA-1), _bytes and _holder, the largest id of the records with an equal payload of
+def record_types(pages: DataFrame, id_col: str = "page_id", body_col: str = "html", url_col: str | None = None) -> DataFrame:
+    """Id, url and body of the pages with _digest (SHA-1), _bytes and _holder, the largest id of the records with an equal payload of
     LEAST_SHARED bytes at least, where that is another row's. Null is an empty payload.
 
     Of rows that repeat the largest id with the same payload, one is the response and the others revisit it.
     """
     body = F.encode(F.coalesce(F.col(body_col), F.lit("")), "UTF-8")
-    rows = written(pages.withColumn("_row", F.monotonically_increasing_id()).withColumn("_digest", F.sha1(body)).withColumn("_bytes", F.octet_length(body).cast("long")), "pages")
+    rows = written(pages.select(*dict.fromkeys([id_col, *([url_col] if url_col else []), body_col])).withColumn("_row", F.monotonically_increasing_id()).withColumn("_digest", F.sha1(body)).withColumn("_bytes", F.octet_length(body).cast("long")), "pages")
     groups = (
         rows.where(F.col("_bytes") >= LEAST_SHARED).groupBy("_digest")
         .agg(F.max(F.struct(F.col(id_col).alias("id"), F.col("_row").alias("row"))).alias("_most"), F.count("*").alias("_n"))
@@ -103,7 +103,7 @@ def records(page: object, row: int, url: str | None, body: bytes, holder: object
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", segment: int = SEGMENT_BYTES, records_per_file: int = RECORDS_PER_FILE) -> None:
     """Write ``pages`` as WARC files under ``path``: one response or revisit record each (see record_types)."""
-    typed = record_types(pages, id_col, body_col).select(F.col(id_col), "_row", F.col(url_col), F.col(body_col), "_holder", "_holder_row")
+    typed = record_types(pages, id_col, body_col, url_col).select(F.col(id_col), "_row", F.col(url_col), F.col(body_col), "_holder", "_holder_row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,7 +244,7 @@ def op7_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_archives(pages, path)
     back = resolved(payloads(reassemble(read_records(spark, path))))
     return back.select(
-        F.col("page").cast("long").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("refers_to_page").cast("long").alias("refers_to")
+        F.col("page").try_cast("long").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("refers_to_page").try_cast("long").alias("refers_to")
     )
 
 
