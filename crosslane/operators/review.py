@@ -97,32 +97,31 @@ def for_molecule(c: DataFrame, evidence: DataFrame, reviews: DataFrame, inn: str
     e = evidence.select(F.col("candidate_id").alias("id"), F.col("bundle.a.price_amount").alias("amount_a"), F.col("bundle.b.price_amount").alias("amount_b"))
     j = hit.join(e, "id", "left").join(reviews.select("id", "usability"), "id", "left")
     zero = lambda n: F.coalesce(F.col(n).cast("string"), F.lit("0")).alias(n)
-    return j.select("id", F.coalesce("canonical_inn_a", F.lit("")).alias("molecule"), "country_code_a", "country_code_b", zero("amount_a"), zero("amount_b"), "price_ratio", F.coalesce("usability", F.lit("unreviewed")).alias("usability"))
+    return j.select("id", "id_a", "id_b", F.coalesce("canonical_inn_a", F.lit("")).alias("molecule"), "country_code_a", "country_code_b", zero("amount_a"), zero("amount_b"), "price_ratio", F.coalesce("usability", F.lit("unreviewed")).alias("usability"))
 
 
 def audit_links(c: DataFrame, reviews: DataFrame, rules: DataFrame, profiles: DataFrame, policies: DataFrame, canonical: DataFrame, lineage: DataFrame, documents: DataFrame) -> DataFrame:
     """(candidate_id, side, link, target_id, found): every figure's chain back to its source document, in long form.
 
-    Each link is a left join by id; a link whose target is missing stays with found = false."""
-    def link(df: DataFrame, side: str, name: str, key: Column, table: DataFrame, table_key: str) -> DataFrame:
-        t = table.select(F.col(table_key).cast("string").alias("_t")).where("_t is not null").distinct().withColumn("_f", F.lit(True))
-        k = df.select(F.col("id").alias("candidate_id"), key.cast("string").alias("target_id"))
-        return k.join(t, F.col("target_id") == F.col("_t"), "left").select("candidate_id", F.lit(side).alias("side"), F.lit(name).alias("link"), "target_id", F.coalesce("_f", F.lit(False)).alias("found"))
-
-    parts = [link(c, "-", "review", F.col("id"), reviews, "id")]
+    All links of all candidates meet one table of known targets in one left join by (link, id); a link whose target is
+    missing stays with found = false."""
     raw = canonical.select(F.col("id").alias("_cid"), F.col("raw_record_id").alias("_raw"))
-    docs = lineage.select(F.col("raw_record_id").alias("_raw"), F.col("source_document_id").alias("_doc")).dropDuplicates(["_raw"])
+    docs = lineage.groupBy(F.col("raw_record_id").alias("_raw")).agg(F.min("source_document_id").alias("_doc"))
+    traced = raw.join(docs, "_raw", "left")
+    j, entries = c, [("-", "review", F.col("id"))]
     for s in ("a", "b"):
-        j = c.join(raw, F.col(f"id_{s}") == F.col("_cid"), "left").join(docs, "_raw", "left")
-        for name, key, table, table_key in (
-            ("rule", F.col(f"id_{s}"), rules, "record_id"), ("profile", F.col(f"profile_id_{s}"), profiles, "id"), ("policy", F.col(f"policy_id_{s}"), policies, "id"),
-            ("canonical", F.col(f"id_{s}"), canonical, "id"), ("raw", F.col("_raw"), lineage, "raw_record_id"), ("document", F.col("_doc"), documents, "id"),
-        ):
-            parts.append(link(j, s, name, key, table, table_key))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        j = j.join(traced.select(F.col("_cid").alias(f"id_{s}"), F.col("_raw").alias(f"_raw_{s}"), F.col("_doc").alias(f"_doc_{s}")), f"id_{s}", "left")
+        keys = {"rule": f"id_{s}", "profile": f"profile_id_{s}", "policy": f"policy_id_{s}", "canonical": f"id_{s}", "raw": f"_raw_{s}", "document": f"_doc_{s}"}
+        entries += [(s, name, F.col(k)) for name, k in keys.items()]
+    links = F.array(*[F.struct(F.lit(side).alias("side"), F.lit(name).alias("link"), key.cast("string").alias("target_id")) for side, name, key in entries])
+    long = j.select(F.col("id").alias("candidate_id"), F.explode(links).alias("l")).select("candidate_id", "l.*")
+    tables = (("review", reviews, "id"), ("rule", rules, "record_id"), ("profile", profiles, "id"), ("policy", policies, "id"), ("canonical", canonical, "id"), ("raw", lineage, "raw_record_id"), ("document", documents, "id"))
+    known = None
+    for name, table, key in tables:
+        part = table.select(F.lit(name).alias("link"), F.col(key).cast("string").alias("target_id"))
+        known = part if known is None else known.unionByName(part)
+    known = known.where("target_id is not null").distinct().withColumn("_f", F.lit(True))
+    return long.join(known, ["link", "target_id"], "left").select("candidate_id", "side", "link", "target_id", F.coalesce("_f", F.lit(False)).alias("found"))
 
 
 def resolution(links: DataFrame) -> DataFrame:

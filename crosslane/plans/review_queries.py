@@ -19,10 +19,10 @@ def _candidates(spark: SparkSession, d: str) -> DataFrame:
     return candidates.candidates(_candidate_records(spark, d), s.rates(spark), same_quarter=True)
 
 
-def _reviews(spark: SparkSession, d: str) -> DataFrame:
+def _reviews(spark: SparkSession, d: str, c: DataFrame | None = None) -> DataFrame:
     keys = ["country_code", "snapshot_date", "price_type"]
     prof = _profiles(s.observations(spark, d)).select(F.concat_ws("-", "country_code", F.year("snapshot_date"), "price_type").alias("id"), "assessment", *keys)
-    return review.assess(_candidates(spark, d), s.policies(spark), prof.select("id", "assessment"))
+    return review.assess(_candidates(spark, d) if c is None else c, s.policies(spark), prof.select("id", "assessment"))
 
 
 @query(f"""WITH {_REVIEWED} SELECT country_code_a, country_code_b, usability, count(*) AS n FROM rev GROUP BY ALL""")
@@ -42,10 +42,10 @@ def review_queue(spark, d):
 
 @query(f"""WITH {_REVIEWED} SELECT id_a, id_b, inn AS molecule, country_code_a, country_code_b, usability FROM rev WHERE inn = 'gear'""")
 def candidates_for_molecule(spark, d):
-    reviews = _reviews(spark, d)
-    c = _candidates(spark, d)
-    out = review.for_molecule(c, candidates.evidence(c), reviews, " Gear ")
-    return out.join(c.select("id", "id_a", "id_b"), "id").select("id_a", "id_b", "molecule", "country_code_a", "country_code_b", "usability")
+    # Both sides share the molecule, so its filter is put before the pairing.
+    c = candidates.candidates(_candidate_records(spark, d).where("canonical_inn = 'gear'"), s.rates(spark), same_quarter=True)
+    out = review.for_molecule(c, candidates.evidence(c), _reviews(spark, d, c), " Gear ")
+    return out.select("id_a", "id_b", "molecule", "country_code_a", "country_code_b", "usability")
 
 
 @query(f"""WITH {_LANES} SELECT id_a, id_b, round(CAST(amounta AS DOUBLE), 2) AS amount_a, round(CAST(amountb AS DOUBLE), 2) AS amount_b, ca <> cb AS fx_used FROM c""")
