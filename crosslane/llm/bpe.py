@@ -44,7 +44,7 @@ _FIXED = np.array([len(set(r)) == 1 for r in NEXT.tolist()])
 # Code points with the property White_Space.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Distinct slices kept in a worker's cache, and the longest slice that is kept.
-CACHE_SLICES, CACHE_BYTES = 500_000, 256
+CACHE_SLICES, CACHE_BYTES = 250_000, 256
 
 
 @lru_cache(maxsize=1)
@@ -331,8 +331,9 @@ RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The columns of ``docs`` and ``token_ids`` (array<int>), ``token_offsets`` (array<int>, the byte where each token begins).
 
-    Null and empty texts have no tokens. Narrow: no shuffle.
+    Null and empty texts have no tokens. Columns of these two names are replaced. Narrow: no shuffle.
     """
+    docs = docs.drop("token_ids", "token_offsets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .work import with_group, with_row_keys, written
+from .work import with_group, with_row_keys, without, written
 
 INDEX_BUCKETS = 32
 
@@ -78,7 +78,7 @@ def kept_rows(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` whose text is new, with all their columns."""
     numbered, name = with_row_keys(docs, id_col)
     judged = deduplicate(numbered.select(F.col(name), F.col(f"`{text_col}`").alias("_text")), index, name, "_text")
-    return numbered.join(judged.where("kept").select(name), name, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without(numbered, name, judged.where("not kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def new_index_name() -> str:

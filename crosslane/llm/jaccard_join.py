@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scan import mix64, shingle_sets, text_slices
-from .work import with_group, with_row_keys, written
+from .work import with_group, with_row_keys, without, written
 
 WIDTH, NUM, DEN = 4, 85, 100
 #: Cells and rows of the sketch of shingle frequencies, cells of one stored piece of it.
@@ -389,8 +389,7 @@ def representatives(docs: DataFrame, width: int, num: int, den: int, id_col: str
     """The rows of ``docs``, with all their columns, that have the smallest id of their group of linked texts."""
     numbered, name = with_row_keys(docs, id_col)
     judged = near_duplicates(numbered.select(F.col(name), F.col(f"`{text_col}`").alias("_text")), width, num, den, name, "_text")
-    kept = judged.where(F.col(name) == F.col("component_id")).select(name)
-    return numbered.join(kept, name, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without(numbered, name, judged.where(F.col(name) != F.col("component_id"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

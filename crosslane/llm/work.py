@@ -13,6 +13,12 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of one Arrow batch: texts are long, and a worker holds a batch at a time.
+BATCH_ROWS = 1000
+#: Bytes that a task gathers before it writes them to an intermediate table.
+ROW_GROUP_BYTES = 16 << 20
+#: Most keys of dropped rows that are broadcast, of a few dozen bytes each.
+MOST_DROPPED = 500_000
 #: A group is hot from one in HOT_SHARE rows on, so that fewer than HOT_SHARE groups can be hot.
 HOT_SHARE = 512
 
@@ -36,7 +42,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage and outlives executors."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -47,6 +53,14 @@ def with_row_keys(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
     return written(docs.withColumn(name, F.struct(one.isNull().alias("none"), one.alias("id"), F.monotonically_increasing_id().alias("row"))), "rows"), name
 
 
+def without(rows: DataFrame, name: str, dropped: DataFrame) -> DataFrame:
+    """``rows`` of ``with_row_keys`` but those whose key is in ``dropped``. Texts stay where they are while the dropped
+    rows are counted to be few; else both sides are shuffled."""
+    gone = written(dropped.select(F.col(f"{name}.row").alias("_gone")), "dropped")
+    few = gone.limit(MOST_DROPPED + 1).count() <= MOST_DROPPED
+    return rows.join(F.broadcast(gone) if few else gone, F.col(f"{name}.row") == F.col("_gone"), "left_anti")
+
+
 def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
     """Left join of ``rows`` with one row of ``groups`` for each key, which holds its number of rows in ``size``.
 
@@ -64,7 +78,10 @@ def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, t
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package; once for each Spark context."""
+    """Give the executors this package, once for each Spark context, and keep the session's Arrow batches small."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     context = spark.sparkContext
     if getattr(context, "_crosslane_shipped", False):
         return
