@@ -34,10 +34,10 @@ def trained_spans(turns: Column) -> Column:
 
 
 def conversations(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """(id, turns): each conversation's turns in order. Null roles and texts are empty ones. One conversation
+    """(id, turns): each conversation's turns in order. Null roles and texts are empty ones, null ids are left out. One conversation
     is one row, so its size is that of the row it becomes."""
     one = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return turns.groupBy(F.col(id_col).alias("pair_id")).agg(F.transform(F.sort_array(F.collect_list(one)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
+    return turns.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("pair_id")).agg(F.transform(F.sort_array(F.collect_list(one)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
 def preference_pairs(chosen: DataFrame, rejected: DataFrame, id_col: str = "conv_id") -> DataFrame:
@@ -63,13 +63,15 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, id_col: str = "conv
 
 def with_next_reply(turns: DataFrame) -> DataFrame:
     """Each conversation with its last turn's text taken from the last turn of conversation id + 1; without that, the
-    last turn goes. A way to make rejected conversations that share all turns but the last."""
-    latest = F.max(F.struct("turn", "role", "text"))
-    last = turns.groupBy("conv_id").agg(latest.alias("end"))
-    other = last.select((F.col("conv_id") - 1).alias("conv_id"), F.col("end.text").alias("reply"))
-    swapped = last.join(other, "conv_id").select("conv_id", "end.turn", "end.role", F.col("reply").alias("text"))
+    last turn goes. A way to make rejected conversations that share all turns but the last. Null turns come first,
+    null roles and texts are empty ones, rows with a null id are left out. Turns are numbered anew, the last is -1."""
+    named = turns.where("conv_id is not null").select("conv_id", "turn", *[F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")])
     rank = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc("turn"), F.desc("role"), F.desc("text")))
-    return turns.select("conv_id", "turn", "role", "text").withColumn("_r", rank).where("_r > 1").drop("_r").unionByName(swapped)
+    numbered = named.withColumn("turn", -rank)
+    last = numbered.where("turn = -1")
+    reply = last.select((F.col("conv_id") - 1).alias("conv_id"), F.col("text").alias("reply"))
+    swapped = last.join(reply, "conv_id").select("conv_id", "turn", "role", F.col("reply").alias("text"))
+    return numbered.where("turn < -1").unionByName(swapped)
 
 
 def op8_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +83,7 @@ def op8_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TURN = "'<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10)"
 ORACLE = {
     "op8_preference_pairs": f"""
-WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS INTEGER) AS i,
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS INTEGER) AS i,
                   CAST(count(*) OVER (PARTITION BY conv_id) AS INTEGER) AS n FROM conversations),
 a AS (SELECT conv_id, i, role, text FROM t),
 b AS (SELECT conv_id, i, role, text FROM t WHERE i < n
