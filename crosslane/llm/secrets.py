@@ -235,7 +235,10 @@ class Scanner:
         back = (self.all.step == 0).all(axis=0)
         self.cuts = back[self.all.classes]
         #: A byte can begin a match of the rule.
-        self.begins = [a.step[0][a.classes] != a.dead for a in self.each]
+        self.begins = [(a.step[0][a.classes] != a.dead).tolist() for a in self.each]
+        self.lists = [(a.step.tolist(), a.classes.tolist(), (a.accepts != 0).tolist()) for a in self.each]
+        #: No match that counts is shorter.
+        self.shortest = min(max(_shortest(a) - bool(r.part) + r.least if r.part else r.least, _shortest(a)) for a, r in zip(self.each, rules, strict=True))
 
     def hits(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
         """Pieces (begin, end) in which a rule accepts, in order; the one pass over all bytes."""
@@ -244,7 +247,7 @@ class Scanner:
         cut = self.cuts[data]
         edge = np.unique(np.concatenate([offsets, np.flatnonzero(cut), np.flatnonzero(cut) + 1]))
         begin, end = edge[:-1], edge[1:]
-        keep = ~cut[begin] & (end - begin >= 8)
+        keep = ~cut[begin] & (end - begin >= self.shortest)
         begin, end = begin[keep], end[keep]
         size = end - begin
         order = np.argsort(-size, kind="stable")
@@ -280,11 +283,9 @@ class Scanner:
     def spans(self, piece: bytes) -> list[tuple[int, int, int]]:
         """(begin, rule, end) of the matches in ``piece``: for each rule leftmost, longest, not overlapping."""
         out = []
-        for k, (rule, auto, begins) in enumerate(zip(self.rules, self.each, self.begins, strict=True)):
-            step, classes, accepts = _lists(auto)
+        for k, (rule, auto, first, (step, classes, accepts)) in enumerate(zip(self.rules, self.each, self.begins, self.lists, strict=True)):
             value = _members(rule.part) if rule.part else None
             at = 0
-            first = begins.tolist()
             while at < len(piece):
                 if not first[piece[at]]:
                     at += 1
@@ -335,13 +336,12 @@ def _members(part: str) -> frozenset:
     return frozenset(x for s in nfa.closed({a}) for m, _ in nfa.moves[s] for x in m)
 
 
-_LISTS: dict[int, tuple] = {}
-
-
-def _lists(auto: Automaton) -> tuple:
-    if id(auto) not in _LISTS:
-        _LISTS[id(auto)] = (auto.step.tolist(), auto.classes.tolist(), (auto.accepts != 0).tolist())
-    return _LISTS[id(auto)]
+def _shortest(auto: Automaton) -> int:
+    """Bytes of the shortest match."""
+    states, n = {0}, 0
+    while not auto.accepts[list(states)].any():
+        states, n = set(auto.step[list(states)].ravel().tolist()), n + 1
+    return n
 
 
 @lru_cache(maxsize=4)
