@@ -178,15 +178,16 @@ def fit(texts: list[np.ndarray], swapped: list[np.ndarray | None], toxic: np.nda
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", **how) -> Model:
     """Fit on at most ``sample`` labelled rows that aren't held out, picked by a hash of the id.
 
-    Rows without a label, an id or a text aren't learned from. The picked ids are ``sample`` rows at most, so
-    they are broadcast; what comes to the driver is the picked texts' feature sets.
+    Rows without a label, an id or a text aren't learned from; of texts that repeat an id, only the one with the least
+    feature set is. The picked ids are ``sample`` rows at most, so they are broadcast; what comes to the driver is one
+    feature set for each.
     """
     picked = (
         labels.where(~held_out(id_col) & F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1))
         .groupBy(id_col).agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(sample)
     )
-    rows = docs.where(F.col(text_col).isNotNull()).select(id_col, text_col).join(F.broadcast(picked.withColumnRenamed(id_col, "_id")), F.col(id_col) == F.col("_id")).select(F.col(text_col).alias("text"), "toxic")
+    rows = docs.where(F.col(text_col).isNotNull()).select(id_col, text_col).join(F.broadcast(picked.withColumnRenamed(id_col, "_id")), F.col(id_col) == F.col("_id")).select(F.col(text_col).alias("text"), "toxic", "_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,12 +196,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
             own = [a.astype("<i4").tobytes() for a in distinct_features(plain)]
             sets = distinct_features(pa.array([s or "" for s in other], pa.string()))
             pair = [None if s is None else a.astype("<i4").tobytes() for s, a in zip(other, sets, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pa.array(pair, pa.binary()), batch.column(1)], names=["own", "pair", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pa.array(pair, pa.binary()), batch.column(1), batch.column(2)], names=["own", "pair", "toxic", "_id"])
 
-    got = rows.mapInArrow(run, "own binary, pair binary, toxic int").toArrow()
+    sets = rows.mapInArrow(run, f"own binary, pair binary, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in rows.schema[1:])}")
+    got = sets.groupBy("_id").agg(F.min(F.struct("own", "pair", "toxic")).alias("one")).select("one.*").toArrow()
     # Sorted, so that the fit doesn't depend on the order in which tasks end.
     order = sorted(range(len(got)), key=lambda i: (got["own"][i].as_py(), got["toxic"][i].as_py()))
-    got = got.take(order).slice(0, sample) if order else got
+    got = got.take(order) if order else got
     read = lambda b: None if b is None else np.frombuffer(b, "<i4").astype(np.int64)
     return fit([read(x) for x in got["own"].to_pylist()], [read(x) for x in got["pair"].to_pylist()], np.array(got["toxic"].to_pylist(), np.int64), **how)
 
