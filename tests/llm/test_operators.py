@@ -5,6 +5,7 @@ import random
 import re
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -365,3 +366,34 @@ def test_secrets_match_regexes(spark):
 def test_added_rules(spark):
     r = secrets.scan_secrets(docs(spark, ["x ghp_" + "A1" * 18 + " -----BEGIN RSA PRIVATE KEY-----"])).first()
     assert r.spans == "hosting:2:42,private:43:74" and r.base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_shortest_match_is_known():
+    assert secrets.Scanner().shortest == len("eyJx.eyJx.x")
+    assert secrets.Scanner(secrets.BASE).shortest == len("token=12345678")
+    short = secrets.Scanner((secrets.Rule("pin", "PIN[0-9]+", 5),))
+    data = np.frombuffer(b"x PIN12 PIN1 y", np.uint8)
+    assert short.shortest == 5 and [data[a:b].tobytes() for a, b in short.hits(data, np.array([0, len(data)]))] == [b"PIN12"]
+
+
+# --- preference formatting against its SQL, with nulls and repeated turns
+
+
+def test_preference_query_matches_sql_with_nulls(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(c, rng.choice([None, 0, 1, 1, 2]), rng.choice([None, "", "user", "assistant"]), rng.choice([None, "", "a", "b"])) for c in [None, *range(30)] for _ in range(rng.randint(1, 5))]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    duck = duckdb.connect()
+    duck.sql(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    got = chat.op8_preference_pairs(spark, str(tmp_path))
+    want = duck.sql(chat.ORACLE["op8_preference_pairs"])
+    assert got.columns == want.columns
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want.fetchall())
+
+
+def test_toxicity_learns_once_from_a_repeated_id(spark):
+    texts = [f"vile filth {i}" if i % 2 else f"kind words {i}" for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    once = toxicity.train(docs(spark, texts), labels)
+    again = toxicity.train(docs(spark, texts + [texts[7]] * 200, [*range(60), *[7] * 200]), labels)
+    assert np.array_equal(once.buckets, again.buckets) and np.allclose(once.weights, again.weights) and once.intercept == again.intercept
