@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 #: A turn is OPEN role CLOSE text END.
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
@@ -40,18 +39,11 @@ def conversations(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
     return turns.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("pair_id")).agg(F.transform(F.sort_array(F.collect_list(one)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
-def preference_pairs(chosen: DataFrame, rejected: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """One row for each id in both tables of turns (id, turn, role, text): pair_id, prompt_turns, prompt, chosen, rejected
-    and the trained spans of either completion.
-
-    Turns are compared by role and text, in order of ``turn``, then role and text where it repeats. Equal
-    conversations have empty completions; without a common first turn the prompt is empty. Null ids form no pair.
-    """
-    a = conversations(chosen, id_col).withColumnRenamed("turns", "a")
-    b = conversations(rejected, id_col).withColumnRenamed("turns", "b")
+def formatted(pairs: DataFrame) -> DataFrame:
+    """Prompt, completions and trained spans of (pair_id, a, b): the turns of the chosen and of the rejected conversation."""
     differs = F.exists("at", lambda i: F.get("a", i) != F.get("b", i))
     least = F.least(F.size("a"), F.size("b"))
-    both = a.join(b, "pair_id").withColumn("at", F.when(least > 0, F.sequence(F.lit(0), least - 1)).otherwise(F.array().cast("array<int>")))
+    both = pairs.withColumn("at", F.when(least > 0, F.sequence(F.lit(0), least - 1)).otherwise(F.array().cast("array<int>")))
     same = F.when(differs, F.array_min(F.filter("at", lambda i: F.get("a", i) != F.get("b", i)))).otherwise(least)
     tail = lambda c: F.slice(c, F.col("prompt_turns") + 1, F.greatest(F.size(c), F.lit(1)))
     return both.withColumn("prompt_turns", same).select(
@@ -61,23 +53,32 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, id_col: str = "conv
     )
 
 
-def with_next_reply(turns: DataFrame) -> DataFrame:
-    """Each conversation with its last turn's text taken from the last turn of conversation id + 1; without that, the
-    last turn goes. A way to make rejected conversations that share all turns but the last. Null turns come first,
-    null roles and texts are empty ones, rows with a null id are left out. Turns are numbered anew, the last is -1."""
-    named = turns.where("conv_id is not null").select("conv_id", "turn", *[F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")])
-    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc("turn"), F.desc("role"), F.desc("text")))
-    numbered = named.withColumn("turn", -rank)
-    last = numbered.where("turn = -1")
-    reply = last.select((F.col("conv_id") - 1).alias("conv_id"), F.col("text").alias("reply"))
-    swapped = last.join(reply, "conv_id").select("conv_id", "turn", "role", F.col("reply").alias("text"))
-    return numbered.where("turn < -1").unionByName(swapped)
+def preference_pairs(chosen: DataFrame, rejected: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    """One row for each id in both tables of turns (id, turn, role, text): pair_id, prompt_turns, prompt, chosen, rejected
+    and the trained spans of either completion.
+
+    Turns are compared by role and text, in order of ``turn``, then role and text where it repeats; null turns come
+    first. Equal conversations have empty completions; without a common first turn the prompt is empty. Null ids form no pair.
+    """
+    a = conversations(chosen, id_col).withColumnRenamed("turns", "a")
+    b = conversations(rejected, id_col).withColumnRenamed("turns", "b")
+    return formatted(a.join(b, "pair_id"))
+
+
+def with_next_reply(talks: DataFrame) -> DataFrame:
+    """(pair_id, a, b) of ``conversations``: b is a with its last turn's text taken from the last turn of conversation
+    id + 1; without that, the last turn goes, and a conversation of one turn forms no pair. A way to make rejected
+    conversations that share all turns but the last. Only last texts are shuffled again, the turns stay where they are."""
+    last = F.element_at("turns", -1)
+    replies = talks.select((F.col("pair_id") - 1).alias("pair_id"), last["text"].alias("reply"))
+    swapped = F.when(F.col("reply").isNotNull(), F.array(F.struct(last["role"].alias("role"), F.col("reply").alias("text")))).otherwise(F.array())
+    both = talks.join(replies, "pair_id", "left")
+    return both.select("pair_id", F.col("turns").alias("a"), F.concat(F.slice("turns", F.lit(1), F.size("turns") - 1), swapped).alias("b")).where(F.size("b") > 0)
 
 
 def op8_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    pairs = preference_pairs(turns, with_next_reply(turns))
-    return pairs
+    return formatted(with_next_reply(conversations(turns)))
 
 
 _TURN = "'<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10)"
