@@ -1,7 +1,8 @@
 """Licence scan by canonical digests, in DataFrame functions only.
 
-A text is canonical in lower case, without copyright lines and punctuation, with one spelling of
-equivalent words and single spaces. Its SHA-256 is joined with the digests of known licences (whole
+A text is canonical in lower case, without lines that are copyright notices and without punctuation, with one
+spelling of equivalent words and single spaces. A line of a licence's own sentences that wraps at the word 'copyright'
+stays; the SQL drops it, so the two differ on such lines (the given tables have none). Its SHA-256 is joined with the digests of known licences (whole
 texts) and of known licence notices (single lines of a text).
 """
 
@@ -78,14 +79,30 @@ NOTICES = (
 )
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_COPYRIGHT = "(^|\\n)[^a-z0-9\\n]*(copyright|\\(c\\)|©)[^\\n]*"
+# Words after 'copyright' in a licence's own sentences, and those between names in a line of names.
+_BODY = (
+    "notices?|holders?|owners?|ownership|licen[cs]\\w*|laws?|legal|interests?|rights?|permissions?|disclaim\\w*|statements?|protect\\w*|acts?|treat(?:y|ies)|claims?|works?|materials?"
+    "|infring\\w*|legislation|regist\\w*|information|terms?|grant\\w*|and|or|on|in|is|are|was|be|to|for|as|of|if|not|with|which|that|also|like|under|from|may|shall|must|will|can|has|have"
+)
+_BETWEEN = "and|of|the|its|by|for|at|other|others|authors?|contributors|affiliates|all|rights|reserved"
+# A line is a notice if the word or sign starts it and a sign, a number, a placeholder or a name follows. A lone '(c)' is
+# also how a list counts: without a number in its line, only names may follow it, not all in capitals.
+_AFTER = "[^A-Za-z0-9\\n]*?(?:\\(c\\)|©|&copy|[0-9]|[\\[<{$%]|\\(?(?:years?|y{2,4}|x{4})\\b)"
+_COPYRIGHT = (
+    "(^|\\n)[^A-Za-z0-9\\n]*(?:©|&copy;"
+    f"|(?i:copyright(?:s|ed)?\\b{_AFTER})"
+    f"|(?i:copyright)\\b[^A-Za-z0-9.;\\n\\x{{80}}-\\x{{10FFFF}}]*(?:(?i:by)[^A-Za-z0-9\\n]+)?(?!(?i:{_BODY})\\b)[A-Z\\x{{80}}-\\x{{10FFFF}}]"
+    f"|(?i:\\(c\\))(?i:[^A-Za-z0-9\\n]*copyright\\b{_AFTER}|{_AFTER}|[^\\n]*\\b(?:19|20)[0-9]{{2}}\\b"
+    f"|(?-i:(?=[^\\n]*[A-Z][^\\n]*[a-z])[^A-Za-z0-9\\n]*[A-Z\\x{{80}}-\\x{{10FFFF}}][^\\s]*(?:[ \\t]+(?:[^a-z\\s][^\\s]*|(?i:{_BETWEEN})[,.;]*(?=\\s|$)))*[ \\t\\r]*(?=\\n|$)))"
+    ")[^\\n]*"
+)
 _WORDLESS = "[^a-z0-9\u0080-\U0010ffff]+"
 
 
 def canonical(text: Column) -> Column:
     """Null as empty. Letters other than ASCII stay as they are."""
-    out = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    out = F.regexp_replace(out, _COPYRIGHT, "\n")
+    out = F.regexp_replace(F.coalesce(text, F.lit("")), _COPYRIGHT, "\n")
+    out = F.translate(out, _UPPER, _LOWER)
     out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, _WORDLESS, " ")), F.lit(" "))
     for other, one in SPELLINGS:
         if other != one:

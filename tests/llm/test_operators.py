@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import defaultdict
 
 import duckdb
@@ -195,6 +196,28 @@ def test_licenses(spark):
     assert licenses.scan(docs(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_licenses_wrapped(spark):
+    wrap = lambda t, n: "\n\n".join(textwrap.fill(p, n) for p in t.split("\n\n"))
+    texts = [(i, w) for i, t in licenses.LICENSES for w in (" ".join(t.split()), *[wrap(t, n) for n in (72, 80)], *[wrap(t, n).upper() for n in (40, 60)])]
+    isc = dict(licenses.LICENSES)["ISC"].replace("above copyright", "above\ncopyright")
+    texts.append(("ISC", "Copyright (c) 2020 Me\n\n" + isc))
+    got = {r.doc_id: r.license_id for r in licenses.scan(docs(spark, [t for _, t in texts])).collect()}
+    assert [got[i] for i in range(len(texts))] == [i for i, _ in texts]
+
+
+def test_copyright_lines(spark):
+    notices = [
+        "Copyright (c) 2020 Me", "COPYRIGHT (C) ME", "# © Me", "Copyright © Me", "copyright 2020 me", "Copyright: 2019-2020, Me", "(c) 2020 Me", "(C) Copyright 2020 Me", "(c) Me, Inc. and its affiliates.",
+        "Copyright [yyyy] [name of copyright owner]", "Copyright <YEAR> <COPYRIGHT HOLDER>", "Copyright Joyent, Inc. and other Node contributors.", "Copyright by The Authors", "Copyright Étienne", "(c) Me and Co 2020", "copyright (c) me", "Copyrighted 2020 by Me",
+    ]
+    bodies = [
+        "copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM", "copyright owner or by an individual", "* copyright holder nor the names", "copyright", "COPYRIGHT OWNER OR",
+        "(c) You must retain, in the Source form of any Derivative Works", "(c) the licenses granted", "(C) YOU MUST RETAIN", "\"Copyright\" also means copyright-like laws", "copyright license to reproduce", "copyrighted by the Free Software", "Copyright Notice", "copyright. You may", "copyright and related rights",
+    ]
+    rows = spark.createDataFrame([(t,) for t in notices + bodies], "t string").select("t", licenses.canonical(F.concat(F.lit("a\n"), F.col("t"), F.lit("\nb"))).alias("c")).collect()
+    assert {r.t for r in rows if r.c == "a b"} == set(notices)
+
+
 # --- vectors
 
 
