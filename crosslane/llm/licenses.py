@@ -8,6 +8,8 @@ texts) and of known licence notices (single lines of a text).
 
 from __future__ import annotations
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +65,20 @@ LICENSES = (
     ("Zlib", _ZLIB),
     ("Zlib", "zlib License\n\n" + _ZLIB),
 )
+
+
+def _shipped() -> tuple[tuple[str, str], ...]:
+    """Texts of license_texts (file name: licence id), each also without what follows its terms, with links of either scheme."""
+    found = []
+    for f in sorted(resources.files(__package__).joinpath("license_texts").iterdir(), key=lambda f: f.name):
+        text, end = f.read_text("utf-8"), "END OF TERMS AND CONDITIONS"
+        for t in (text, text[: text.find(end) + len(end)]) if end in text else (text,):
+            found += [(f.name.removesuffix(".txt"), x) for x in dict.fromkeys((t, t.replace("https://", "http://"), t.replace("http://", "https://")))]
+    return tuple(found)
+
+
+#: All whole texts; the SQL has LICENSES alone.
+WHOLE = LICENSES + _shipped()
 #: Single lines that state a licence.
 NOTICES = (
     ("MIT", "Released under the MIT License."),
@@ -81,19 +97,19 @@ NOTICES = (
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Words after 'copyright' in a licence's own sentences, and those between names in a line of names.
 _BODY = (
-    "notices?|holders?|owners?|ownership|licen[cs]\\w*|laws?|legal|interests?|rights?|permissions?|disclaim\\w*|statements?|protect\\w*|acts?|treat(?:y|ies)|claims?|works?|materials?"
+    "notices?|lines?|holders?|owners?|ownership|licen[cs]\\w*|laws?|legal|interests?|rights?|permissions?|disclaim\\w*|statements?|protect\\w*|acts?|treat(?:y|ies)|claims?|works?|materials?"
     "|infring\\w*|legislation|regist\\w*|information|terms?|grant\\w*|and|or|on|in|is|are|was|be|to|for|as|of|if|not|with|which|that|also|like|under|from|may|shall|must|will|can|has|have"
 )
 _BETWEEN = "and|of|the|its|by|for|at|other|others|authors?|contributors|affiliates|all|rights|reserved"
 # A line is a notice if the word or sign starts it and a sign, a number, a placeholder or a name follows. A lone '(c)' is
-# also how a list counts: without a number in its line, only names may follow it, not all in capitals.
+# also how a list counts: without a year in its line, only two names or more may follow it, not all in capitals.
 _AFTER = "[^A-Za-z0-9\\n]*?(?:\\(c\\)|©|&copy|[0-9]|[\\[<{$%]|\\(?(?:years?|y{2,4}|x{4})\\b)"
 _COPYRIGHT = (
     "(^|\\n)[^A-Za-z0-9\\n]*(?:©|&copy;"
     f"|(?i:copyright(?:s|ed)?\\b{_AFTER})"
-    f"|(?i:copyright)\\b[^A-Za-z0-9.;\\n\\x{{80}}-\\x{{10FFFF}}]*(?:(?i:by)[^A-Za-z0-9\\n]+)?(?!(?i:{_BODY})\\b)[A-Z\\x{{80}}-\\x{{10FFFF}}]"
+    f"|(?i:copyright)\\b[^A-Za-z0-9.;\"\\n\\x{{80}}-\\x{{10FFFF}}]*(?:(?i:by)[^A-Za-z0-9\\n]+)?(?!(?i:{_BODY})\\b)[A-Z\\x{{80}}-\\x{{10FFFF}}]"
     f"|(?i:\\(c\\))(?i:[^A-Za-z0-9\\n]*copyright\\b{_AFTER}|{_AFTER}|[^\\n]*\\b(?:19|20)[0-9]{{2}}\\b"
-    f"|(?-i:(?=[^\\n]*[A-Z][^\\n]*[a-z])[^A-Za-z0-9\\n]*[A-Z\\x{{80}}-\\x{{10FFFF}}][^\\s]*(?:[ \\t]+(?:[^a-z\\s][^\\s]*|(?i:{_BETWEEN})[,.;]*(?=\\s|$)))*[ \\t\\r]*(?=\\n|$)))"
+    f"|(?-i:(?=[^\\n]*[A-Z][^\\n]*[a-z])[^A-Za-z0-9\\n]*[A-Z\\x{{80}}-\\x{{10FFFF}}][^\\s]*(?:[ \\t]+(?:[^a-z\\s][^\\s]*|(?i:{_BETWEEN})[,.;]*(?=\\s|$)))+[ \\t\\r]*(?=\\n|$)))"
     ")[^\\n]*"
 )
 _WORDLESS = "[^a-z0-9\u0080-\U0010ffff]+"
@@ -120,7 +136,7 @@ def known(spark: SparkSession, texts: tuple[tuple[str, str], ...]) -> DataFrame:
     return made.select("license_id", digest(F.col("text")).alias("sha")).groupBy("sha").agg(F.min("license_id").alias("license_id"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licenses: tuple = LICENSES, notices: tuple = NOTICES) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licenses: tuple = WHOLE, notices: tuple = NOTICES) -> DataFrame:
     """Per row of ``docs``: the id, canonical_sha256 and canonical_chars of its whole text, license_id (of the licence
     that it is; else null) and notice_ids (licences that single lines state, sorted, comma-joined; else empty).
 

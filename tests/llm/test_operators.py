@@ -5,6 +5,7 @@ import random
 import re
 import textwrap
 from collections import defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -205,6 +206,17 @@ def test_licenses_wrapped(spark):
     assert [got[i] for i in range(len(texts))] == [i for i, _ in texts]
 
 
+def test_licenses_of_the_data_files(spark):
+    folder = Path(licenses.__file__).parent / "license_texts"
+    whole = [(f.stem, f.read_text()) for f in sorted(folder.iterdir())]
+    assert {"Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0"} <= {i for i, _ in whole}
+    texts = whole + [(i, t.replace("\n", "\n# ")) for i, t in whole] + [(i, t.replace("https:", "http:").upper()) for i, t in whole]
+    texts += [(i, t.split("How to Apply")[0].split("APPENDIX")[0]) for i, t in whole if i in ("Apache-2.0", "GPL-3.0-only")]
+    texts += [(None, t + " more") for _, t in whole]
+    got = {r.doc_id: r.license_id for r in licenses.scan(docs(spark, [t for _, t in texts])).collect()}
+    assert [got[i] for i in range(len(texts))] == [i for i, _ in texts]
+
+
 def test_copyright_lines(spark):
     notices = [
         "Copyright (c) 2020 Me", "COPYRIGHT (C) ME", "# © Me", "Copyright © Me", "copyright 2020 me", "Copyright: 2019-2020, Me", "(c) 2020 Me", "(C) Copyright 2020 Me", "(c) Me, Inc. and its affiliates.",
@@ -212,7 +224,7 @@ def test_copyright_lines(spark):
     ]
     bodies = [
         "copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM", "copyright owner or by an individual", "* copyright holder nor the names", "copyright", "COPYRIGHT OWNER OR",
-        "(c) You must retain, in the Source form of any Derivative Works", "(c) the licenses granted", "(C) YOU MUST RETAIN", "\"Copyright\" also means copyright-like laws", "copyright license to reproduce", "copyrighted by the Free Software", "Copyright Notice", "copyright. You may", "copyright and related rights",
+        "(c) You must retain, in the Source form of any Derivative Works", "(c) the licenses granted", "(C) YOU MUST RETAIN", "(c)    Representations.", "\"COPYRIGHT\" LINE AND A POINTER", "\"Copyright\" also means copyright-like laws", "copyright license to reproduce", "copyrighted by the Free Software", "Copyright Notice", "copyright. You may", "copyright and related rights",
     ]
     rows = spark.createDataFrame([(t,) for t in notices + bodies], "t string").select("t", licenses.canonical(F.concat(F.lit("a\n"), F.col("t"), F.lit("\nb"))).alias("c")).collect()
     assert {r.t for r in rows if r.c == "a b"} == set(notices)
