@@ -54,7 +54,8 @@ def result_count(markup: Column) -> Column:
 
 def sections(pages: DataFrame, marker: str, markup: str = "html") -> DataFrame:
     """One row for each section of a page, from a marker to the next one."""
-    return pages.select("*", F.posexplode(F.slice(F.split(F.col(markup), marker), 2, 100_000)).alias("section_no", "section"))
+    parts = F.split(F.col(markup), marker)
+    return pages.select("*", F.posexplode(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))).alias("section_no", "section"))
 
 
 def joined_labels(section: Column, pattern: str = r"(?is)<span\b[^>]*\bbtn\s+btn-link\b[^>]*>(.*?)</span>") -> Column:

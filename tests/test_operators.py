@@ -131,3 +131,8 @@ def test_files(spark, tmp_path):
         tables.materialised(spark, f"file://{tmp_path}/cache", snap, lambda: built.append(1) or snap).count()
     assert len(built) == 1
     assert tables.read_records(spark, f"file://{tmp_path}/none", "price_amount string").count() == 0
+
+
+def test_sections_of_a_page_with_many_markers(spark):
+    df = spark.createDataFrame([(1, "<li>" * 100_003), (2, "none"), (3, None), (4, "")], "page_id int, html string")
+    assert {r.page_id: r["count"] for r in html.sections(df, "<li>").groupBy("page_id").count().collect()} == {1: 100_003}
