@@ -55,7 +55,7 @@ def query(sql: str | None = None):
 
 
 _DATED = {
-    "snapshot_date": ("policy_gate_by_lane", "price_profiles", "snapshot_status", "currency_profiles", "date_profiles", "skipped_lanes", "comparison_readiness", "snapshot_states"),
+    "snapshot_date": ("policy_gate_by_lane", "price_profiles", "snapshot_status", "currency_profiles", "date_profiles", "skipped_lanes", "comparison_readiness", "snapshot_states", "gated_lanes"),
     "price_date": ("duplicate_clusters",),
 }
 
@@ -88,10 +88,17 @@ def _profiles(obs: DataFrame) -> DataFrame:
     return quality.plausibility(quality.numeric_profile(obs, "price_amount", keys))
 
 
-def _index(spark: SparkSession, d: str) -> DataFrame:
-    records = _records(spark, d)
-    always = records.groupBy("country_code", "snapshot_date", "price_type").agg((F.count("price_amount") / F.count("*")).alias("population_rate"), F.lit("plausible").alias("assessment"))
-    return lanes.lane_index(records, s.policies(spark), always, s.rates(spark))
+def _snapshots(obs: DataFrame) -> DataFrame:
+    """The profile that the data gate asks for: one for each country and snapshot, of the observed rows."""
+    return quality.plausibility(quality.numeric_profile(obs, "price_amount", quality.SNAPSHOT))
+
+
+def _index(spark: SparkSession, d: str, obs: DataFrame | None = None, policies: DataFrame | None = None) -> DataFrame:
+    """Observed and derived rows, their molecules resolved, behind both gates."""
+    obs, policies = s.observations(spark, d) if obs is None else obs, s.policies(spark) if policies is None else policies
+    records = lanes.link_observed(policy.with_virtual_lanes(obs, policies)).withColumn("atc_code", F.lit(None).cast("string"))
+    records = molecules.resolve_identity(records, molecules.dictionary(s.atc(spark))).withColumns({"form_class": F.col("dosage_form"), "route": F.lit("oral")})
+    return lanes.lane_index(records, policies, _snapshots(obs), s.rates(spark))
 
 
 def _cohort(spark: SparkSession, d: str) -> DataFrame:
@@ -127,6 +134,34 @@ def lane_index(spark, d):
     return _index(spark, d).select("id", "lane_key", "identity_key", _d(F.col("eur_per_strength")).alias("eur_per_strength"))
 
 
+# Snapshots in which every price of some country is blanked to zero, and a rule that derives a lane from A.
+_BLOCKED = "n_nationkey % 4 = 1"
+_GATED_OBS = s.OBS.replace("CAST(l_extendedprice AS DECIMAL(18,6)) AS price_amount", f"CAST(CASE WHEN {_BLOCKED} AND year(l_shipdate) = 1995 THEN 0 ELSE l_extendedprice END AS DECIMAL(18,6)) AS price_amount")
+
+
+@query(f"""WITH {_GATED_OBS}, {s.POL}, {s.FX}, ok AS (SELECT country_code, snapshot_date FROM obs GROUP BY ALL HAVING count(price_amount) >= 0.5 * count(*) AND count(*) FILTER (WHERE price_amount > 0) >= 0.95 * count(price_amount)),
+day AS (SELECT max(snapshot_date) AS d FROM obs), latest AS (SELECT ccy, max_by(rate, since) AS rate FROM fx WHERE since <= (SELECT d FROM day) GROUP BY ccy),
+lines AS (SELECT *, 'observed' AS kind FROM obs UNION ALL SELECT * REPLACE ('derived_A' AS price_type, CAST(ROUND(price_amount * 0.6665, 6) AS DECIMAL(18,6)) AS price_amount), 'derived' FROM obs WHERE price_type = 'A' AND price_amount > 0),
+pols AS (SELECT * FROM pol UNION ALL SELECT 'pol-D', 'derived_A', 'wholesale', DATE '1990-01-01', 'low', 'vat_exclusive'),
+g AS (SELECT b.*, (SELECT arg_max(p.category || '|' || p.vat || '|none', p.since) FROM pols p WHERE p.price_type = b.price_type AND p.since <= b.snapshot_date) AS lane_key FROM lines b JOIN ok USING (country_code, snapshot_date))
+SELECT country_code, snapshot_date, lane_key, kind, count(*) AS n, count(DISTINCT g.id) AS n_observed, round(sum(CAST(price_amount AS DOUBLE) / CASE price_currency WHEN 'EUR' THEN 1 ELSE l.rate END / pack_units / strength_value), 2) AS eur
+FROM g LEFT JOIN latest l ON l.ccy = g.price_currency WHERE lane_key NOT LIKE 'not_comparable%' AND price_amount > 0 AND pack_units > 0 GROUP BY ALL""")
+def gated_lanes(spark, d):
+    """The index where the data gate blocks snapshots and a rule adds a derived lane."""
+    o = s.observations(spark, d)
+    k = (F.ascii("country_code") - 65) * 5 + F.ascii(F.substring("country_code", 2, 1)) - 65
+    o = o.withColumn("price_amount", F.when((k % 4 == 1) & (F.year("snapshot_date") == 1995), F.lit(0).cast("decimal(18,6)")).otherwise(F.col("price_amount")))
+    none = F.lit(None)
+    rule = F.struct(F.lit("A").alias("source_price_type"), F.lit("derived_A").alias("target_price_type"), F.lit("wholesale").alias("target_category"), F.lit("multiply_by_factor").alias("formula_id"), F.lit("multiply_by_factor").alias("formula"), F.create_map(F.lit("factor"), F.lit("0.6665")).alias("parameters"), none.alias("tiers"), F.array(F.lit("inline")).alias("legal_basis"), F.lit("low").alias("confidence"), F.array().alias("caveats"))
+    p = s.policies(spark)
+    ruled = p.withColumn("derivation_rules", F.when(F.col("price_type") == "A", F.array(rule).cast(f"array<{policy.RULE}>")).otherwise(F.col("derivation_rules")))
+    # What a derived lane means is a policy of its own.
+    a = p.where("price_type = 'A'")
+    own = a.withColumns({"id": F.concat_ws("-", F.lit("pol-D"), "country_code"), "price_type": F.lit("derived_A"), "comparison_category": F.lit("wholesale"), "confidence": F.lit("low"), "semantics": F.col("semantics").withField("comparison_category", F.lit("wholesale"))})
+    i = _index(spark, d, o, ruled.unionByName(own)).withColumn("kind", F.when(F.col("price_type") == "derived_A", "derived").otherwise("observed"))
+    return i.groupBy("country_code", "snapshot_date", "lane_key", "kind").agg(F.count("*").alias("n"), F.count_distinct("observed_id").alias("n_observed"), _d(F.sum(F.col("eur_per_strength").cast("double")), 2).alias("eur"))
+
+
 @query(f"""WITH {_JOINED} SELECT country_code, snapshot_date, price_type, max(CASE WHEN category IS NULL THEN NULL ELSE policy_id END) AS policy_id, max(category) AS category,
   CASE WHEN max(category) IS NULL THEN 'no policy interpretation' WHEN max(category) = 'not_comparable' THEN 'price type is not comparable' END AS reason FROM gated GROUP BY ALL""")
 def policy_gate_by_lane(spark, d):
@@ -294,8 +329,7 @@ def candidate_summary(spark, d):
 SELECT country_code, snapshot_date, price_type, n_records, CASE WHEN category IS NULL THEN 'no policy interpretation' ELSE 'price type is not comparable' END AS reason FROM l WHERE category IS NULL OR category = 'not_comparable'""")
 def skipped_lanes(spark, d):
     o = s.observations(spark, d)
-    always = o.select("country_code", "snapshot_date").distinct().withColumns({"population_rate": F.lit(1.0), "assessment": F.lit("plausible")})
-    return candidates.lanes_with_skips(o, s.policies(spark), always)[1].select("country_code", "snapshot_date", "price_type", "n_records", "reason")
+    return candidates.lanes_with_skips(o, s.policies(spark), _snapshots(o))[1].select("country_code", "snapshot_date", "price_type", "n_records", "reason")
 
 
 @query(f"""WITH {s.OBS} SELECT country_code, CAST(count(*) AS BIGINT) AS n_raw, count(*) FILTER (WHERE price_type <> 'R') AS n_good, count(*) FILTER (WHERE price_type = 'R') AS n_bad FROM obs GROUP BY ALL""")
