@@ -96,7 +96,10 @@ def _snapshots(obs: DataFrame) -> DataFrame:
 def _index(spark: SparkSession, d: str, obs: DataFrame | None = None, policies: DataFrame | None = None) -> DataFrame:
     """Observed and derived rows, their molecules resolved, behind both gates."""
     obs, policies = s.observations(spark, d) if obs is None else obs, s.policies(spark) if policies is None else policies
-    records = lanes.link_observed(policy.with_virtual_lanes(obs, policies)).withColumn("atc_code", F.lit(None).cast("string"))
+    # Without any rule nothing is derived, and the plan needn't hold it.
+    ruled = not policy.derivation_edges(policies).isEmpty()
+    records = lanes.link_observed(policy.with_virtual_lanes(obs, policies)) if ruled else obs.withColumn("observed_id", F.col("id"))
+    records = records.withColumn("atc_code", F.lit(None).cast("string"))
     records = molecules.resolve_identity(records, molecules.dictionary(s.atc(spark))).withColumns({"form_class": F.col("dosage_form"), "route": F.lit("oral")})
     return lanes.lane_index(records, policies, _snapshots(obs), s.rates(spark))
 
