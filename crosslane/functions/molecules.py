@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.tables import written
+
 # Language of a country; rewriting rules of a language: label, pattern, replacement, ends the rewriting.
 LANGUAGES = {"IE": "en", "PL": "pl", "FR": "fr"}
 RULES = {
@@ -128,18 +130,14 @@ def leading_token(name: Column) -> Column:
     return F.when((F.length(token) >= MIN_LENGTH) & token.rlike(r"\p{L}"), token)
 
 
-def _written(df: DataFrame) -> DataFrame:
-    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df
-
-
 def resolve_identity(records: DataFrame, words: DataFrame, labels: tuple[str, ...] = ()) -> DataFrame:
     """Add canonical_inn, resolved_atc and identity_method: a unique code, the stated name, ingredient labels in order,
     then the first word of the product name where the dictionary knows it."""
     codes = by_code(words)
     tries = [F.col("inn"), *[F.col(c) for c in labels], leading_token(F.col("product_name"))]
     all_names = records.select("country_code", F.explode(F.array(*[t.cast("string") for t in tries])).alias("inn")).where("inn is not null and trim(inn) <> ''")
-    # Distinct names and what they resolve to are written once where a checkpoint folder is set, so that the plan stays small.
-    known = _written(normalise_names(_written(all_names.distinct()), words))
+    # Distinct names and what they resolve to are written once, so that neither the records' plan nor the joins of names run again.
+    known = written(normalise_names(written(all_names.distinct(), "names"), words), "known")
     out = records.withColumn("_code", F.upper(F.trim("atc_code"))).join(codes.select(F.col("code").alias("_code"), F.col("name").alias("_by_code")), "_code", "left")
     picks = [F.when(F.col("_by_code").isNotNull(), F.struct(F.col("_by_code").alias("n"), F.col("_code").alias("a"), F.lit("atc_exact").alias("m")))]
     for k, t in enumerate(tries):

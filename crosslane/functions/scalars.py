@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PRICE = "decimal(18,6)"
@@ -72,29 +72,43 @@ def first_label(text: Column, rules: list[tuple[str, str]]) -> Column:
     return F.coalesce(*[F.when(text.rlike(_FOLD + p), F.lit(label)) for p, label in rules])
 
 
+def once(df: DataFrame, **values: Column) -> DataFrame:
+    """Add columns that are computed once for each row, whatever refers to them: the optimiser merges projections and would
+    repeat an expression at every reference, but never merges through a generator (here of one row)."""
+    for name, value in values.items():
+        df = df.select("*", F.explode(F.array(value)).alias(name))
+    return df
+
+
+def _first(text: Column, patterns: tuple[tuple[str, str], ...]) -> Column:
+    """struct(label, a, b) of the first pattern that matches the text, with its first two groups; null where none does."""
+    found = []
+    for label, p in patterns:
+        group = lambda g: F.regexp_extract(text, _FOLD + p, g)
+        second = group(2) if p.count("([0-9]+") > 1 else F.lit(None).cast("string")
+        found.append(F.when(text.rlike(_FOLD + p), F.struct(F.lit(label).alias("label"), group(1).alias("a"), second.alias("b"))))
+    return F.coalesce(*found)
+
+
 def parse_strength(raw: Column) -> Column:
     """struct(value, unit, pattern): milligrams by volume are divided; null for combinations, a zero volume and what no pattern reads."""
     text = F.trim(raw)
-    one = lambda p, g: F.regexp_extract(text, _FOLD + p, g).try_cast(PARSED)
-    found = []
-    for unit, p in STRENGTH_PATTERNS:
-        value = one(p, 1)
-        if "(?:\\.[0-9]+)?)\\s*ml" in p:
-            value = F.when(one(p, 2) != 0, (value / one(p, 2)).cast(PARSED))
-        made = F.struct(value.alias("value"), F.lit(unit).alias("unit"), F.lit(f"strength:{unit}").alias("pattern"))
-        found.append(F.when(text.rlike(_FOLD + p), made))
-    parsed = F.coalesce(*found)
     combined = text.rlike(r"(?i)^[0-9.]+/[0-9.]+(?!\s*ml)")
-    return F.when(~combined & parsed["value"].isNotNull(), parsed)
+
+    def made(found: Column) -> Column:
+        value, volume = found["a"].try_cast(PARSED), found["b"].try_cast(PARSED)
+        one = F.when(found["b"].isNull(), value).when(volume != 0, (value / volume).cast(PARSED))
+        return F.struct(one.alias("value"), found["label"].alias("unit"), F.concat(F.lit("strength:"), found["label"]).alias("pattern"))
+
+    # The cascade is written once: a lambda's variable stands for what it found.
+    parsed = F.transform(F.array(F.when(~combined, _first(text, STRENGTH_PATTERNS))), made)[0]
+    return F.transform(F.array(parsed), lambda p: F.when(p["value"].isNotNull(), p))[0]
 
 
 def parse_pack(raw: Column) -> Column:
     """struct(units, pattern); null where no pattern reads it."""
-    found = [
-        F.when(raw.rlike(_FOLD + p), F.struct(F.regexp_extract(raw, _FOLD + p, 1).try_cast("int").alias("units"), F.lit(f"pack:{name}").alias("pattern")))
-        for name, p in PACK_PATTERNS
-    ]
-    return F.coalesce(*found)
+    made = lambda f: F.when(f.isNotNull(), F.struct(f["a"].try_cast("int").alias("units"), F.concat(F.lit("pack:"), f["label"]).alias("pattern")))
+    return F.transform(F.array(_first(raw, PACK_PATTERNS)), made)[0]
 
 
 def leading_pack(c: Column) -> Column:
@@ -124,8 +138,7 @@ def per_strength(unit_price: Column, value: Column) -> Column:
 def stable_id(*parts: Column) -> Column:
     """A UUID-shaped id from the SHA-256 of the parts, joined by colons: the same parts give the same id."""
     h = F.sha2(F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256)
-    cut = lambda a, n: F.substring(h, a, n)
-    return F.concat_ws("-", cut(1, 8), cut(9, 4), cut(13, 4), cut(17, 4), cut(21, 12))
+    return F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})(.{12}).*$", "$1-$2-$3-$4-$5")
 
 
 def plain_decimal(c: Column) -> Column:
@@ -159,7 +172,7 @@ def polish_name(text: Column, forms: list[tuple[str, str]]) -> Column:
         )
 
     merged = F.aggregate(parts, start, step, lambda a: F.when(a["open"].isNotNull(), F.concat(a["done"], F.array(a["open"]))).otherwise(a["done"]))
-    rest = F.slice(merged, 2, 1000)
+    rest = F.slice(merged, F.lit(2), F.greatest(F.size(merged), F.lit(1)))
     strong = r"(?iu)[0-9]+(?:[.,][0-9]+)?(?:\s*\+\s*[0-9]+(?:[.,][0-9]+)?)?\s*(?:mg|g|mcg|µg|ml|iu|j\.?\s*m\.?|%|mln|tys)"
     strength = F.try_element_at(F.filter(rest, lambda p: p.rlike(strong)), F.lit(1))
     strength = F.regexp_replace(F.replace(strength, F.lit(","), F.lit(".")), r"(\d)\s+(\d)", "$1$2")

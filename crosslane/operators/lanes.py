@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.molecules import product_type
-from ..functions.scalars import parse_pack, parse_strength, per_strength, per_unit, plain_decimal
+from ..functions.scalars import once, parse_pack, parse_strength, per_strength, per_unit, plain_decimal
+from ..sources.tables import written
 from .fx import to_base
 from .policy import lane_semantics, policy_gate, valid_policy
 from .quality import data_gate
@@ -29,11 +30,18 @@ def link_observed(records: DataFrame) -> DataFrame:
     return records.join(seen, "raw_record_id", "left").withColumn("observed_id", F.when(F.lower("price_type").contains("derived"), F.col("_seen")).otherwise(F.col("id"))).drop("_seen")
 
 
-def parsed(records: DataFrame) -> DataFrame:
+def parsed_texts(records: DataFrame) -> DataFrame:
+    """(strength, pack_size, struct _s, struct _p) of the distinct texts of ``records``, parsed once each and written: a list
+    of prices has few of them, and the size of what was written decides how the records meet it."""
+    texts = records.select("strength", "pack_size").distinct()
+    return written(once(texts, _s=parse_strength(F.col("strength")), _p=parse_pack(F.col("pack_size"))), "texts")
+
+
+def parsed(records: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """Add strength, pack, per-unit and per-strength prices; drops nothing (what can't be read is null)."""
-    s, p = parse_strength(F.col("strength")), parse_pack(F.col("pack_size"))
-    r = records.withColumn("_s", s).withColumn("_p", p)
-    r = r.withColumns({"strength_value": F.col("_s.value"), "strength_unit": F.col("_s.unit"), "strength_text": plain_decimal(F.col("_s.value")), "pack_units": F.col("_p.units")}).drop("_s", "_p")
+    t = parsed_texts(records) if texts is None else texts
+    t = t.select(F.col("strength").alias("_st"), F.col("pack_size").alias("_pt"), F.col("_s.value").alias("strength_value"), F.col("_s.unit").alias("strength_unit"), plain_decimal(F.col("_s.value")).alias("strength_text"), F.col("_p.units").alias("pack_units"))
+    r = records.join(t, F.col("strength").eqNullSafe(F.col("_st")) & F.col("pack_size").eqNullSafe(F.col("_pt")), "left").drop("_st", "_pt")
     return r.withColumn("unit_price", per_unit(F.col("price_amount"), F.col("pack_units"))).withColumn("strength_price", per_strength(F.col("unit_price"), F.col("strength_value")))
 
 
@@ -42,15 +50,16 @@ def lane_index(records: DataFrame, policies: DataFrame, profiles: DataFrame, rat
 
     Records carry canonical_inn, form_class and route. Rows that a gate blocks, that can't be parsed or that have no rate are left out.
     """
+    texts = parsed_texts(records)
     r = valid_policy(records, policies).withColumn("_g", policy_gate()).where("not _g.blocked")
     keep = ["country_code", "snapshot_date", "price_type"]
     on = [k for k in keep if k in profiles.columns]
     prof = profiles.select(*on, "population_rate", F.col("assessment").alias("plausibility"), F.lit(True).alias("_there"))
     r = r.join(prof, on, "left").withColumn("_d", data_gate(assessment="plausibility")).where("not _d.blocked")
-    r = parsed(r.select(*records.columns, *lane_semantics(), "plausibility")).where("strength_price is not null")
+    r = parsed(r.select(*records.columns, *lane_semantics(), "plausibility"), texts).where("strength_price is not null")
     # One date for all countries: the latest snapshot.
     if fx_date is None:
-        fx_date = F.lit(records.agg(F.max("snapshot_date")).first()[0])
+        fx_date = records.agg(F.max("snapshot_date")).scalar()
     r = r.withColumn("fx_date", fx_date.cast("date"))
     r = to_base(r, rates, amount="price_amount", currency="price_currency", day="fx_date")
     eur = per_strength(per_unit(F.col("amount_eur"), F.col("pack_units")), F.col("strength_value"))

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import molecules
-from ..functions.scalars import parse_pack, parse_strength, per_strength, per_unit, plain_decimal, stable_id
+from ..functions.scalars import parse_strength, plain_decimal, stable_id
 from ..operators import candidates, fx, lanes, policy, quality
 from ..operators.policy import lane_semantics, policy_gate, valid_policy
+from ..sources.tables import written
 from . import surrogate as s
 
 QUERIES: dict = {}
@@ -95,7 +96,8 @@ def _snapshots(obs: DataFrame) -> DataFrame:
 
 def _index(spark: SparkSession, d: str, obs: DataFrame | None = None, policies: DataFrame | None = None) -> DataFrame:
     """Observed and derived rows, their molecules resolved, behind both gates."""
-    obs, policies = s.observations(spark, d) if obs is None else obs, s.policies(spark) if policies is None else policies
+    # The records are read six times (names, policies, profiles, the latest date, the index itself), so they are written once.
+    obs, policies = written(s.observations(spark, d) if obs is None else obs, "records"), s.policies(spark) if policies is None else policies
     # Without any rule nothing is derived, and the plan needn't hold it.
     ruled = not policy.derivation_edges(policies).isEmpty()
     records = lanes.link_observed(policy.with_virtual_lanes(obs, policies)) if ruled else obs.withColumn("observed_id", F.col("id"))
@@ -232,9 +234,8 @@ def duplicate_clusters(spark, d):
 
 @query(f"""WITH {s.OBS} SELECT id, strength_value AS value, 'mg' AS unit, pack_units AS units, round(CAST(price_amount AS DOUBLE) / pack_units, 6) AS unit_price, round(CAST(price_amount AS DOUBLE) / pack_units / strength_value, 6) AS strength_price FROM obs""")
 def parsed_products(spark, d):
-    o = s.observations(spark, d).withColumn("p", parse_strength(F.col("strength"))).withColumn("k", parse_pack(F.col("pack_size")))
-    unit = per_unit(F.col("price_amount"), F.col("k.units"))
-    return o.select("id", F.col("p.value").cast("int").alias("value"), F.col("p.unit").alias("unit"), F.col("k.units").alias("units"), _d(unit).alias("unit_price"), _d(per_strength(unit, F.col("p.value"))).alias("strength_price"))
+    o = lanes.parsed(s.observations(spark, d))
+    return o.select("id", F.col("strength_value").cast("int").alias("value"), F.col("strength_unit").alias("unit"), F.col("pack_units").alias("units"), _d(F.col("unit_price")).alias("unit_price"), _d(F.col("strength_price")).alias("strength_price"))
 
 
 @query(f"""WITH {s.OBS} SELECT id, kind, round(amount, 4) AS amount FROM (SELECT id, 'gross' AS kind, CAST(price_amount AS DOUBLE) AS amount FROM obs UNION ALL SELECT id, 'net', CAST(price_amount AS DOUBLE) * (1 - discount) FROM obs UNION ALL SELECT id, 'taxed', CAST(price_amount AS DOUBLE) * (1 + tax) FROM obs)""")
@@ -307,13 +308,14 @@ c AS (SELECT a.id AS id_a, b.id AS id_b, a.snapshot_date, a.country_code AS coun
 
 
 def _candidate_records(spark: SparkSession, d: str) -> DataFrame:
-    """Records that pass the policy gate and can be parsed."""
+    """Records that pass the policy gate and can be parsed, written once: both sides of the pairing read them."""
     o = _records(spark, d)
     g = valid_policy(o, s.policies(spark)).withColumn("_g", policy_gate()).where("not _g.blocked")
-    r = lanes.parsed(g.select(*o.columns, *lane_semantics())).where("strength_price is not null")
+    r = lanes.parsed(g.select(*o.columns, *lane_semantics()), lanes.parsed_texts(o)).where("strength_price is not null")
     codes = molecules.dictionary(s.atc(spark)).select(F.col("name").alias("canonical_inn"), F.col("codes")[0].alias("atc_code"))
     r = r.join(policy.small(codes), "canonical_inn", "left")
-    return r.withColumns({"attributes": F.array().cast("array<string>"), "form_confidence": F.lit("strong"), "profile_id": F.concat_ws("-", "country_code", F.year("snapshot_date"), "price_type")})
+    r = r.withColumns({"attributes": F.array().cast("array<string>"), "form_confidence": F.lit("strong"), "profile_id": F.concat_ws("-", "country_code", F.year("snapshot_date"), "price_type")})
+    return written(r, "candidate_records")
 
 
 @query(f"""WITH {_LANES} SELECT id_a, id_b, CASE WHEN pa = pb THEN 'exact' ELSE 'high' END AS identity_confidence, round(va / CASE WHEN ca = cb THEN vb ELSE ROUND(vb / rb.r * ra.r, 10) END, 2) AS price_ratio FROM c JOIN rate ra ON ra.ccy = ca AND ra.snapshot_date = c.snapshot_date JOIN rate rb ON rb.ccy = cb AND rb.snapshot_date = c.snapshot_date""")

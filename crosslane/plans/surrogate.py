@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import stable_id
 from ..operators import policy
+from ..sources.tables import spread
 
 # Policies: id, price type, category, from, to, confidence, VAT position. The second N policy begins later and replaces the first.
 POLICIES = (
@@ -23,7 +24,7 @@ ATC = (("A01AA01", "anvil"), ("B01AA02", "bolt"), ("C01AA03", "gear"), ("D01AA04
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    line, part, supplier, nation = read("lineitem"), read("part"), read("supplier"), read("nation")
+    line, part, supplier, nation = spread(read("lineitem")), read("part"), read("supplier"), read("nation")
     j = line.join(part, line.l_partkey == part.p_partkey).join(supplier, line.l_suppkey == supplier.s_suppkey).join(nation.select("n_nationkey"), F.col("s_nationkey") == F.col("n_nationkey"))
     k = F.col("n_nationkey")
     currency = F.when(k % 3 == 0, "EUR").when(k % 3 == 1, "PLN").otherwise("CZK")

@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# What the public pages' elements look like.
 _ELEMENT = r"(?is)<(?:label|span|div)\b[^>]*>(.*?)</(?:label|span|div)>"
 WINDOW = 12_000
-# Entities that are decoded; numeric ones aren't.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&euro;", "€"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+#: Code points of named entities, from Python's table of HTML.
+_NAMES = {**name2codepoint, "apos": 39}
+_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def decoded(text: Column) -> Column:
+    """Named and numeric entities as characters; an unknown one stays as it is. Each is decoded once, so &amp;lt; gives &lt;."""
+    names = F.create_map(*[F.lit(x) for kv in _NAMES.items() for x in kv])
+    found = F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(1))
+
+    def one(name: Column) -> Column:
+        hexadecimal = F.conv(F.substring(name, 3, 8), 16, 10)
+        number = F.when(F.lower(name).startswith("#x"), hexadecimal.cast("int")).when(name.startswith("#"), F.substring(name, 2, 8).cast("int")).otherwise(F.try_element_at(names, name))
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32")
+        return F.when(F.coalesce(valid, F.lit(False)), char).otherwise(F.concat(F.lit("&"), name, F.lit(";")))
+
+    rest = F.split(text, _ENTITY, -1)
+    joined = F.array_join(F.zip_with(rest, F.transform(found, one), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(text.contains("&"), joined).otherwise(text)
 
 
 def visible_text(markup: Column) -> Column:
-    """Text without scripts, styles and tags, entities decoded, space collapsed."""
+    """Text without scripts, styles and tags, entities decoded, space (no-break space too) collapsed."""
     out = F.regexp_replace(markup, r"(?is)<script\b.*?</script>|<style\b.*?</style>", " ")
-    out = F.regexp_replace(out, "<[^>]+>", " ")
-    for a, b in ENTITIES:
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    return F.trim(F.regexp_replace(decoded(F.regexp_replace(out, "<[^>]+>", " ")), r"[\s\x{A0}]+", " "))
 
 
 def text_by_id(markup: Column, element: str) -> Column:

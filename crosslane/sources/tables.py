@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +13,30 @@ from pyspark.sql import types as T
 MANIFEST = "country_code string, snapshot_date date, files array<struct<name:string,sha256:string,bytes:long>>"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores (one file with one row group, say) is dealt to all of them; any other
+    is left as it is, so a large table isn't shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that spark.checkpoint.dir names; in a temporary folder only where Spark runs in this process."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{named.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: cuts lineage and outlives executors."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_delimited(spark: SparkSession, path: str, columns: list[str], separator: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """A list with a header, every column as text; quoted fields may hold separators and line ends."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -44,8 +72,10 @@ def manifest_files(manifests: DataFrame) -> DataFrame:
 
 
 def verify_files(spark: SparkSession, folder: str, manifests: DataFrame) -> DataFrame:
-    """(name, status) of the manifests' files: ok, missing or mismatch. Each file is digested in one task."""
-    seen = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("_sha"))
+    """(country_code, snapshot_date, name, status) of the manifests' files, named by their paths below ``folder``: ok, missing
+    or mismatch. Each file is digested in one task."""
+    below = re.escape(folder.rstrip("/").split("://")[-1]) + "/(.+)$"
+    seen = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(F.regexp_extract("path", below, 1).alias("name"), F.sha2("content", 256).alias("_sha"))
     j = manifest_files(manifests).join(seen, "name", "left")
     return j.select("country_code", "snapshot_date", "name", F.when(F.col("_sha").isNull(), "missing").when(F.col("_sha") != F.lower("sha256"), "mismatch").otherwise("ok").alias("status"))
 
@@ -59,6 +89,27 @@ def write_json(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     (df.write.partitionBy(*by) if by else df.write).mode("errorifexists").json(path)
 
 
+def write_candidates(candidates: DataFrame, evidence: DataFrame, rules: DataFrame, path: str) -> None:
+    """Candidates (Parquet), their evidence and the rules behind it, each rule once (JSON lines), by ``window``."""
+    candidates.write.mode("errorifexists").partitionBy("window").parquet(f"{path}/candidates")
+    write_json(evidence, f"{path}/evidence", ["window"])
+    write_json(rules.dropDuplicates(["window", "id"]), f"{path}/rules", ["window"])
+
+
+def write_reviews(assessments: DataFrame, queue: DataFrame, path: str) -> None:
+    """Assessments and the queue of those that need a look, as JSON lines by ``window``."""
+    write_json(assessments, f"{path}/assessments", ["window"])
+    write_json(queue, f"{path}/queue", ["window"])
+
+
+def write_profiles(profiles: DataFrame, statuses: DataFrame, path: str) -> None:
+    """One JSON line for each snapshot: its status as a header, then its profiles as a nested array."""
+    keys = ["country_code", "snapshot_date"]
+    rest = [c for c in profiles.columns if c not in keys]
+    nested = profiles.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*rest))).alias("profiles"))
+    write_json(statuses.select(*keys, F.col("status").alias("snapshot_status")).join(nested, keys), path, ["country_code"])
+
+
 def append_rates(rates: DataFrame, path: str) -> None:
     rates.write.mode("append").json(path)
 
@@ -82,5 +133,10 @@ def not_done(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return work.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
+def available(df: DataFrame, name: str) -> DataFrame:
+    """The distinct values of a column in order (the windows that have candidates, say)."""
+    return df.select(name).distinct().orderBy(name)
+
+
 def in_window(df: DataFrame, window: Column) -> DataFrame:
     return df.withColumn("window", window)

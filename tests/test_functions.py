@@ -37,6 +37,11 @@ def test_polish_name(spark):
     assert [(g.name, g.form, g.strength) for g in got[:4]] == [("Adeksa", "tablet", "100 mg"), ("Lek", "tablet", "29.03+66.66 mg"), ("Witamina", "capsule", "25000 j.m."), ("Sam", None, None)]
 
 
+def test_polish_name_of_many_parts(spark):
+    long = "Lek, " + ", ".join(["x"] * 2000) + ", tabl., 5 mg"
+    assert [(g.name, g.form, g.strength) for g in values(spark, [long], s.polish_name(F.col("x"), list(PL_NAME_FORMS)))] == [("Lek", "tablet", "5 mg")]
+
+
 def test_names_and_keys(spark):
     df = spark.createDataFrame([("ABC", "abc 10"), ("Abc 10 x", "abc 10"), (None, "b"), ("a", None)], "a string, b string")
     assert [r[0] for r in df.select(s.joined_name(F.col("a"), F.col("b"))).collect()] == ["ABC abc 10", "Abc 10 x", "b", "a"]

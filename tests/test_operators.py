@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from crosslane.functions import molecules
 from crosslane.operators import candidates, canonical, fx, lanes, policy, quality, review
 from crosslane.sources import html, tables
 
@@ -96,10 +97,56 @@ def test_canonical_routes_every_row(spark):
 
 
 def test_unpivot_of_price_columns(spark):
-    raw = spark.createDataFrame([(1, "Lek, tabl., 10 mg", "subst", "30 szt.", "10,5", "11", "", "12")], "row_index int, `Nazwa` string, `Substancja czynna` string, `Zawartość opakowania` string, `Cena zbytu netto` string, `Urzędowa cena zbytu` string, `Cena hurtowa brutto` string, `Cena detaliczna` string")
-    rows = canonical.judged(raw, canonical.COUNTRIES["PL"]).collect()
-    assert sorted((r.price_type, float(r.price_amount), r.price_includes_vat) for r in rows) == [("Cena detaliczna", 12.0, True), ("Cena zbytu netto", 10.5, False), ("Urzędowa cena zbytu", 11.0, False)]
-    assert rows[0].strength == "10 mg" and rows[0].dosage_form == "tablet"
+    raw = spark.createDataFrame([(1, "Lek, tabl., 10 mg", "Subst", "30 szt.", "10,5", "11", "", "12"), (2, "Lek, tabl., 10 mg", "Subst", "30 szt.", "", None, "", "")], "row_index int, `Nazwa  postać i dawka` string, `Substancja czynna` string, `Zawartość opakowania` string, `Cena zbytu netto` string, `Urzędowa cena zbytu` string, `Cena hurtowa brutto` string, `Cena detaliczna` string")
+    rows = canonical.judged(raw, canonical.COUNTRIES["PL"]).where("row_index = 1").collect()
+    assert sorted((r.price_type, float(r.price_amount), r.price_includes_vat) for r in rows) == [("Cena detaliczna", 12.0, True), ("Cena zbytu netto", 10.5, False), ("Urzędowa cena zbytu", 11.0, True)]
+    assert (rows[0].strength, rows[0].dosage_form, rows[0].inn) == ("10 mg", "oral_solid", "subst")
+    assert [r.reason for r in canonical.judged(raw, canonical.COUNTRIES["PL"]).where("row_index = 2").collect()] == ["price can't be read"]
+
+
+LISTS = {
+    "IE": {"Drug Name": "PARACET 500mg Film Coated Tabs", "INN": "Paracetamol", "Strength Measure": "500 mg", "Pack Size": "30", "Code": "12345", "Non Proprietary Name": "Maker", "Reimbursement Price": "2.85"},
+    "FR": {"CIP13": "340", "DENOMINATION": "DOLIPRANE", "INN": "paracetamol", "ATC": "N02BE01", "DOSAGE": "500mg", "FORME": "tablet", "CONDITIONNEMENT": "30", "LABORATOIRE": "Labo", "PRIX_FABRICANT_EUR": "2.10"},
+    "ES": {"Código Nacional": "650004", "Nombre del producto farmacéutico": "DEPAKINE 500 mg comprimidos gastrorresistentes, 20 comprimidos", "Tipo de fármaco": "Medicamento Etica", "Nombre del laboratorio ofertante": "SANOFI", "Principio activo o asociación de principios activos": "VALPROATO SODIO", "Precio de venta al público con IVA": "2,50"},
+    "IT": {"Principio Attivo": "Acarbosio", "Descrizione Gruppo": "ACARBOSIO 100MG 40 UNITA' USO ORALE", "Denominazione e Confezione": "ACARBOSIO*40 cpr 100 mg", "Prezzo al pubblico €": "5,63", "Titolare AIC": "DOC", "AIC": "044155024"},
+    "PT": {"Nome do Medicamento": "ACARBOSIO", "Substância Ativa/DCI": "Acarbose", "Forma Farmacêutica": "Comprimido", "Dosagem": "100 mg", "Apresentação": "40 comprimidos", "Titular de AIM": "Holder", "ATC": "A10BF01 - acarbose", "PVP": "5,63", "Código": "PT-1"},
+    "BE": {"SPB_PRICE": "10.80", "S_COD": "1234567", "S_NAM": "BELGIAN TEST", "S_NAM_SPECIF": "500 mg 30 tablets", "F_ORGA": "Pharma NV", "ATC_COD": "N02BE01", "SI_CONC_NOM": "500 mg", "VOLUME_TOTAL": "30", "INN": "paracetamol", "RPT_PCK_LBL_FR": "30 comprimés pelliculés", "RPT_PCK_LBL_NL": "30 filmomhulde tabletten"},
+    "CZ": {"kodSUKL": "0001", "nazev": "PARALEN 500", "sila": "500mg", "lekovaFormaKod": "TBL NOB", "baleni": "24 I", "ATCkod": "N02BE01", "cenaPuvodce": "20.5", "maxCenaLekarna": None},
+}
+#: product name, strength, pack, form, route, price, VAT, price type, code.
+RECORDS = {
+    "IE": ("PARACET 500mg Film Coated Tabs", "500 mg", "30", "oral_solid", "oral", "2.85", False, "Reimbursement Price", "12345"),
+    "FR": ("DOLIPRANE", "500mg", "30", "oral_solid", "oral", "2.10", False, "PRIX_FABRICANT_EUR", "340"),
+    "ES": ("DEPAKINE 500 mg comprimidos gastrorresistentes, 20 comprimidos", "500 mg", "20", "oral_solid", "oral", "2.50", True, "Precio de venta al público con IVA", "650004"),
+    "IT": ("ACARBOSIO*40 cpr 100 mg", "100MG", "40", "oral_solid", "oral", "5.63", True, "Prezzo al pubblico", "044155024"),
+    "PT": ("ACARBOSIO", "100 mg", "40", "oral_solid", "oral", "5.63", True, "PVP", "PT-1"),
+    "BE": ("BELGIAN TEST 500 mg 30 tablets", "500 mg", "30", "oral_solid", "oral", "10.80", False, "SPB_PRICE", "1234567"),
+    "CZ": ("PARALEN 500", "500MG", "24", "oral_solid", "oral", "20.5", False, "cenaPuvodce", "0001"),
+}
+
+
+@pytest.mark.parametrize("code", sorted(LISTS))
+def test_country_lists(spark, code):
+    c, row = canonical.COUNTRIES[code], LISTS[code]
+    words = molecules.dictionary(spark.createDataFrame([("N02BE01", "paracetamol"), ("A10BF01", "acarbose")], "atc_code string, atc_name string"))
+    raw = spark.createDataFrame([tuple(row.values())], ", ".join(f"`{k}` string" for k in row))
+    (r,) = canonical.named(canonical.judged(raw, c), c, words).collect()
+    name, strength, pack, form, route, price, vat, kind, number = RECORDS[code]
+    assert (r.reason, r.product_name, r.strength, r.pack_size, r.dosage_form, r.route_of_administration, r.price_amount, r.price_includes_vat, r.price_type, r.product_code) == (None, name, strength, pack, form, route, Decimal(price), vat, kind, number)
+    assert (r.inn or "").lower() == {"ES": "valproato sodio", "IT": "acarbosio", "PT": "acarbose"}.get(code, "paracetamol")
+    assert r.atc_code == {"FR": "N02BE01", "BE": "N02BE01", "CZ": "N02BE01", "PT": "A10BF01"}.get(code)
+
+
+def test_rows_that_are_no_priced_medicine_go(spark):
+    for code, gone in (("ES", "Tipo de fármaco"), ("BE", "SPB_PRICE"), ("CZ", "cenaPuvodce")):
+        row = {**LISTS[code], gone: "nan"}
+        assert canonical.judged(spark.createDataFrame([tuple(row.values())], ", ".join(f"`{k}` string" for k in row)), canonical.COUNTRIES[code]).count() == 0
+
+
+def test_list_without_any_expected_column(spark):
+    for code, c in canonical.COUNTRIES.items():
+        if code not in ("ES", "BE", "CZ"):
+            assert canonical.judged(spark.createDataFrame([("x",)], "other string"), c).first().reason.startswith("missing"), code
 
 
 def test_pages(spark):
