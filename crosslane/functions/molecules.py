@@ -71,25 +71,26 @@ def by_code(words: DataFrame) -> DataFrame:
     return words.select(F.explode("codes").alias("code"), "name").groupBy("code").agg(F.min("name").alias("name"), F.count("*").alias("n")).where("n = 1").drop("n")
 
 
+def near_pairs(names: DataFrame, words: DataFrame) -> DataFrame:
+    """(name, word, distance) of distinct names and words that begin with the same character, within distance 2. The first
+    character and the length are keys of the join, so no pair of other lengths is looked at."""
+    a = names.select("name").distinct().withColumns({"_c": F.substring("name", 1, 1), "_len": F.explode(F.sequence(F.length("name") - MAX_DISTANCE, F.length("name") + MAX_DISTANCE))})
+    b = words.select(F.col("name").alias("word"), F.substring("name", 1, 1).alias("_c"), F.length("name").alias("_len")).distinct()
+    return a.join(b, ["_c", "_len"]).withColumn("distance", F.levenshtein("name", "word", MAX_DISTANCE)).where(F.col("distance").between(0, MAX_DISTANCE)).select("name", "word", "distance")
+
+
 def fuzzy(names: DataFrame, words: DataFrame, ratio: float, col: str = "name") -> DataFrame:
     """(name, match, ambiguous): the one dictionary name nearest to each distinct name, within distance 2.
 
     Both names begin with the same character and neither is shorter than ``ratio`` of the other; names under four
     characters aren't tried. Without a single nearest one the match is null and ambiguous holds all of the nearest.
-    The first character and the length are keys of the join, so no pair of other lengths is looked at.
     """
-    a = names.select(F.col(col).alias("name")).where(F.length(col) >= MIN_LENGTH).distinct()
-    a = a.withColumns({"_c": F.substring("name", 1, 1), "_len": F.explode(F.sequence(F.length("name") - MAX_DISTANCE, F.length("name") + MAX_DISTANCE))})
-    b = words.select(F.col("name").alias("word"), F.substring("name", 1, 1).alias("_c"), F.length("name").alias("_len"))
-    near = (
-        a.join(b, ["_c", "_len"])
-        .where((F.length("name") >= ratio * F.length("word")) & (F.length("word") >= ratio * F.length("name")))
-        .withColumn("distance", F.levenshtein("name", "word", MAX_DISTANCE))
-        .where(F.col("distance").between(0, MAX_DISTANCE))
-    )
-    least = near.groupBy("name").agg(F.min("distance").alias("distance"))
-    tied = near.join(least, ["name", "distance"]).groupBy("name").agg(F.sort_array(F.collect_set("word")).alias("words"))
-    return tied.select("name", F.when(F.size("words") == 1, F.col("words")[0]).alias("match"), F.when(F.size("words") > 1, F.col("words")).alias("ambiguous"))
+    pairs = near_pairs(names.select(F.col(col).alias("name")).where(F.length(col) >= MIN_LENGTH), words)
+    near = pairs.where((F.length("name") >= ratio * F.length("word")) & (F.length("word") >= ratio * F.length("name")))
+    # The words at each distance, at most three rows a name: the nearest are those of its least distance.
+    least = near.groupBy("name", "distance").agg(F.sort_array(F.collect_set("word")).alias("words"))
+    best = least.groupBy("name").agg(F.min_by("words", "distance").alias("words"))
+    return best.select("name", F.when(F.size("words") == 1, F.col("words")[0]).alias("match"), F.when(F.size("words") > 1, F.col("words")).alias("ambiguous"))
 
 
 def normalise_names(names: DataFrame, words: DataFrame, name_col: str = "inn", country_col: str = "country_code") -> DataFrame:
@@ -166,7 +167,7 @@ def product_type(name: Column, inn: Column) -> Column:
     makers = F.lit("|".join(re.escape(m) for m in GENERIC_MAKERS))
     made = lambda t, c, r: F.struct(F.lit(t).alias("type"), F.lit(c).alias("confidence"), F.lit(r).alias("reason"))
     return (
-        F.when(F.coalesce(low, F.lit("")) == "", made("brand", 0.3, "empty product name"))
+        F.when(F.coalesce(low, F.lit("")) == "", made("brand", 0.3, "no name"))
         .when(F.coalesce(ref, F.lit("")) == "", made("brand", 0.3, "no molecule to compare with"))
         .when(low.contains(" ") & F.regexp_like(low, makers), made("generic", 0.85, "known generic maker in the name"))
         .when(F.startswith(low, ref), made("generic", 0.95, "name starts with the molecule"))

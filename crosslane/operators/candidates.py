@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.forms import compatibility
 from ..functions.scalars import stable_id
 from .fx import as_of, ratio
 from .policy import policy_gate, valid_policy
@@ -12,6 +13,11 @@ from .quality import data_gate
 
 #: What a side must have; the join keys of a pair besides the molecule are hard exclusions.
 HARD = ["comparison_category", "form_class", "route", "strength_unit", "strength_value"]
+#: What pairs, candidates, evidence and reviews read of a record.
+PAIRED = {
+    *HARD, "id", "raw_record_id", "country_code", "snapshot_date", "product_name", "canonical_inn", "atc_code", "price_type", "price_amount", "price_currency", "pack_units", "unit_price", "strength_price",
+    "attributes", "form_confidence", "vat_position", "lane_caveats", "policy_id", "profile_id", "source_document_id",
+}
 CONFIDENCE = ("low", "medium", "high", "exact")
 
 
@@ -26,6 +32,15 @@ def lanes_with_skips(records: DataFrame, policies: DataFrame, profiles: DataFram
     return j.where("reason is null").select(*cols), j.where("reason is not null").select(*cols, "reason")
 
 
+def first_lane_gate(records: DataFrame, policies: DataFrame, profiles: DataFrame, order: str = "id") -> DataFrame:
+    """(country_code, snapshot_date, price_type, reason): the price type of each snapshot's first row, and why it is blocked."""
+    keys = ["country_code", "snapshot_date"]
+    first = records.groupBy(*keys).agg(F.min_by("price_type", order).alias("price_type"))
+    j = valid_policy(first, policies).join(profiles.select(*keys, "population_rate", "assessment").dropDuplicates(keys), keys, "left")
+    reason = F.coalesce(F.concat(F.lit("policy: "), policy_gate()["reason"]), F.concat(F.lit("data: "), data_gate()["reason"]))
+    return j.select(*keys, "price_type", reason.alias("reason"))
+
+
 def lane_pairs(lanes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pairs of lanes of two countries with one category, lanes without any partner)."""
     a = lanes.select(*[F.col(c).alias(f"{c}_a") for c in ("country_code", "price_type")], "comparison_category").distinct()
@@ -67,19 +82,15 @@ def _capped(base: Column, *caps: Column) -> Column:
 def assess(p: DataFrame) -> DataFrame:
     """Add identity_confidence and identity_reason: equal packs are exact, other packs high, an unreadable one low; caps for
     differing attributes or weaker form mappings (high) and for no code on either side (medium)."""
-    a, b = F.coalesce("attributes_a", F.array()), F.coalesce("attributes_b", F.array())
-    differs = F.array_sort(F.array_distinct(a)) != F.array_sort(F.array_distinct(b))
-    weak = (F.col("form_confidence_a") != "strong") | (F.col("form_confidence_b") != "strong")
+    side = lambda x: {"form_class": F.col("form_class"), "route": F.col("route"), "attributes": F.col(f"attributes_{x}"), "confidence": F.col(f"form_confidence_{x}")}
+    p = p.withColumn("_fit", compatibility(side("a"), side("b")))
     no_code = F.col("atc_code_a").isNull() & F.col("atc_code_b").isNull()
     unread = F.col("pack_units_a").isNull() | F.col("pack_units_b").isNull()
-    base = F.when(unread, "low").when(F.col("pack_units_a") == F.col("pack_units_b"), "exact").otherwise("high")
-    cap = _capped(base, F.when(differs | weak, F.lit("high")), F.when(no_code, F.lit("medium")))
-    reasons = F.array_compact(F.array(
-        F.when(unread, "pack size unparseable on one or both sides"),
-        F.when(~unread & (F.col("pack_units_a") != F.col("pack_units_b")), "pack sizes differ: prices are compared per unit"),
-        F.when(differs, "presentation differs"), F.when(weak, "dosage-form mapping confidence below strong on at least one side"),
-    ))
-    return p.withColumn("identity_confidence", cap).withColumn("identity_reason", F.array_join(reasons, "; "))
+    other_pack = F.col("pack_units_a") != F.col("pack_units_b")
+    base = F.when(unread, "low").when(other_pack, "high").otherwise("exact")
+    cap = _capped(base, F.col("_fit.cap"), F.when(no_code, F.lit("medium")))
+    reasons = F.concat(F.array_compact(F.array(F.when(unread, "unread pack"), F.when(~unread & other_pack, "other pack: priced per unit"))), F.col("_fit.notes"))
+    return p.withColumn("identity_confidence", cap).withColumn("identity_reason", F.array_join(reasons, "; ")).drop("_fit")
 
 
 def priced(p: DataFrame, rates: DataFrame) -> DataFrame:
@@ -92,7 +103,8 @@ def priced(p: DataFrame, rates: DataFrame) -> DataFrame:
 
 def candidates(records: DataFrame, rates: DataFrame, same_quarter: bool = False) -> DataFrame:
     """Candidates with id, confidence, ratio and caveats in order: identity, VAT, lane rules, exchange rate. Swapping sides can't change an id."""
-    p = priced(assess(pairs(records, same_quarter)), rates)
+    used = [c for c in records.columns if c in PAIRED]  # nothing else is shuffled
+    p = priced(assess(pairs(records.select(*used), same_quarter)), rates)
     own = lambda s: F.coalesce(F.col(f"lane_caveats_{s}"), F.array()) if f"lane_caveats_{s}" in p.columns else F.array().cast("array<string>")
     caveats = F.concat(
         F.array(F.nullif(F.col("identity_reason"), F.lit("")), F.when(~F.col("vat_position_a").eqNullSafe(F.col("vat_position_b")), "VAT positions differ")), own("a"), own("b"),
@@ -108,10 +120,16 @@ def evidence(c: DataFrame) -> DataFrame:
 
 
 def derivation_rules(records: DataFrame) -> DataFrame:
-    """(id, rule_type, record_id, formula): one audit row for each computed value of the records, each once."""
-    one = lambda kind, formula, ok: F.when(ok, F.struct(F.lit(kind).alias("rule_type"), F.lit(formula).alias("formula")))
-    made = F.array_compact(F.array(one("per_unit", "price_amount / pack_units", F.col("unit_price").isNotNull()), one("per_strength_unit", "unit_price / strength_value", F.col("strength_price").isNotNull())))
-    e = records.select(F.col("id").alias("record_id"), F.explode(made).alias("r")).select("record_id", "r.*")
+    """(id, rule_type, record_id, formula): one audit row for each computed value of the records, each once: prices per unit and
+    per strength unit, and where the records have them derived lanes (formula) and prices converted to euro (amount_eur)."""
+    one = lambda kind, formula, ok: F.when(ok, F.struct(F.lit(kind).alias("rule_type"), formula.alias("formula")))
+    made = [one("per_unit", F.lit("price_amount / pack_units"), F.col("unit_price").isNotNull()), one("per_strength_unit", F.lit("unit_price / strength_value"), F.col("strength_price").isNotNull())]
+    if "source_record_id" in records.columns:
+        made.append(one("price_lane", F.col("formula"), F.col("source_record_id").isNotNull()))
+    if "amount_eur" in records.columns:
+        rate = F.concat_ws(" ", F.lit("price_amount from"), "price_currency", F.lit("to EUR on"), F.col("fx_date").cast("string"))
+        made.append(one("currency_conversion", rate, F.col("amount_eur").isNotNull() & (F.col("price_currency") != "EUR")))
+    e = records.select(F.col("id").alias("record_id"), F.explode(F.array_compact(F.array(*made))).alias("r")).select("record_id", "r.*")
     return e.withColumn("id", stable_id(F.col("rule_type"), F.col("record_id"))).dropDuplicates(["id"])
 
 

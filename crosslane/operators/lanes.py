@@ -24,6 +24,12 @@ def identity_key() -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("canonical_inn", "strength_text", "strength_unit", "form_class", "route")])
 
 
+def presentation_key() -> Column:
+    """The identity key with the pack and the form's attributes."""
+    attributes = F.array_join(F.coalesce("form_attributes", F.array().cast("array<string>")), "|")
+    return F.concat_ws("|", identity_key(), F.coalesce(F.col("pack_units").cast("string"), F.lit("")), F.nullif(attributes, F.lit("")))
+
+
 def link_observed(records: DataFrame) -> DataFrame:
     """Derived rows take the id of the observed row of the same raw record (of several the last by id); others their own."""
     seen = records.where(~F.coalesce(F.lower("price_type").contains("derived"), F.lit(False))).groupBy("raw_record_id").agg(F.max("id").alias("_seen"))
@@ -67,8 +73,9 @@ def lane_index(records: DataFrame, policies: DataFrame, profiles: DataFrame, rat
     return r.withColumn("eur_per_strength", eur).withColumn("product_type", kind["type"]).withColumn("lane_key", lane_key()).withColumn("identity_key", identity_key())
 
 
-def cohorts(index: DataFrame, min_countries: int = 2, inn: str | None = None, lane: str | None = None, keys: tuple[str, ...] = ("lane_key", "identity_key")) -> DataFrame:
-    """Rows of the groups with at least ``min_countries`` countries, with cohort_id and n_countries.
+def cohorts(index: DataFrame, min_countries: int = 2, inn: str | None = None, lane: str | None = None, keys: tuple[str, ...] = ("lane_key", "identity_key"), kind: str | None = None) -> DataFrame:
+    """Rows of the groups with at least ``min_countries`` countries, with cohort_id and n_countries; of one molecule, lane or
+    kind of product (brand or generic) where asked. ``keys`` may have further columns, such as a presentation key.
 
     The groups are found by an aggregate; rows then meet them by a join, so no group is gathered."""
     i = index
@@ -76,6 +83,8 @@ def cohorts(index: DataFrame, min_countries: int = 2, inn: str | None = None, la
         i = i.where(F.lower("canonical_inn") == inn.strip().lower())
     if lane is not None:
         i = i.where(F.col("lane_key") == lane)
+    if kind is not None:
+        i = i.where(F.col("product_type") == kind)
     wide = i.groupBy(*keys).agg(F.count_distinct("country_code").alias("n_countries")).where(F.col("n_countries") >= min_countries)
     return i.join(wide, list(keys)).withColumn("cohort_id", F.sha2(F.concat_ws("||", *keys), 256))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime, time
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ POLICY = (
 #: Policies are a hand-written dimension; beyond this count they are joined by a shuffle.
 MOST_BROADCAST = 100_000
 DERIVED = "derived_ex_factory"
+#: The built-in formulas count from this day on.
+DEFAULTS_SINCE = date(1990, 1, 1)
 
 
 def small(df: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
@@ -210,21 +213,24 @@ IE_BRANCHES = [({"any": [{"field": "dosage_form", "equals": "injectable"}, {"fie
 
 
 def default_policies(spark) -> DataFrame:
-    """The countries' built-in formulas as policies; use with branches={"default-IE": IE_BRANCHES}."""
+    """The countries' built-in formulas as policies of the derived price type; use with branches={"default-IE": IE_BRANCHES}."""
     rows = []
     for cc, r in DEFAULT_RULES.items():
         rule = tuple(r[k] for k in ("source_price_type", "target_price_type", "target_category", "formula_id", "formula", "parameters", "tiers", "legal_basis", "confidence", "caveats"))
-        rows.append((f"default-{cc}", cc, r["source_price_type"], "ex_factory", None, None, None, "medium", None, [], [], ("ex_factory", "vat_exclusive", "excluded", "derived"), [rule]))
+        rows.append((f"default-{cc}", cc, r["target_price_type"], "ex_factory", DEFAULTS_SINCE, None, None, "medium", datetime.combine(DEFAULTS_SINCE, time()), [], r["legal_basis"], ("ex_factory", "vat_exclusive", "excluded", "derived"), [rule]))
     return spark.createDataFrame(rows, POLICY)
 
 
 def violations(policies: DataFrame) -> DataFrame:
     """(id, rule) for every constraint that a policy breaks."""
+    rule = F.coalesce("derivation_rules", F.array().cast(f"array<{RULE}>"))
     rules = {
-        "category disagrees with semantics": F.col("comparison_category") != F.col("semantics.comparison_category"),
+        "category disagrees with semantics": ~F.col("comparison_category").eqNullSafe(F.col("semantics.comparison_category")),
         "no source reference": F.coalesce(F.size("source_references"), F.lit(0)) <= 0,
-        "rule target disagrees with category": F.exists(F.coalesce("derivation_rules", F.array()), lambda r: r["target_category"].isNull()),
-        "rule without legal basis": F.exists(F.coalesce("derivation_rules", F.array()), lambda r: F.coalesce(F.size(r["legal_basis"]), F.lit(0)) <= 0),
+        "not authored": F.col("authored_at").isNull(),
+        "rule target is another type": F.exists(rule, lambda r: ~r["target_price_type"].eqNullSafe(F.col("price_type"))),
+        "rule target is another category": F.exists(rule, lambda r: ~r["target_category"].eqNullSafe(F.col("comparison_category"))),
+        "rule without legal basis": F.exists(rule, lambda r: F.coalesce(F.size(r["legal_basis"]), F.lit(0)) <= 0),
         "ends before it begins": F.col("effective_to") < F.col("effective_from"),
     }
     broken = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))

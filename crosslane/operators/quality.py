@@ -112,6 +112,28 @@ def duplicate_clusters(records: DataFrame, keys: list[str]) -> DataFrame:
     return records.groupBy(*keys).agg(F.count("*").alias("cluster_size")).where("cluster_size > 1")
 
 
+def duplicate_profile(records: DataFrame, by: list[str] = SNAPSHOT, code: str = "product_code") -> DataFrame:
+    """Per snapshot: how many groups of rows share a code, and the verdict: any group makes it suspect."""
+    sizes = records.groupBy(*by, code).agg(F.count("*").alias("_n"))
+    p = sizes.groupBy(*by).agg(F.count_if(F.col("_n") > 1).alias("duplicate_cluster_count"))
+    return p.withColumn("assessment", F.when(F.col("duplicate_cluster_count") > 0, "suspect").otherwise("plausible"))
+
+
+def unit_plausibility(records: DataFrame, keys: list[str], low: float, high: float) -> DataFrame:
+    """Per key: rows whose pack isn't read, whose strength has no digit or whose price isn't in [low, high], rows with any of
+    these, and the verdict: suspect beyond the share of outliers that is allowed. Takes ``lanes.parsed`` records."""
+    pack = F.coalesce(F.col("pack_units") <= 0, F.lit(True))
+    strength = ~F.coalesce(F.col("strength").rlike("[0-9]"), F.lit(False))
+    price = ~F.coalesce(F.col("price_amount").between(low, high) & (F.col("price_amount") > 0), F.lit(False))
+    p = records.groupBy(*keys).agg(F.count("*").alias("record_count"), F.count_if(pack).alias("bad_packs"), F.count_if(strength).alias("bad_strengths"), F.count_if(price).alias("bad_prices"), F.count_if(pack | strength | price).alias("outlier_count"))
+    return p.withColumn("assessment", F.when(F.col("outlier_count") / F.col("record_count") > MAX_OUTLIERS, "suspect").otherwise("plausible"))
+
+
+def currency_totals(records: DataFrame, keys: list[str], value: str = "price_amount", currency: str = "price_currency") -> DataFrame:
+    """Count and sum of a price by the keys and by currency, so that no sum adds up two of them."""
+    return records.groupBy(*keys, currency).agg(F.count("*").alias("n"), F.sum(F.col(value).cast("decimal(18,6)")).alias("total"))
+
+
 def broken(df: DataFrame, rules: dict[str, Column], id_col: str = "id") -> DataFrame:
     """(id, rule) for every rule that holds where it must not; one scan for all rules."""
     return df.select(F.col(id_col), F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))).alias("rule"))
@@ -127,6 +149,33 @@ def record_rules() -> dict[str, Column]:
     }
 
 
+def profile_rules() -> dict[str, Column]:
+    counts = [F.col(c) < 0 for c in ("record_count", "null_count", "outlier_count")]
+    return {"a count is negative": counts[0] | counts[1] | counts[2], "absent field has values": ~F.col("field_exists") & (F.col("population_rate") != 0), "not assessed at a time": F.col("assessed_at").isNull()}
+
+
+def review_rules() -> dict[str, Column]:
+    none = lambda c: F.coalesce(F.size(c), F.lit(0)) <= 0
+    weak = (F.col("policy_strength") == "weak") | (F.col("data_strength") == "weak") | (F.col("identity_strength") == "weak")
+    return {
+        "not comparable without a blocker": (F.col("usability") == "not_comparable") & none("blockers"),
+        "caveat without a text": (F.col("usability") == "usable_with_caveat") & none("caveats"),
+        "usable with a weak strength": (F.col("usability") == "usable") & weak,
+    }
+
+
+def candidate_rules() -> dict[str, Column]:
+    return {"a country against itself": F.col("country_code_a") == F.col("country_code_b")}
+
+
+def anomaly_rules() -> dict[str, Column]:
+    return {"resolved without a resolution": (F.col("status") == "resolved") & F.col("resolution").isNull()}
+
+
+def conversion_rules() -> dict[str, Column]:
+    return {"conversion without a source": (F.col("rule_type") == "currency_conversion") & (F.coalesce("fx_source", F.lit("")) == ""), "conversion without a date": (F.col("rule_type") == "currency_conversion") & F.col("fx_date").isNull()}
+
+
 def route_anomalies(anomalies: DataFrame) -> DataFrame:
     """Queue and whether a decision is required, by severity."""
     severity = F.col("severity")
@@ -134,7 +183,16 @@ def route_anomalies(anomalies: DataFrame) -> DataFrame:
     return anomalies.withColumn("queue", queue).withColumn("needs_decision", severity.isin("blocking", "high"))
 
 
+READY = "ready_for_country_plan"
+EVIDENCE = {"sources": "official_sources", "observed lanes": "observed_price_lanes", "identity fields": "identity_fields", "a comparison basis": "first_comparison_basis"}
+
+
 def country_readiness(countries: DataFrame) -> DataFrame:
-    """Countries marked ready whose evidence arrays are empty or that have blockers."""
+    """(country_code, rule) for countries marked ready that have blockers or lack some of the evidence."""
+    ready = F.col("status") == READY
     empty = lambda c: F.coalesce(F.size(c), F.lit(0)) <= 0
-    return broken(countries, {"ready without sources": (F.col("status") == "ready") & empty("sources"), "ready with blockers": (F.col("status") == "ready") & ~empty("blockers")}, "country_code")
+    return broken(countries, {"ready with blockers": ready & ~empty("blockers"), **{f"ready without {n}": ready & empty(c) for n, c in EVIDENCE.items()}}, "country_code")
+
+
+def readiness_counts(countries: DataFrame) -> DataFrame:
+    return countries.groupBy("phase", "status").agg(F.count("*").alias("n"))

@@ -91,6 +91,26 @@ def filtered(reviews: DataFrame, pair: tuple[str, str] | None = None, inn: str |
     return out
 
 
+def filter_values(reviews: DataFrame) -> DataFrame:
+    """(filter, value): what a workbench can filter by: country pairs, molecules and usabilities, each once."""
+    pair = F.concat_ws("/", "country_code_a", "country_code_b")
+    options = F.array(F.struct(F.lit("pair").alias("filter"), pair.alias("value")), F.struct(F.lit("molecule").alias("filter"), F.col("canonical_inn_a").alias("value")), F.struct(F.lit("usability").alias("filter"), F.col("usability").alias("value")))
+    # Distinct combinations first: they are few, whatever the number of reviews.
+    return reviews.select("country_code_a", "country_code_b", "canonical_inn_a", "usability").distinct().select(F.explode(options).alias("o")).select("o.*").distinct()
+
+
+def for_window(queue: DataFrame, window: str) -> DataFrame:
+    """The known fields of one window's queue."""
+    return queue.where(F.col("window") == window).select("id", "usability", "queue_status", "blockers", "caveats")
+
+
+def with_default(df: DataFrame, table: DataFrame, key: str, defaults: dict[str, Column]) -> DataFrame:
+    """Left lookup of ``table`` by ``key``: the named columns, or their defaults where the key isn't there."""
+    t = table.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_v_{c}") for c in defaults], F.lit(True).alias("_there"))
+    j = df.join(t, F.col(key) == F.col("_k"), "left")
+    return j.select(*[F.col(f"`{c}`") for c in df.columns], *[F.when(F.col("_there"), F.col(f"_v_{c}")).otherwise(d).alias(c) for c, d in defaults.items()])
+
+
 def for_molecule(c: DataFrame, evidence: DataFrame, reviews: DataFrame, inn: str) -> DataFrame:
     """Candidates of one molecule with evidence and review; defaults where either is missing."""
     hit = c.where(F.lower(F.trim("canonical_inn_a")) == inn.strip().lower())
@@ -124,21 +144,48 @@ def audit_links(c: DataFrame, reviews: DataFrame, rules: DataFrame, profiles: Da
     return long.join(known, ["link", "target_id"], "left").select("candidate_id", "side", "link", "target_id", F.coalesce("_f", F.lit(False)).alias("found"))
 
 
+def file_links(c: DataFrame, documents: DataFrame, verified: DataFrame) -> DataFrame:
+    """The chain's last links, in the form of ``audit_links``: each file of either side's source document, found if its digest
+    is that of the manifest. ``documents``: (id, name) of the document's files; ``verified``: (name, status)."""
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"source_document_id_{s}").alias("doc")) for s in "ab"])
+    ends = c.select(F.col("id").alias("candidate_id"), F.explode(sides).alias("e")).select("candidate_id", "e.*")
+    files = documents.join(verified.select("name", (F.col("status") == "ok").alias("found")), "name", "left").select(F.col("id").alias("doc"), "name", F.coalesce("found", F.lit(False)).alias("found"))
+    return ends.join(files, "doc").select("candidate_id", "side", F.lit("file").alias("link"), F.col("name").alias("target_id"), "found")
+
+
 def resolution(links: DataFrame) -> DataFrame:
     return links.groupBy("candidate_id").agg(F.bool_and("found").alias("resolved"), F.count_if(~F.col("found")).alias("n_broken"), F.array_join(F.sort_array(F.collect_set(F.when(~F.col("found"), F.concat_ws(":", "side", "link")))), ",").alias("broken"))
 
 
-# Labels of a report by locale.
-LABELS = (("en", "title", "Comparison"), ("en", "ratio", "Ratio"), ("en", "caveats", "Caveats"), ("zh-CN", "title", "价格比较"), ("zh-CN", "ratio", "比率"), ("zh-CN", "caveats", "注意事项"))
+# Labels of a report by locale: sections, and banners of reviews that mustn't be used as they are.
+LABELS = (
+    ("en", "title", "Comparison"), ("en", "blocked", "Not comparable"), ("en", "explore", "For exploration only"), ("en", "figures", "Figures"), ("en", "ratio", "Ratio"), ("en", "no_ratio", "no ratio"), ("en", "basis", "Basis"),
+    ("en", "caveats", "Caveats"), ("en", "blockers", "Blockers"), ("en", "chain", "Evidence"), ("en", "review", "Review"),
+    ("zh-CN", "title", "价格比较"), ("zh-CN", "blocked", "不可比较"), ("zh-CN", "explore", "仅供探索"), ("zh-CN", "figures", "数值"), ("zh-CN", "ratio", "比率"), ("zh-CN", "no_ratio", "无比率"), ("zh-CN", "basis", "依据"),
+    ("zh-CN", "caveats", "注意事项"), ("zh-CN", "blockers", "阻断原因"), ("zh-CN", "chain", "证据"), ("zh-CN", "review", "评审"),
+)
 
 
 def reports(reviews: DataFrame, locale: str = "en", labels: tuple = LABELS) -> DataFrame:
-    """(id, report): one text for each candidate; a section without content is left out."""
+    """(id, report): one text for each candidate: title, banner, both prices, ratio (four decimals), basis, caveats, blockers, ids
+    of either side's evidence and the strengths of its review. A section without content is left out."""
     say = {k: v for loc, k, v in labels if loc == locale}
+    has = set(reviews.columns)
+    listed = lambda title, c: F.when(F.size(c) > 0, F.concat(F.lit(f"## {say[title]}\n- "), F.array_join(c, "\n- "))) if c in has else F.lit(None).cast("string")
+    side = lambda s: F.concat(F.lit("- "), F.col(f"country_code_{s}"), F.lit(": "), F.col(f"price_amount_{s}").cast("string"), F.lit(" "), F.col(f"price_currency_{s}"), F.lit(" ("), F.coalesce(F.format_string("%.6f", F.col(f"strength_price_{s}").cast("double")), F.lit("-")), F.lit(")"))
+    ids = lambda s: F.concat_ws("\n", *[F.concat(F.lit(f"- {s}.{n}: "), F.col(f"{n}_{s}")) for n in ("id", "raw_record_id", "policy_id", "profile_id") if f"{n}_{s}" in has])
+    strengths = [n for n in ("policy_strength", "data_strength", "identity_strength", "normalisation_strength") if n in has]
+    use = F.col("usability") if "usability" in has else F.lit("unreviewed")
+    ratio = F.coalesce(F.format_string("%.4f", "price_ratio"), F.lit(say["no_ratio"])) if "price_ratio" in has else F.lit(say["no_ratio"])
+    ratio = F.when(F.col("price_ratio").isNull(), say["no_ratio"]).otherwise(ratio)
     sections = F.array_compact(F.array(
-        F.concat(F.lit(f"# {say['title']}: "), F.coalesce("canonical_inn_a", F.lit("")), F.lit(" "), F.col("country_code_a"), F.lit("/"), F.col("country_code_b")),
-        F.when(F.col("price_ratio").isNotNull(), F.concat(F.lit(f"{say['ratio']}: "), F.format_string("%.4f", "price_ratio"))),
-        F.when(F.size("caveats") > 0, F.concat(F.lit(f"{say['caveats']}: "), F.array_join("caveats", "; "))),
+        F.concat(F.lit(f"# {say['title']}: "), F.coalesce("canonical_inn_a", F.lit("")), F.lit(" "), F.col("country_code_a"), F.lit("/"), F.col("country_code_b"), F.lit(" ["), use, F.lit("]")),
+        F.when(use == "not_comparable", say["blocked"]).when(use == "exploratory", say["explore"]),
+        F.concat(F.lit(f"## {say['figures']}\n"), side("a"), F.lit("\n"), side("b"), F.lit(f"\n- {say['ratio']}: "), ratio),
+        F.concat(F.lit(f"## {say['basis']}\n- "), F.col("comparison_category")) if "comparison_category" in has else F.lit(None).cast("string"),
+        listed("caveats", "caveats"), listed("blockers", "blockers"),
+        F.concat(F.lit(f"## {say['chain']}\n"), ids("a"), F.lit("\n"), ids("b")),
+        F.concat(F.lit(f"## {say['review']}\n"), F.concat_ws("\n", *[F.concat(F.lit(f"- {n}: "), F.col(n)) for n in strengths])) if strengths else F.lit(None).cast("string"),
     ))
     return reviews.select("id", F.array_join(sections, "\n").alias("report"))
 

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import molecules
 from ..functions.scalars import parse_strength, plain_decimal, stable_id
-from ..operators import candidates, fx, lanes, policy, quality
+from ..operators import candidates, canonical, fx, lanes, policy, quality, review
 from ..operators.policy import lane_semantics, policy_gate, valid_policy
-from ..sources.tables import written
+from ..sources.tables import available, written
 from . import surrogate as s
 
 QUERIES: dict = {}
@@ -158,12 +158,13 @@ def gated_lanes(spark, d):
     o = o.withColumn("price_amount", F.when((k % 4 == 1) & (F.year("snapshot_date") == 1995), F.lit(0).cast("decimal(18,6)")).otherwise(F.col("price_amount")))
     none = F.lit(None)
     rule = F.struct(F.lit("A").alias("source_price_type"), F.lit("derived_A").alias("target_price_type"), F.lit("wholesale").alias("target_category"), F.lit("multiply_by_factor").alias("formula_id"), F.lit("multiply_by_factor").alias("formula"), F.create_map(F.lit("factor"), F.lit("0.6665")).alias("parameters"), none.alias("tiers"), F.array(F.lit("inline")).alias("legal_basis"), F.lit("low").alias("confidence"), F.array().alias("caveats"))
+    # A rule belongs to the policy of the type that it derives.
     p = s.policies(spark)
-    ruled = p.withColumn("derivation_rules", F.when(F.col("price_type") == "A", F.array(rule).cast(f"array<{policy.RULE}>")).otherwise(F.col("derivation_rules")))
-    # What a derived lane means is a policy of its own.
-    a = p.where("price_type = 'A'")
-    own = a.withColumns({"id": F.concat_ws("-", F.lit("pol-D"), "country_code"), "price_type": F.lit("derived_A"), "comparison_category": F.lit("wholesale"), "confidence": F.lit("low"), "semantics": F.col("semantics").withField("comparison_category", F.lit("wholesale"))})
-    i = _index(spark, d, o, ruled.unionByName(own)).withColumn("kind", F.when(F.col("price_type") == "derived_A", "derived").otherwise("observed"))
+    own = p.where("price_type = 'A'").withColumns({
+        "id": F.concat_ws("-", F.lit("pol-D"), "country_code"), "price_type": F.lit("derived_A"), "comparison_category": F.lit("wholesale"), "confidence": F.lit("low"),
+        "semantics": F.col("semantics").withField("comparison_category", F.lit("wholesale")), "derivation_rules": F.array(rule).cast(f"array<{policy.RULE}>"),
+    })
+    i = _index(spark, d, o, p.unionByName(own)).withColumn("kind", F.when(F.col("price_type") == "derived_A", "derived").otherwise("observed"))
     return i.groupBy("country_code", "snapshot_date", "lane_key", "kind").agg(F.count("*").alias("n"), F.count_distinct("observed_id").alias("n_observed"), _d(F.sum(F.col("eur_per_strength").cast("double")), 2).alias("eur"))
 
 
@@ -243,7 +244,8 @@ def unpivoted_prices(spark, d):
     o = s.observations(spark, d)
     p = F.col("price_amount").cast("double")
     wide = o.select("id", p.alias("gross"), (p * (1 - F.col("discount"))).alias("net"), (p * (1 + F.col("tax"))).alias("taxed"))
-    return wide.unpivot("id", ["gross", "net", "taxed"], "kind", "amount").where("amount is not null").select("id", "kind", _d(F.col("amount"), 4).alias("amount"))
+    long = canonical.long_prices(wide, canonical.Country("XX", "EUR", {}, prices=("gross", "net", "taxed")))
+    return long.select("id", F.col("price_type").alias("kind"), _d(F.col("price_text").cast("double"), 4).alias("amount"))
 
 
 _RULES = (("A", "multiply_by_factor", {"factor": "0.6665"}), ("N", "divide_by_one_plus_markup", {"markup": "0.08"}))
@@ -289,9 +291,8 @@ def resolved_molecules(spark, d):
 SELECT name, word, CAST(levenshtein(name, word) AS INTEGER) AS distance FROM p JOIN w ON name[1:1] = word[1:1] AND abs(length(name) - length(word)) <= 2 WHERE levenshtein(name, word) <= 2""")
 def edit_distance_join(spark, d):
     part = spark.read.parquet(f"{d}/part.parquet")
-    a = part.select(F.lower(F.split("p_name", " ")[0]).alias("name")).distinct().withColumn("_c", F.substring("name", 1, 1)).withColumn("_n", F.explode(F.sequence(F.length("name") - 2, F.length("name") + 2)))
-    b = part.select(F.lower(F.split("p_name", " ")[1]).alias("word")).distinct().withColumn("_c", F.substring("word", 1, 1)).withColumn("_n", F.length("word"))
-    return a.join(b, ["_c", "_n"]).withColumn("distance", F.levenshtein("name", "word", 2)).where("distance between 0 and 2").select("name", "word", "distance")
+    word = lambda k: part.select(F.lower(F.split("p_name", " ")[k]).alias("name"))
+    return molecules.near_pairs(word(0), word(1))
 
 
 @query(f"""WITH {s.OBS} SELECT CASE WHEN product_name LIKE inn || '%' THEN 'generic' WHEN length(inn) >= 6 AND contains(product_name, inn) THEN 'generic' ELSE 'brand' END AS product_type, inn, count(*) AS n FROM obs GROUP BY ALL""")
@@ -340,11 +341,9 @@ def skipped_lanes(spark, d):
 @query(f"""WITH {s.OBS} SELECT country_code, CAST(count(*) AS BIGINT) AS n_raw, count(*) FILTER (WHERE price_type <> 'R') AS n_good, count(*) FILTER (WHERE price_type = 'R') AS n_bad FROM obs GROUP BY ALL""")
 def routed_counts(spark, d):
     """Required-field and price routing: R prices are blanked, and every raw row must come out on one side."""
-    from ..operators.canonical import Country, judged
-
     raw = s.observations(spark, d).select("country_code", "product_name", "strength", "dosage_form", "pack_size", F.when(F.col("price_type") != "R", F.col("price_amount").cast("string")).alias("price")).withColumnRenamed("country_code", "cc")
-    c = Country("XX", "EUR", {x: x for x in ("product_name", "strength", "dosage_form", "pack_size", "price")})
-    j = judged(raw, c)
+    c = canonical.Country("XX", "EUR", {x: x for x in ("product_name", "strength", "dosage_form", "pack_size", "price")})
+    j = canonical.judged(raw, c)
     return j.groupBy(F.col("cc").alias("country_code")).agg(F.count("*").alias("n_raw"), F.count_if(F.col("reason").isNull()).alias("n_good"), F.count_if(F.col("reason").isNotNull()).alias("n_bad"))
 
 
@@ -374,9 +373,9 @@ def visible_text(spark, d):
 
 @query("""SELECT d.doc_id, d.source, coalesce(l.quality, 0) AS quality, CASE WHEN l.doc_id IS NULL THEN 'unreviewed' WHEN l.toxic = 1 THEN 'not_comparable' ELSE 'usable' END AS usability FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def review_lookup(spark, d):
-    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet").withColumn("_there", F.lit(True))
-    use = F.when(F.col("_there").isNull(), "unreviewed").when(F.col("toxic") == 1, "not_comparable").otherwise("usable")
-    return docs.select("doc_id", "source").join(labels, "doc_id", "left").select("doc_id", "source", F.coalesce("quality", F.lit(0)).alias("quality"), use.alias("usability"))
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "source"), spark.read.parquet(f"{d}/labels.parquet")
+    looked = review.with_default(docs, labels.withColumn("usability", F.when(F.col("toxic") == 1, "not_comparable").otherwise("usable")), "doc_id", {"quality": F.lit(0), "usability": F.lit("unreviewed")})
+    return looked.select("doc_id", "source", "quality", "usability")
 
 
 @query("""SELECT event_type, max_by(CAST(json_extract_string(props, '$.k') AS INTEGER), (ts, event_id)) AS latest_k, count(*) AS n FROM events GROUP BY ALL""")
@@ -397,12 +396,12 @@ def comparison_readiness(spark, d):
 @query(f"""WITH {s.OBS} SELECT country_code, inn, price_currency, count(*) AS n, round(sum(CAST(price_amount AS DOUBLE)), 2) AS total FROM obs WHERE trim(lower(inn)) IN ('bolt', 'gear') GROUP BY ALL""")
 def currency_safe_totals(spark, d):
     o = s.observations(spark, d).where(F.trim(F.lower("inn")).isin("bolt", "gear"))
-    return o.groupBy("country_code", "inn", "price_currency").agg(F.count("*").alias("n"), _d(F.sum("price_amount"), 2).alias("total"))
+    return quality.currency_totals(o, ["country_code", "inn"]).withColumn("total", _d(F.col("total"), 2))
 
 
 @query(f"""WITH {s.OBS} SELECT DISTINCT inn FROM obs""")
 def available_molecules(spark, d):
-    return s.observations(spark, d).select("inn").distinct()
+    return available(s.observations(spark, d), "inn")
 
 
 @query("""SELECT c.custkey AS custkey, c.name_key, o_first.o_orderkey AS first_order FROM (SELECT c_custkey AS custkey, lower(c_mktsegment) AS name_key FROM customer) c JOIN (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1) o_first ON o_first.o_custkey = c.custkey""")
@@ -412,12 +411,12 @@ def first_per_key(spark, d):
     return customer.join(first, F.col("c_custkey") == F.col("o_custkey")).select(F.col("c_custkey").alias("custkey"), F.lower("c_mktsegment").alias("name_key"), F.col("o_orderkey").alias("first_order"))
 
 
-@query("""SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)""")
+@query("""SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice > 480000)""")
 def resume_filter(spark, d):
     from ..sources.tables import not_done
 
     work = spark.read.parquet(f"{d}/customer.parquet").select("c_custkey")
-    return not_done(work, spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    return not_done(work, spark.read.parquet(f"{d}/orders.parquet").where("o_totalprice > 480000").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 @query(f"""WITH {s.OBS} SELECT id, sha256('policy:' || country_code || ':' || price_type)[1:8] AS head, strength_value || '' AS strength_text FROM obs""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import list_queries, review_queries  # noqa: F401  these register their queries
+from .plans import list_queries, review_queries, rule_queries  # noqa: F401  these register their queries
 from .plans.queries import ORACLE as ORACLE_SQL
 from .plans.queries import QUERIES
 

@@ -60,10 +60,11 @@ def test_forms(spark, raw, country, name, rule):
 
 
 def test_compatibility(spark):
-    df = spark.createDataFrame([("TBL FLM", "TBL NOB"), ("TBL NOB", "INJ SOL"), ("TBL NOB", "?")], "a string, b string")
-    made = df.select(*[forms.normalised_form(F.col(c), F.lit("CZ"), F.lit("")).alias(c) for c in "ab"]).select(forms.compatibility("a", "b").alias("x")).select("x.*").collect()
-    assert [(r.compatible, r.cap) for r in made] == [(True, "high"), (False, None), (False, None)]
-    assert made[1].reason.startswith("route mismatch") and made[2].reason.startswith("form_class missing")
+    df = spark.createDataFrame([("TBL FLM", "TBL NOB"), ("TBL NOB", "INJ SOL"), ("TBL NOB", "?"), ("TBL NOB", "CPS DUR")], "a string, b string")
+    sides = df.select(*[forms.normalised_form(F.col(c), "CZ", F.lit("")).alias(c) for c in "ab"])
+    parts = [{f: F.col(f"{c}.{f}") for f in ("form_class", "route", "attributes", "confidence")} for c in "ab"]
+    made = sides.select(forms.compatibility(*parts).alias("x")).select("x.*").collect()
+    assert [(r.fits, r.cap, r.notes) for r in made] == [(True, "high", [forms.OTHER_ATTRIBUTES]), (False, None, [forms.OTHER_ROUTE]), (False, None, [forms.NO_FORM]), (True, "exact", [])]
 
 
 def test_rewriting(spark):
