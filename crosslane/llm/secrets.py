@@ -1,12 +1,12 @@
 """Secret scan with one deterministic automaton for all rules.
 
-Rules are compiled to an NFA over bytes, then by subset construction and minimisation to one
-table ``next_state[state, byte class]`` whose accepting states name the rules that end there.
-One pass over the bytes runs every rule. Bytes that send each state back to the start
-(line ends, most punctuation, every byte over 0x7F) cut the text into pieces that no match can
-cross, so the pieces of many texts advance together, one NumPy step for each byte place.
-Only pieces in which a rule accepted are then searched for exact spans, by the rules' own
-minimised automata.
+A rule is a prefix and a run of bytes of one class after it. All rules are compiled, reversed, to an NFA over bytes, then by
+subset construction and minimisation to one table ``next_state[state, byte class]`` whose accepting states name the rules.
+One pass over the bytes, from the right, runs every rule whole and tells for each byte which rules have a match that begins
+there, so no start is ever tried in vain and the work is linear in the text. Bytes that send each state back to the start
+(line ends, most punctuation, every byte over 0x7F) cut the text into pieces that no match can cross, so the pieces of many
+texts advance together, one NumPy step for each byte place. Lengths are counted beside the state: how far a run goes on is
+known for every byte from one vectorised step for each class.
 """
 
 from __future__ import annotations
@@ -25,30 +25,28 @@ from .scan import text_slices
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern``: literals, [classes], (a|b), ?, *, +, {n} and (?i:...) over ASCII. A match counts from
-    ``least`` bytes of its value on (``part``, one or more, after the pattern), or of the whole where there
-    is no ``part``; shorter ones are consumed, then dropped. ``probe`` matches inside every match that counts
-    and keeps the combined automaton small, which would have a state for each pair of counts otherwise."""
+    """``prefix``: literals, [classes], (a|b), ?, *, + and (?i:...) over ASCII; its longest match counts. ``run``: a class of which one
+    or more bytes follow (none where it is empty); ``times`` of them exactly, or all there are. A match with a shorter run than
+    ``least`` is consumed, then dropped, as is one that hasn't got ``times``."""
 
     kind: str
-    pattern: str
+    prefix: str
+    run: str = ""
     least: int = 0
-    part: str = ""
-    probe: str = ""
+    times: int = 0
 
 
-_VALUE = "[A-Za-z0-9+/_.=-]"
 #: The base rules, then those that the scan adds.
 BASE = (
-    Rule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?""", 8, _VALUE),
-    Rule("access", "AKIA[A-Z0-9]+", 16, probe="AKIA[A-Z0-9]"),
-    Rule("hex", "[0-9a-f]+", 32, probe="[0-9a-f]{24}"),
+    Rule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?""", "[A-Za-z0-9+/_.=-]", 8),
+    Rule("access", "AKIA", "[A-Z0-9]", 12),
+    Rule("hex", "", "[0-9a-f]", 32),
 )
 ADDED = (
-    Rule("hosting", "gh[opsu]_[A-Za-z0-9]{36}", probe="gh[opsu]_[A-Za-z0-9]"),
-    Rule("chat", "xox[abprs]-[0-9A-Za-z-]+", 15, probe="xox[abprs]-"),
-    Rule("webtoken", "eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+", probe="[.]eyJ"),
-    Rule("private", "-----BEGIN[\\x20A-Z]*PRIVATE\\x20KEY-----", probe="PRIVATE\\x20KEY-----"),
+    Rule("hosting", "gh[opsu]_", "[A-Za-z0-9]", times=36),
+    Rule("chat", "xox[abprs]-", "[0-9A-Za-z-]", 10),
+    Rule("webtoken", "eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.]", "[A-Za-z0-9_-]"),
+    Rule("private", "-----BEGIN[\\x20A-Z]*PRIVATE\\x20KEY-----"),
 )
 RULES = BASE + ADDED
 
@@ -159,6 +157,18 @@ class _Nfa:
         self.moves[a].append((frozenset(some), b))
         return a, b
 
+    def reversed(self) -> _Nfa:
+        """The automaton of the reversed language: every move the other way round."""
+        other = _Nfa()
+        other.moves, other.free = [[] for _ in self.moves], [[] for _ in self.free]
+        for s, moves in enumerate(self.moves):
+            for some, t in moves:
+                other.moves[t].append((some, s))
+        for s, targets in enumerate(self.free):
+            for t in targets:
+                other.free[t].append(s)
+        return other
+
     def closed(self, states: set[int]) -> frozenset:
         todo, seen = list(states), set(states)
         while todo:
@@ -180,14 +190,18 @@ class Automaton:
     dead: int
 
 
-def compile_automaton(patterns: list[str], anywhere: bool) -> Automaton:
-    """Subset construction, then minimisation by refining the partition of states. anywhere: a match may begin at each byte."""
+def compile_automaton(patterns: list[str], anywhere: bool, backwards: bool = False) -> Automaton:
+    """Subset construction, then minimisation by refining the partition of states. anywhere: a match may begin at each byte;
+    backwards: texts are read from their ends, and an accepting state tells whose match begins at the byte just read."""
     nfa = _Nfa()
     ends, begin = {}, set()
     for k, p in enumerate(patterns):
         a, b = nfa.add(p)
+        a, b = (b, a) if backwards else (a, b)
         begin.add(a)
         ends[b] = k
+    if backwards:
+        nfa = nfa.reversed()
     # Bytes that no rule tells apart are one class.
     sets = sorted({m for ms in nfa.moves for m, _ in ms}, key=sorted)
     signature = [tuple(x in s for s in sets) for x in range(256)]
@@ -226,24 +240,23 @@ def compile_automaton(patterns: list[str], anywhere: bool) -> Automaton:
 
 
 class Scanner:
-    """All rules in one automaton, and each rule's own for exact spans."""
+    """All rules in one automaton, and each rule's prefix to tell where its run begins."""
 
     def __init__(self, rules: tuple[Rule, ...] = RULES) -> None:
         self.rules = rules
-        self.all = compile_automaton([r.probe or r.pattern + r.part for r in rules], True)
-        self.each = [compile_automaton([r.pattern + (f"{r.part}+" if r.part else "")], False) for r in rules]
-        back = (self.all.step == 0).all(axis=0)
-        self.cuts = back[self.all.classes]
-        #: A byte can begin a match of the rule.
-        self.begins = [(a.step[0][a.classes] != a.dead).tolist() for a in self.each]
-        self.lists = [(a.step.tolist(), a.classes.tolist(), (a.accepts != 0).tolist()) for a in self.each]
+        self.all = compile_automaton([r.prefix + r.run for r in rules], True, True)
+        self.prefixes = [compile_automaton([r.prefix], False) if r.prefix else None for r in rules]
+        self.lists = [(a.step.tolist(), a.classes.tolist(), (a.accepts != 0).tolist(), a.dead) if a else None for a in self.prefixes]
+        self.cuts = (self.all.step == 0).all(axis=0)[self.all.classes]
+        self.runs = {r.run: _table(r.run) for r in rules if r.run}
         #: No match that counts is shorter.
-        self.shortest = min(max(_shortest(a) - bool(r.part) + r.least if r.part else r.least, _shortest(a)) for a, r in zip(self.each, rules, strict=True))
+        self.shortest = min((_shortest(a) if a else 0) + max(r.least, r.times, bool(r.run)) for a, r in zip(self.prefixes, rules, strict=True))
 
-    def hits(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
-        """Pieces (begin, end) in which a rule accepts, in order; the one pass over all bytes."""
+    def starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """For each byte a bit for every rule that has a match beginning there; the one pass over all bytes."""
+        out = np.zeros(len(data), np.uint8 if len(self.rules) <= 8 else np.int64)
         if not len(data):
-            return []
+            return out
         cut = self.cuts[data]
         edge = np.unique(np.concatenate([offsets, np.flatnonzero(cut), np.flatnonzero(cut) + 1]))
         begin, end = edge[:-1], edge[1:]
@@ -253,87 +266,99 @@ class Scanner:
         order = np.argsort(-size, kind="stable")
         begin, end, size = begin[order], end[order], size[order]
         if not len(size):
-            return []
-        kinds, step, accepts = self.all.classes[data], self.all.step.ravel(), self.all.accepts != 0
+            return out
+        kinds, step, accepts = self.all.classes[data], self.all.step.ravel(), self.all.accepts.astype(out.dtype)
         width = self.all.step.shape[1]
         state = np.zeros(len(size), np.intp)
-        seen = np.zeros(len(size), bool)
         # Pieces are sorted by size: those of more than k bytes come first.
         alive = np.searchsorted(-size, -np.arange(size[0]), "left")
         for k in range(size[0]):
             n = alive[k]
             if n < 4:  # few long pieces: their bytes one by one
                 break
-            now = step[state[:n] * width + kinds[begin[:n] + k]]
+            at = end[:n] - 1 - k
+            now = step[state[:n] * width + kinds[at]]
             state[:n] = now
-            seen[:n] |= accepts[now]
+            out[at] = accepts[now]
         else:
             n, k = 0, int(size[0])
-        rows, ok = self.all.step.tolist(), accepts.tolist()
+        rows, says = self.all.step.tolist(), self.all.accepts.tolist()
         for i in range(n):
             s = int(state[i])
-            for c in kinds[begin[i] + k : end[i]].tolist():
+            last = int(end[i]) - 1 - k
+            found = []
+            for c in kinds[begin[i] : last + 1][::-1].tolist():
                 s = rows[s][c]
-                if ok[s]:
-                    seen[i] = True
-                    break
-        found = np.flatnonzero(seen)
-        return sorted(zip(begin[found].tolist(), end[found].tolist(), strict=True))
-
-    def spans(self, piece: bytes) -> list[tuple[int, int, int]]:
-        """(begin, rule, end) of the matches in ``piece``: for each rule leftmost, longest, not overlapping."""
+                found.append(says[s])
+            out[begin[i] : last + 1] = found[::-1]
+        return out
+
+    def spans(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
+        """(begin, rule, end) in bytes of all matches that count: for each rule leftmost, longest, not overlapping."""
+        starts = self.starts(data, offsets)
+        if not starts.any():
+            return []
+        ends = {run: _run_ends(member[data], offsets) for run, member in self.runs.items()}
         out = []
-        for k, (rule, auto, first, (step, classes, accepts)) in enumerate(zip(self.rules, self.each, self.begins, self.lists, strict=True)):
-            value = _members(rule.part) if rule.part else None
-            at = 0
-            while at < len(piece):
-                if not first[piece[at]]:
-                    at += 1
+        for k, rule in enumerate(self.rules):
+            at = np.flatnonzero(starts & (1 << k))
+            if not rule.prefix:  # a match is a whole run
+                stop = ends[rule.run][at]
+                whole = np.ones(len(at), bool)
+                whole[1:] = stop[1:] != stop[:-1]
+                at, stop = at[whole], stop[whole]
+                long = stop - at >= max(rule.least, 1)
+                out += [(a, k, b) for a, b in zip(at[long].tolist(), stop[long].tolist(), strict=True)]
+                continue
+            done = 0
+            for a in at.tolist():
+                if a < done:
                     continue
-                s, best, i = 0, -1, at
-                while i < len(piece):
-                    s = step[s][classes[piece[i]]]
-                    if s == auto.dead:
-                        break
-                    i += 1
-                    if accepts[s]:
-                        best = i
-                if best < 0:
-                    at += 1
-                    continue
-                counted = best - at
-                if value is not None:
-                    tail = best
-                    while tail > at and piece[tail - 1] in value:
-                        tail -= 1
-                    # The value is what follows the separator; a leading = or : of the run is the separator itself.
-                    tail = _value_start(piece, at, best, tail)
-                    counted = best - tail
-                if counted >= rule.least:
-                    out.append((at, k, best))
-                at = best
+                value = self._value(data, a, k)
+                stop = int(ends[rule.run][value]) if rule.run else value
+                if rule.times:
+                    if stop - value < rule.times:
+                        continue
+                    stop = value + rule.times
+                done = stop
+                if stop - value >= rule.least:
+                    out.append((a, k, stop))
         return out
 
-
-def _value_start(piece: bytes, begin: int, end: int, run: int) -> int:
-    """Where the value begins: after the key, an optional quote, spaces, one of : and =, spaces, an optional quote."""
-    low = piece[begin:end].lower()
-    key = max(len(w) for w in (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey") if low.startswith(w))
-    i = begin + key
-    i += piece[i : i + 1] in (b'"', b"'")
-    while piece[i] == 0x20:
-        i += 1
-    i += 1
-    while piece[i] == 0x20:
-        i += 1
-    return i + (piece[i : i + 1] in (b'"', b"'"))
-
-
-@lru_cache(maxsize=64)
-def _members(part: str) -> frozenset:
+    def _value(self, data: np.ndarray, begin: int, k: int) -> int:
+        """Where the longest match of the rule's prefix ends."""
+        step, classes, accepts, dead = self.lists[k]
+        s, best, i = 0, begin, begin
+        while i < len(data):
+            s = step[s][classes[data[i]]]
+            if s == dead:
+                break
+            i += 1
+            if accepts[s]:
+                best = i
+        return best
+
+
+def _run_ends(member: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each byte the end of the run of members that it is in (its own place if it is none); runs end with their text."""
+    n = len(member)
+    stop = np.where(member, n, np.arange(n))
+    inner = offsets[1:-1]
+    inner = inner[(inner > 0) & (inner < n)]
+    # A text's first byte ends a run that came up to it.
+    limit = np.full(n, n)
+    limit[inner - 1] = inner
+    stop = np.minimum(stop, limit)
+    return np.minimum.accumulate(stop[::-1])[::-1]
+
+
+def _table(run: str) -> np.ndarray:
+    """The bytes of a class, as a mask."""
     nfa = _Nfa()
-    a, _ = nfa.add(part)
-    return frozenset(x for s in nfa.closed({a}) for m, _ in nfa.moves[s] for x in m)
+    a, _ = nfa.add(run)
+    out = np.zeros(256, bool)
+    out[[x for s in nfa.closed({a}) for m, _ in nfa.moves[s] for x in m]] = True
+    return out
 
 
 def _shortest(auto: Automaton) -> int:
@@ -355,14 +380,13 @@ def find_spans(column: pa.Array, rules: tuple[Rule, ...] = RULES) -> list[list[t
     out: list[list[tuple[int, int, int]]] = []
     for _, data, offsets in text_slices(column):
         found: list[list[tuple[int, int, int]]] = [[] for _ in range(len(offsets) - 1)]
-        starts = None
-        for begin, end in scan.hits(data, offsets):
-            if starts is None:
-                starts = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            row = int(np.searchsorted(offsets, begin, "right")) - 1
-            base = starts[offsets[row]]
-            for a, k, b in scan.spans(data[begin:end].tobytes()):
-                found[row].append((int(starts[begin + a] - base), k, int(starts[begin + b] - base)))
+        spans = scan.spans(data, offsets)
+        if spans:
+            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+            rows = np.searchsorted(offsets, [a for a, _, _ in spans], "right") - 1
+            for (a, k, b), row in zip(spans, rows.tolist(), strict=True):
+                base = points[offsets[row]]
+                found[row].append((int(points[a] - base), k, int(points[b] - base)))
         out += [sorted(x) for x in found]
     return out
 

@@ -403,12 +403,32 @@ def test_added_rules(spark):
     assert r.spans == "hosting:2:42,private:43:74" and r.base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_added_rules_match_regexes(spark):
+    rng = random.Random(7)
+    parts = ["ghp_", "gho_", "A1b2" * 9, "zz", "xoxb-", "-1234567890", "eyJ", "eyJh", ".", "_", "-----BEGIN", " RSA ", "PRIVATE KEY-----", "-----", "\n", " ", "é", "/"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(1500)]
+    shapes = {"hosting": "gh[opsu]_[A-Za-z0-9]{36}", "chat": "xox[abprs]-[0-9A-Za-z-]+", "webtoken": r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", "private": "-----BEGIN[ A-Z]*PRIVATE KEY-----"}
+    for t, r in zip(texts, secrets.find_spans(pa.array(texts)), strict=True):
+        for kind, shape in shapes.items():
+            want = [(m.start(), m.end()) for m in re.finditer(shape, t) if kind != "chat" or len(m[0]) >= 15]
+            assert [(a, b) for a, k, b in r if secrets.RULES[k].kind == kind] == want, (t, kind)
+
+
+def test_long_texts_of_false_starts_take_linear_time():
+    import time
+
+    for text in ("eyJ" * 350_000 + ".eyJ", "token" * 200_000, "token = " * 120_000, "AKIA" * 250_000, "-----BEGIN " * 90_000, "ghp_" * 250_000, "0" * 1_000_000):
+        began = time.perf_counter()
+        secrets.find_spans(pa.array([text]))
+        assert time.perf_counter() - began < 15, text[:20]
+
+
 def test_shortest_match_is_known():
     assert secrets.Scanner().shortest == len("eyJx.eyJx.x")
     assert secrets.Scanner(secrets.BASE).shortest == len("token=12345678")
-    short = secrets.Scanner((secrets.Rule("pin", "PIN[0-9]+", 5),))
-    data = np.frombuffer(b"x PIN12 PIN1 y", np.uint8)
-    assert short.shortest == 5 and [data[a:b].tobytes() for a, b in short.hits(data, np.array([0, len(data)]))] == [b"PIN12"]
+    short = secrets.Scanner((secrets.Rule("pin", "PIN", "[0-9]", 2),))
+    data = np.frombuffer(b"x PIN12 PIN1 yPIN3", np.uint8)
+    assert short.shortest == 5 and short.spans(data, np.array([0, 16, len(data)])) == [(2, 0, 7)]
 
 
 # --- preference formatting against its SQL, with nulls and repeated turns
