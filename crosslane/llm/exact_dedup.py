@@ -1,8 +1,9 @@
 """Exact deduplication against a persistent digest index.
 
-The index is a table bucketed and sorted by the digest of the normalised text. A batch
-is digested, aggregated to one row for each digest, sort-merge anti-joined with the index
-(whose side needs neither shuffle nor sort) and what is new is appended.
+The index is a table bucketed and sorted by the digest of the normalised text; each digest carries the batch that brought it.
+A batch is digested, aggregated to one row for each digest, sort-merge anti-joined with the index (whose side needs no
+shuffle) and what is new is appended. A batch that is judged again, after a failure say, meets its own digests as new ones
+and appends none twice.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .work import with_group, with_row_keys, without, written
+from .work import spread, with_group, with_row_keys, without, written
 
-INDEX_BUCKETS = 32
+#: Digests that a bucket of a new index is made for, and the fewest and most buckets.
+BUCKET_DIGESTS, LEAST_BUCKETS, MOST_BUCKETS = 2_000_000, 8, 1 << 15
 
 
 def normalised(text: Column) -> Column:
@@ -26,15 +28,21 @@ def digest(text: Column) -> Column:
     return F.sha2(normalised(text), 256)
 
 
-def open_index(spark: SparkSession, table: str, id_type: str, buckets: int = INDEX_BUCKETS) -> DataFrame:
-    """The index ``table``, made empty where it doesn't exist yet."""
+def open_index(spark: SparkSession, table: str, id_type: str, digests: int) -> tuple[DataFrame, int]:
+    """The index ``table`` and its number of buckets. Where it doesn't exist it is made empty, its buckets by the number of
+    ``digests`` that it is made for."""
     if not spark.catalog.tableExists(table):
-        empty = spark.createDataFrame([], f"digest binary, keep_id {id_type}")
+        buckets = LEAST_BUCKETS
+        while buckets * BUCKET_DIGESTS < digests and buckets < MOST_BUCKETS:
+            buckets *= 2
+        empty = spark.createDataFrame([], f"digest binary, keep_id {id_type}, batch string")
         empty.write.bucketBy(buckets, "digest").sortBy("digest").format("parquet").saveAsTable(table)
-    return spark.table(table)
+        return spark.table(table), buckets
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    return spark.table(table), int(told["Num Buckets"])
 
 
-def deduplicate(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str = "text", buckets: int = INDEX_BUCKETS) -> DataFrame:
+def deduplicate(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
     """Judge every row of ``docs`` against the index table named ``index`` and append what is new.
 
     Returns for each row: the id, keep_id (the row that stays for this text, from this batch or an
@@ -42,27 +50,29 @@ def deduplicate(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: s
     tells repeated rows apart.
     In a batch the smallest id stays; null ids come last; of rows that repeat an id, one is kept.
     A null text is an empty one, and all empty texts are equal. An empty batch gives no rows.
+    ``batch`` names the batch (a new name by default): judged again under its name it gives the same result.
     """
-    spark = docs.sparkSession
+    spark, batch = docs.sparkSession, batch or uuid.uuid4().hex
     id_type = docs.schema[id_col].dataType.simpleString()
-    known = open_index(spark, index, id_type, buckets)
     rows = written(
         docs.select(F.col(id_col), F.unhex(digest(F.col(text_col))).alias("digest"), F.monotonically_increasing_id().alias("_row")),
         "digests",
     )
     first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_row").alias("row")))
     groups = written(rows.groupBy("digest").agg(first.alias("first"), F.count("*").alias("group_size")), "groups")
+    sums = groups.agg(F.count("*").alias("digests"), F.sum("group_size").alias("rows")).first()
+    known, buckets = open_index(spark, index, id_type, sums["digests"])
     fresh = groups.hint("merge").join(known.hint("merge"), "digest", "left_anti")
     # Read before the append, so that a digest of an earlier batch keeps its earlier row.
-    earlier = written(groups.hint("merge").join(known.hint("merge"), "digest").select("digest", F.col("keep_id").alias("old_id")), "earlier")
-    fresh.select("digest", F.col("first.id").alias("keep_id")).write.mode("append").bucketBy(buckets, "digest").sortBy("digest").format("parquet").saveAsTable(index)
+    others = known.where(F.col("batch") != batch)
+    earlier = written(groups.hint("merge").join(others.hint("merge"), "digest").select("digest", F.col("keep_id").alias("old_id")), "earlier")
+    fresh.select("digest", F.col("first.id").alias("keep_id"), F.lit(batch).alias("batch")).write.mode("append").bucketBy(buckets, "digest").sortBy("digest").format("parquet").saveAsTable(index)
     judged = (
         groups.join(earlier.withColumn("old", F.lit(True)), "digest", "left")
         .where((F.col("group_size") > 1) | F.col("old"))
         .select("digest", "group_size", F.when(F.col("old"), F.col("old_id")).otherwise(F.col("first.id")).alias("keep_id"), F.when(F.col("old").isNull(), F.col("first.row")).otherwise(-1).alias("keep_row"))
     )
-    total = groups.agg(F.sum("group_size")).first()[0] or 0
-    joined = with_group(rows, written(judged, "judged"), ["digest"], "group_size", total)
+    joined = with_group(rows, written(judged, "judged"), ["digest"], "group_size", sums["rows"] or 0)
     alone = F.col("group_size").isNull()
     return joined.select(
         F.col(id_col),
@@ -74,6 +84,11 @@ def deduplicate(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: s
     )
 
 
+def drop_index(spark: SparkSession, table: str) -> None:
+    """Remove an index that no later batch will meet. What was judged doesn't read it any more."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def kept_rows(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is new, with all their columns."""
     numbered, name = with_row_keys(docs, id_col)
@@ -86,8 +101,19 @@ def new_index_name() -> str:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return deduplicate(docs, new_index_name()).drop("_row")
+    """Two batches, as data comes in: first about half of the ids, from the smallest on, then the rest, which meets their index."""
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    middle = F.lit(docs.agg(F.percentile_approx("doc_id", 0.5, 1000)).first()[0]).cast("long")
+    early = F.coalesce(F.col("doc_id") <= middle, F.lit(False))
+    index = new_index_name()
+    parts = [deduplicate(docs.where(part), index).drop("_row") for part in (early, ~early)]
+    drop_index(spark, index)
+    both = written(parts[0].unionByName(parts[1]), "batches")
+    # The size of a group counts its rows in either batch.
+    sizes = written(both.groupBy("text_sha256").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    total = both.count()
+    joined = with_group(both.drop("group_size"), sizes, ["text_sha256"], "n", total)
+    return joined.select("doc_id", "keep_id", F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), "kept", "text_sha256")
 
 
 ORACLE = {
