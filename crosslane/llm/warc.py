@@ -128,7 +128,7 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         end = data.find(b"\r\n\r\n", at)
         if end < 0 or not data.startswith(b"WARC/", at):
             raise ValueError(f"no WARC record at byte {at}")
-        lines = data[at:end].decode("utf-8").split("\r\n")[1:]
+        lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
         size = int(fields["content-length"])
         block = data[end + 4 : end + 4 + size]
@@ -193,37 +193,42 @@ def reassemble(parts: DataFrame) -> DataFrame:
         *[one(c) for c in ("record_id", "type", "uri", "page", "digest", "refers_to")],
         F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("_parts"), F.max("total").alias("total"), F.max("segment").alias("_n"),
     )
-    blocks = F.aggregate(F.transform("_parts", lambda p: p["block"]), F.lit(b""), lambda a, b: F.concat(a, b))
+    # All parts are put together in one step: adding one to another would copy the block once for each segment.
+    blocks = F.unhex(F.array_join(F.transform("_parts", lambda p: F.hex(p["block"])), ""))
     joined = joined.withColumn("block", blocks).withColumn("complete", F.coalesce((F.size("_parts") == F.col("_n")) & (F.octet_length("block") == F.col("total")) & F.col("record_id").isNotNull(), F.lit(False)))
     kept = ["record_id", "type", "uri", "page", "digest", "refers_to", "block", "complete"]
     return whole.withColumn("complete", F.lit(True)).select(*kept).unionByName(joined.select(*kept))
 
 
 def payloads(whole: DataFrame) -> DataFrame:
-    """Add payload_bytes and payload_digest (hex SHA-1 of the decoded payload), and drop the block. A revisit has no
-    payload of its own: both are null. Fails on an incomplete record and on a payload whose digest isn't the stated one."""
+    """Add payload_bytes, payload_digest (hex SHA-1 of the decoded payload) and fault, and drop the block. A revisit has no
+    payload of its own: both are null, as they are for a record with a fault: missing segments, broken framing, or a payload
+    whose digest isn't the stated one. Other records aren't held up by it."""
+
+    def read(kind: str, block: bytes, complete: bool, said: str | None) -> tuple[int | None, str | None, str | None]:
+        if not complete:
+            return None, None, "segments are missing"
+        if kind == "revisit":
+            return None, None, None
+        try:
+            body = http_payload(block)
+        except ValueError as e:
+            return None, None, str(e)
+        sha = hashlib.sha1(body)
+        if said and said != "sha1:" + base64.b32encode(sha.digest()).decode():
+            return None, None, "the payload isn't the one that was digested"
+        return len(body), sha.hexdigest(), None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            get = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names) if n in ("type", "block", "complete", "digest", "record_id")}
-            sizes, digests = [], []
-            for kind, block, complete, said, rid in zip(get["type"], get["block"], get["complete"], get["digest"], get["record_id"], strict=True):
-                if not complete:
-                    raise ValueError(f"segments of {rid} are missing")
-                if kind == "revisit":
-                    sizes.append(None)
-                    digests.append(None)
-                    continue
-                sha = hashlib.sha1(body := http_payload(block))
-                if said and said != "sha1:" + base64.b32encode(sha.digest()).decode():
-                    raise ValueError(f"the payload of {rid} isn't the one that was digested")
-                sizes.append(len(body))
-                digests.append(sha.hexdigest())
+            get = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names) if n in ("type", "block", "complete", "digest")}
+            found = [read(*x) for x in zip(get["type"], get["block"], get["complete"], get["digest"], strict=True)]
             keep = [n for n in batch.schema.names if n not in ("block", "complete")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in keep), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())], names=[*keep, "payload_bytes", "payload_digest"])
+            cols = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in keep), *cols], names=[*keep, "payload_bytes", "payload_digest", "fault"])
 
     kept = [f for f in whole.schema.fields if f.name not in ("block", "complete")]
-    return whole.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", payload_bytes long, payload_digest string")
+    return whole.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", payload_bytes long, payload_digest string, fault string")
 
 
 def resolved(read: DataFrame) -> DataFrame:
