@@ -65,20 +65,25 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, id_col: str = "conv
     return formatted(a.join(b, "pair_id"))
 
 
-def with_next_reply(talks: DataFrame) -> DataFrame:
-    """(pair_id, a, b) of ``conversations``: b is a with its last turn's text taken from the last turn of conversation
-    id + 1; without that, the last turn goes, and a conversation of one turn forms no pair. A way to make rejected
-    conversations that share all turns but the last. Only last texts are shuffled again, the turns stay where they are."""
+def last_texts(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    """(id, reply): the text of each conversation's last turn: a maximum, combined before its shuffle, so no turns are gathered."""
+    one = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    return turns.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("pair_id")).agg(F.max(one).alias("_m")).select("pair_id", F.col("_m.text").alias("reply"))
+
+
+def with_next_reply(talks: DataFrame, replies: DataFrame) -> DataFrame:
+    """(pair_id, a, b) of ``conversations`` and ``last_texts``: b is a with its last turn's text taken from the last turn of
+    conversation id + 1; without that, the last turn goes, and a conversation of one turn forms no pair. A way to make
+    rejected conversations that share all turns but the last. The turns stay where they were gathered."""
     last = F.element_at("turns", -1)
-    replies = talks.select((F.col("pair_id") - 1).alias("pair_id"), last["text"].alias("reply"))
     swapped = F.when(F.col("reply").isNotNull(), F.array(F.struct(last["role"].alias("role"), F.col("reply").alias("text")))).otherwise(F.array())
-    both = talks.join(replies, "pair_id", "left")
+    both = talks.join(replies.withColumn("pair_id", F.col("pair_id") - 1), "pair_id", "left")
     return both.select("pair_id", F.col("turns").alias("a"), F.concat(F.slice("turns", F.lit(1), F.size("turns") - 1), swapped).alias("b")).where(F.size("b") > 0)
 
 
 def op8_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    return formatted(with_next_reply(conversations(turns)))
+    return formatted(with_next_reply(conversations(turns), last_texts(turns)))
 
 
 _TURN = "'<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10)"

@@ -275,6 +275,30 @@ def test_exact_dedup(spark):
     assert exact_dedup.kept_rows(df, exact_dedup.new_index_name()).columns == df.columns
 
 
+def test_a_batch_judged_again_gives_the_same(spark):
+    index = exact_dedup.new_index_name()
+    exact_dedup.deduplicate(docs(spark, ["a", "b"], [1, 2]), index, batch="one").count()
+    batch = docs(spark, ["b", "c", "c", None], [3, 5, 4, 6])
+    got = [sorted(tuple(r)[:5] for r in exact_dedup.deduplicate(batch, index, batch="two").collect()) for _ in range(3)]
+    assert got[0] == got[1] == got[2] and [r[1:4] for r in got[0]] == [(2, 1, False), (4, 2, True), (4, 2, False), (6, 1, True)]
+    assert spark.table(index).count() == 4
+    exact_dedup.drop_index(spark, index)
+    assert not spark.catalog.tableExists(index)
+
+
+def test_dedup_query_of_two_batches_matches_sql(spark, tmp_path):
+    rng = random.Random(8)
+    texts = [rng.choice([None, "", " ", "a", "a b", "a\tb", "b", "c  d", "c d", str(rng.random())]) for _ in range(400)]
+    docs(spark, texts).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = exact_dedup.op6_exact_dedup(spark, str(tmp_path))
+    want = duck.sql(exact_dedup.ORACLE["op6_exact_dedup"])
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+    docs(spark, ["a"]).limit(0).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    assert exact_dedup.op6_exact_dedup(spark, f"{tmp_path}/empty").count() == 0
+
+
 def test_hot_group(spark):
     df = docs(spark, ["same"] * 1500 + [f"t{i}" for i in range(500)])
     got = exact_dedup.deduplicate(df, exact_dedup.new_index_name())
@@ -317,6 +341,27 @@ def test_missing_segment_is_seen(spark):
         warc.unchunked(b"5\r\nab")
 
 
+def test_torn_records_are_told_apart(spark):
+    df = spark.createDataFrame([(1, "u", "x" * 60_000), (2, "u", "y")], "page_id long, url string, html string")
+    path = warc.new_path(spark, "warc")
+    warc.write_archives(df, path)
+    whole = warc.reassemble(warc.read_records(spark, path).where("segment <> 2"))
+    wrong = whole.withColumn("digest", F.when(F.col("page") == "2", "sha1:x").otherwise(F.col("digest")))
+    assert {(r.page, r.payload_bytes, r.fault) for r in warc.payloads(whole).collect()} == {("1", None, "segments are missing"), ("2", 1, None)}
+    assert {r.fault for r in warc.payloads(wrong).where("page = '2'").collect()} == {"the payload isn't the one that was digested"}
+
+
+def test_very_long_page(spark):
+    import time
+
+    df = spark.createDataFrame([(1, "u", "é<p>" * 8_000_000)], "page_id long, url string, html string")
+    path = warc.new_path(spark, "warc")
+    warc.write_archives(df, path)
+    began = time.perf_counter()
+    r = warc.payloads(warc.reassemble(warc.read_records(spark, path))).first()
+    assert (r.payload_bytes, r.fault) == (40_000_000, None) and time.perf_counter() - began < 60
+
+
 # --- chat
 
 
