@@ -13,12 +13,14 @@ from importlib import resources
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .work import spread
+
 # Equivalent words of the public licence matching guidelines.
 SPELLINGS = (
     ("licence", "license"), ("licenced", "licensed"), ("licencing", "licensing"), ("acknowledgement", "acknowledgment"), ("analogue", "analog"),
     ("authorisation", "authorization"), ("authorised", "authorized"), ("behaviour", "behavior"), ("centre", "center"), ("favour", "favor"),
     ("favourite", "favorite"), ("fulfil", "fulfill"), ("initialise", "initialize"), ("judgement", "judgment"), ("labelling", "labeling"),
-    ("labour", "labor"), ("maximise", "maximize"), ("merchantability", "merchantability"), ("modelled", "modeled"), ("modelling", "modeling"), ("noncommercial", "non commercial"),
+    ("labour", "labor"), ("maximise", "maximize"), ("modelled", "modeled"), ("modelling", "modeling"), ("noncommercial", "non commercial"),
     ("organisation", "organization"), ("organise", "organize"), ("practise", "practice"), ("programme", "program"), ("realise", "realize"),
     ("recognise", "recognize"), ("signalling", "signaling"), ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"), ("sublicence", "sublicense"),
 )
@@ -50,6 +52,13 @@ Permission is granted to anyone to use this software for any purpose, including
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 
 3. This notice may not be removed or altered from any source distribution."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 #: Whole texts by licence id. More can be given to ``scan``.
 LICENSES = (
     ("MIT", _MIT),
@@ -62,6 +71,9 @@ LICENSES = (
     ("BSD-2-Clause", "BSD 2-Clause License\n\n" + _BSD_TOP + _BSD_END),
     ("BSD-3-Clause", _BSD_TOP + _BSD_THIRD + _BSD_END),
     ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD_TOP + _BSD_THIRD + _BSD_END),
+    ("Unlicense", _UNLICENSE),
+    ("Unlicense", _UNLICENSE + "\n\nFor more information, please refer to <https://unlicense.org>"),
+    ("Unlicense", _UNLICENSE + "\n\nFor more information, please refer to <http://unlicense.org/>"),
     ("Zlib", _ZLIB),
     ("Zlib", "zlib License\n\n" + _ZLIB),
 )
@@ -119,11 +131,11 @@ def canonical(text: Column) -> Column:
     """Null as empty. Letters other than ASCII stay as they are."""
     out = F.regexp_replace(F.coalesce(text, F.lit("")), _COPYRIGHT, "\n")
     out = F.translate(out, _UPPER, _LOWER)
-    out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, _WORDLESS, " ")), F.lit(" "))
+    # Two spaces between words, so that each has its own on either side and neighbours are replaced alike.
+    out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, _WORDLESS, "  ")), F.lit(" "))
     for other, one in SPELLINGS:
-        if other != one:
-            out = F.replace(out, F.lit(f" {other} "), F.lit(f" {one} "))
-    return F.trim(out)
+        out = F.replace(out, F.lit(f" {other} "), F.lit(f" {one} "))
+    return F.trim(F.replace(out, F.lit("  "), F.lit(" ")))
 
 
 def digest(text: Column) -> Column:
@@ -164,17 +176,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licens
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
 
 
 def _sql_canonical(x: str) -> str:
     out = f"translate(coalesce({x}, ''), '{_UPPER}', '{_LOWER}')"
     out = f"regexp_replace({out}, '(^|\\n)[^a-z0-9\\n]*(copyright|\\(c\\)|©)[^\\n]*', chr(10), 'g')"
-    out = f"' ' || trim(regexp_replace({out}, '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g')) || ' '"
+    out = f"' ' || trim(regexp_replace({out}, '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+', '  ', 'g')) || ' '"
     for other, one in SPELLINGS:
-        if other != one:
-            out = f"replace({out}, ' {other} ', ' {one} ')"
-    return f"trim({out})"
+        out = f"replace({out}, ' {other} ', ' {one} ')"
+    return f"trim(replace({out}, '  ', ' '))"
 
 
 def _sql_rows(texts: tuple[tuple[str, str], ...]) -> str:
