@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .scan import text_slices, word_hashes
+from .work import spread
 
 # Classes of code points; an apostrophe that a contraction may follow has a class of its own.
 L, N, O, W, SP, Q1, Q2, NEAR = range(8)  # noqa: E741
@@ -132,9 +133,8 @@ def slice_starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
 class Vocabulary:
     """Ranks of a byte-level vocabulary: bytes of each id, and the id of each pair that merges."""
 
-    def __init__(self, path: str) -> None:
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+    def __init__(self, lines: bytes) -> None:
+        self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines.splitlines() if line.strip())}
         self.pieces: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
         pairs = {}
         for token, rank in self.ranks.items():
@@ -295,8 +295,24 @@ NONE = np.int64(1 << 40)
 
 
 @lru_cache(maxsize=2)
+def _read(lines: bytes) -> Vocabulary:
+    return Vocabulary(lines)
+
+
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+    with open(path, "rb") as f:
+        return _read(f.read())
+
+
+class Sent:
+    """A rank file on its way to the tasks: opened by the driver alone and broadcast; its size is that of the vocabulary."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        with open(path, "rb") as f:
+            self.lines = spark.sparkContext.broadcast(f.read())
+
+    def vocabulary(self) -> Vocabulary:
+        return _read(self.lines.value)
 
 
 def encode_slices(column: pa.Array, vocab: Vocabulary) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
@@ -307,7 +323,12 @@ def encode_slices(column: pa.Array, vocab: Vocabulary) -> Iterator[tuple[bytes,
             yield b"", np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(rows + 1, np.int64)
             continue
         raw = data.tobytes()
-        points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
+        try:
+            points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
+        except UnicodeDecodeError:  # some text isn't UTF-8: its bad bytes count as U+FFFD
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            yield from encode_slices(pa.array(texts, pa.large_string()), vocab)
+            continue
         byte_at = np.flatnonzero((data & 0xC0) != 0x80)
         first = np.zeros(len(points), bool)
         begin = np.searchsorted(byte_at, offsets[:-1])
@@ -331,12 +352,14 @@ RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The columns of ``docs`` and ``token_ids`` (array<int>), ``token_offsets`` (array<int>, the byte where each token begins).
 
-    Null and empty texts have no tokens. Columns of these two names are replaced. Narrow: no shuffle.
+    Null and empty texts have no tokens; bytes that aren't UTF-8 count as U+FFFD. Columns of these two names are replaced.
+    Narrow: no shuffle.
     """
     docs = docs.drop("token_ids", "token_offsets")
+    sent = Sent(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
+        vocab = sent.vocabulary()
         sizes = vocab.piece_size
         for batch in batches:
             text = batch.column(batch.schema.get_field_index(text_col))
@@ -363,11 +386,12 @@ def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """One row for each row of ``docs``: the id, number of tokens, digests of the ids and of what they decode to.
 
     A null text counts as empty; an empty one has 0 tokens and the digest of no bytes. Every text is
-    encoded whole. Narrow: no shuffle; memory is bounded by the batch and the longest text.
+    encoded whole; bytes that aren't UTF-8 count as U+FFFD. Narrow: no shuffle; memory is bounded by the batch and the longest text.
     """
+    sent = Sent(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
+        vocab = sent.vocabulary()
         sha = hashlib.sha256
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
@@ -393,7 +417,7 @@ def rank_file(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
 
 
 def op1_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), rank_file())
+    return token_digests(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), rank_file())
 
 
 QUERIES = {"op1_bpe_tokens": op1_bpe_tokens}
