@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scan import _GOLD, _PLACES, mix64, text_slices
+from .work import spread, written
 
 #: Identity terms by kind; a term is swapped for the next of its kind.
 IDENTITY_TERMS = (
@@ -40,8 +41,8 @@ _LOWER[0x41:0x5B] += 32
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    """The fifth of the rows that is never learned from."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
+    """The fifth of the rows that is never learned from; a null id counts as an empty one, which is in it."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
 def hashed_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,38 +126,26 @@ class Model:
         return np.concatenate(out) if out else np.zeros(0)
 
 
-def fit(texts: list[np.ndarray], swapped: list[np.ndarray | None], toxic: np.ndarray, features: int = FEATURES, ridge: float = RIDGE, fairness: float = FAIRNESS, steps: int = STEPS) -> Model:
-    """Fit on the distinct buckets of each text and of its counterfactual (None where nothing was swapped).
+def chosen_features(bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int, features: int = FEATURES) -> np.ndarray:
+    """Places of the features that differ most between the labels, by chi-square; ``bad`` and ``good`` count the texts that have them."""
+    both, n = (bad + good).astype(float), n_bad + n_good
+    if not n_bad or not n_good:
+        return np.zeros(0, np.int64)
+    expected = both * n_bad / n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        chi = np.where(both >= 5, (bad - expected) ** 2 / (expected * (1 - n_bad / n) * (1 - both / n) + 1e-9), 0)
+    return np.sort(np.argsort(-chi, kind="stable")[: min(features, int((chi > 3.84).sum()))])
 
-    Without both labels in the sample, no feature is kept and the score is the share of toxic texts.
-    """
-    n = len(texts)
+
+def fit(x: np.ndarray, gap: np.ndarray, toxic: np.ndarray, ridge: float = RIDGE, fairness: float = FAIRNESS, steps: int = STEPS) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a logistic model of the rows of ``x``; ``gap`` holds what swapping identity terms changes in a
+    row, and its effect on the score is penalised. Without both labels the intercept alone is fitted, to the share of toxic rows."""
+    n = len(x)
     if not n or toxic.min() == toxic.max():
         rate = (float(toxic.sum()) + 0.5) / (n + 1)
-        return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(rate / (1 - rate))))
-    flat, owner = np.concatenate(texts), np.repeat(np.arange(n), [len(t) for t in texts])
-    bad = np.bincount(flat[toxic[owner] == 1], minlength=BUCKETS).astype(float)
-    good = np.bincount(flat[toxic[owner] == 0], minlength=BUCKETS).astype(float)
+        return np.zeros(x.shape[1]), float(np.log(rate / (1 - rate)))
     n_bad, n_good = float(toxic.sum()), float(n - toxic.sum())
-    # Features that differ most between the labels, by chi-square with a sign left out.
-    both = bad + good
-    expected = both * n_bad / n
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi = np.where(both >= 5, (bad - expected) ** 2 / (expected * (1 - n_bad / n) * (1 - both / n) + 1e-9), 0)
-    pick = np.sort(np.argsort(-chi, kind="stable")[: min(features, int((chi > 3.84).sum()))])
-
-    def matrix(rows: list[np.ndarray]) -> np.ndarray:
-        m = np.zeros((len(rows), len(pick)), np.float32)
-        for i, r in enumerate(rows):
-            at = np.searchsorted(pick, r)
-            at[at == len(pick)] = 0
-            m[i, at[pick[at] == r] if len(pick) else []] = 1
-        return m
-
-    x = matrix(texts)
-    pairs = [i for i, s in enumerate(swapped) if s is not None]
-    gap = x[pairs] - matrix([swapped[i] for i in pairs])
-    w, b, y = np.zeros(len(pick), np.float32), float(np.log(n_bad / n_good)), toxic.astype(np.float32)
+    w, b, y = np.zeros(x.shape[1], np.float32), float(np.log(n_bad / n_good)), toxic.astype(np.float32)
     # Labels weigh the same in the loss; the intercept absorbs the rest.
     weight = np.where(y == 1, n / (2 * n_bad), n / (2 * n_good)).astype(np.float32) / n
     m1, m2, mb1, mb2 = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
@@ -164,24 +153,32 @@ def fit(texts: list[np.ndarray], swapped: list[np.ndarray | None], toxic: np.nda
         p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
         error = (p - y) * weight
         g = x.T @ error + ridge * w
-        if len(pairs):
-            g += 2 * fairness * (gap.T @ (gap @ w)) / len(pairs)
+        if len(gap):
+            g += 2 * fairness * (gap.T @ (gap @ w)) / len(gap)
         gb = float(error.sum())
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         mb1, mb2 = 0.9 * mb1 + 0.1 * gb, 0.999 * mb2 + 0.001 * gb * gb
         c1, c2 = 1 - 0.9**t, 1 - 0.999**t
         w -= 0.05 * (m1 / c1) / (np.sqrt(m2 / c2) + 1e-8)
         b -= 0.05 * (mb1 / c1) / (np.sqrt(mb2 / c2) + 1e-8)
-    return Model(pick, w.astype(np.float64), b)
+    return w.astype(np.float64), b
+
 
+def _matrix(rows: list, width: int) -> np.ndarray:
+    m = np.zeros((len(rows), width), np.float32)
+    for i, r in enumerate(rows):
+        m[i, r] = 1
+    return m
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", **how) -> Model:
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", features: int = FEATURES, **how) -> Model:
     """Fit on at most ``sample`` labelled rows that aren't held out, picked by a hash of the id.
 
     Rows without a label, an id or a text aren't learned from; of texts that repeat an id, only the one with the least
-    feature set is. The picked ids are ``sample`` rows at most, so they are broadcast; what comes to the driver is one
-    feature set for each.
+    feature set is. Features are counted on the executors; what comes to the driver are the counts of BUCKETS features at
+    most, then for each of the picked rows which of the ``features`` chosen ones it has, however long its text is.
     """
+    spark = docs.sparkSession
     picked = (
         labels.where(~held_out(id_col) & F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1))
         .groupBy(id_col).agg(F.max("toxic").alias("toxic"))
@@ -193,18 +190,39 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
         for batch in batches:
             plain = batch.column(0)
             other = [None if t is None or (s := counterfactual(t)) == t else s for t in plain.to_pylist()]
-            own = [a.astype("<i4").tobytes() for a in distinct_features(plain)]
+            own = [a.astype(np.int32) for a in distinct_features(plain)]
             sets = distinct_features(pa.array([s or "" for s in other], pa.string()))
-            pair = [None if s is None else a.astype("<i4").tobytes() for s, a in zip(other, sets, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pa.array(pair, pa.binary()), batch.column(1), batch.column(2)], names=["own", "pair", "toxic", "_id"])
+            pair = [None if s is None else a.astype(np.int32) for s, a in zip(other, sets, strict=True)]
+            kind = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(own, kind), pa.array(pair, kind), batch.column(1), batch.column(2)], names=["own", "pair", "toxic", "_id"])
+
+    sets = rows.mapInArrow(run, f"own array<int>, pair array<int>, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in rows.schema[1:])}")
+    once = written(sets.groupBy("_id").agg(F.min(F.struct("own", "pair", "toxic")).alias("one")).select("one.*"), "features")
+    toxic = once.groupBy("toxic").count().toArrow().to_pydict()
+    n = dict(zip(toxic["toxic"], toxic["count"], strict=True))
+    counts = once.select(F.explode("own").alias("bucket"), "toxic").groupBy("bucket").agg(F.sum("toxic").alias("bad"), F.count("*").alias("both")).where("both >= 5").toArrow()
+    bad, both = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    at = counts["bucket"].to_numpy()
+    bad[at], both[at] = counts["bad"].to_numpy(), counts["both"].to_numpy()
+    pick = chosen_features(bad, both - bad, n.get(1, 0), n.get(0, 0), features)
+    sent = spark.sparkContext.broadcast(pick)
+
+    def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chosen = sent.value
+            of = lambda r: None if r is None else np.flatnonzero(np.isin(chosen, r)).astype("<i4").tobytes()
+            cols = [pa.array([of(r) for r in batch.column(i).to_pylist()], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*cols, batch.column(2)], names=["own", "pair", "toxic"])
 
-    sets = rows.mapInArrow(run, f"own binary, pair binary, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in rows.schema[1:])}")
-    got = sets.groupBy("_id").agg(F.min(F.struct("own", "pair", "toxic")).alias("one")).select("one.*").toArrow()
+    got = once.mapInArrow(narrowed, "own binary, pair binary, toxic int").toArrow().to_pylist()
     # Sorted, so that the fit doesn't depend on the order in which tasks end.
-    order = sorted(range(len(got)), key=lambda i: (got["own"][i].as_py(), got["toxic"][i].as_py()))
-    got = got.take(order) if order else got
-    read = lambda b: None if b is None else np.frombuffer(b, "<i4").astype(np.int64)
-    return fit([read(x) for x in got["own"].to_pylist()], [read(x) for x in got["pair"].to_pylist()], np.array(got["toxic"].to_pylist(), np.int64), **how)
+    got.sort(key=lambda r: (r["own"], r["pair"] or b"", r["toxic"]))
+    read = lambda b: np.frombuffer(b, "<i4")
+    x = _matrix([read(r["own"]) for r in got], len(pick))
+    swapped = [i for i, r in enumerate(got) if r["pair"] is not None]
+    gap = x[swapped] - _matrix([read(got[i]["pair"]) for i in swapped], len(pick))
+    weights, intercept = fit(x, gap, np.array([r["toxic"] for r in got], np.int64), **how)
+    return Model(pick, weights, intercept)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
@@ -218,11 +236,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.float64())], names=[*batch.schema.names, score_col])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, {score_col} double")
+    return docs.mapInArrow(run, f"{fields}, `{score_col}` double")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

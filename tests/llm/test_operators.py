@@ -58,6 +58,14 @@ def test_bpe_offsets_decode(spark):
     assert bpe.encode(df.limit(0), bpe.rank_file()).count() == 0
 
 
+def test_bpe_of_bytes_that_are_no_text(spark):
+    raw = [b"ok \xff\xfe then", b"plain", None, b"\xe4\xb8"]
+    df = spark.createDataFrame(list(enumerate(raw)), "doc_id long, raw binary").select("doc_id", F.col("raw").cast("string").alias("text"))
+    enc, got = oracle(), {r.doc_id: r for r in bpe.token_digests(df, bpe.rank_file()).collect()}
+    for i, b in enumerate(raw):
+        assert got[i].ids_sha256 == hashlib.sha256(",".join(map(str, enc.encode_ordinary((b or b"").decode("utf-8", "replace")))).encode()).hexdigest()
+
+
 # --- toxicity
 
 
@@ -89,6 +97,45 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(docs(spark, ["a"]), model).first().score == pytest.approx(0.5)
 
 
+def test_fit_matches_a_plain_one():
+    """The same loss and steps, written out row by row in double precision."""
+    rng = np.random.default_rng(9)
+    x = (rng.random((40, 3)) < 0.4).astype(np.float32)
+    toxic = (x[:, 0] + rng.random(40) > 0.9).astype(np.int64)
+    gap = np.where(rng.random((10, 3)) < 0.3, 1, 0).astype(np.float32)
+    w, b = [0.0] * 3, float(np.log(toxic.sum() / (40 - toxic.sum())))
+    share = {1: 0.5 / toxic.sum(), 0: 0.5 / (40 - toxic.sum())}
+    m, v = [0.0] * 4, [0.0] * 4
+    for t in range(1, 61):
+        g = [toxicity.RIDGE * k for k in w] + [0.0]
+        for row, y in zip(x, toxic, strict=True):
+            e = (1 / (1 + np.exp(-(sum(k * float(c) for k, c in zip(w, row, strict=True)) + b))) - y) * share[int(y)]
+            g = [q + e * c for q, c in zip(g, [*map(float, row), 1.0], strict=True)]
+        for row in gap:
+            change = sum(k * float(c) for k, c in zip(w, row, strict=True))
+            g = [q + 2 * toxicity.FAIRNESS * change * c / len(gap) for q, c in zip(g, [*map(float, row), 0.0], strict=True)]
+        m, v = [0.9 * a + 0.1 * q for a, q in zip(m, g, strict=True)], [0.999 * a + 0.001 * q * q for a, q in zip(v, g, strict=True)]
+        step = [0.05 * (a / (1 - 0.9**t)) / (np.sqrt(c / (1 - 0.999**t)) + 1e-8) for a, c in zip(m, v, strict=True)]
+        w, b = [k - q for k, q in zip(w, step[:3], strict=True)], b - step[3]
+    got, at = toxicity.fit(x, gap, toxic, steps=60)
+    assert np.allclose(got, w, atol=1e-3) and at == pytest.approx(b, abs=1e-3)
+
+
+def test_features_are_chosen_by_chi_square():
+    bad, good = np.array([50, 5, 2, 30, 0]), np.array([0, 5, 2, 30, 60])
+    n_bad, n_good = 60, 90
+    want = []
+    for i, (a, g) in enumerate(zip(bad, good, strict=True)):
+        e = (a + g) * n_bad / (n_bad + n_good)
+        chi = (a - e) ** 2 / (e * (1 - n_bad / 150) * (1 - (a + g) / 150)) if a + g >= 5 else 0
+        want += [i] if chi > 3.84 else []
+    assert toxicity.chosen_features(bad, good, n_bad, n_good).tolist() == want == [0, 3, 4]
+
+
+def test_null_ids_are_held_out(spark):
+    assert [r[0] for r in docs(spark, ["a", "b"], [None, 3]).select(toxicity.held_out()).collect()][0] is True
+
+
 def test_counterfactual_swaps_terms():
     assert toxicity.counterfactual("Women and muslim men") == "Men and christian women"
 
@@ -197,6 +244,18 @@ def test_licenses(spark):
     assert licenses.scan(docs(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_neighbouring_spellings(spark):
+    df = spark.createDataFrame([("x programme programme licence licence y",), ("Whilst whilst\nWHILST wilful fulfil",)], "t string")
+    assert [r[0] for r in df.select(licenses.canonical(F.col("t"))).collect()] == ["x program program license license y", "while while while willful fulfill"]
+
+
+def test_license_query_finds_whole_texts(spark, tmp_path):
+    mit = dict(licenses.LICENSES)["MIT"]
+    docs(spark, ["Copyright 2020 Me\n" + mit, "plain\nReleased under the MIT License.", licenses.WHOLE[-1][1], None]).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.license_id, r.notice_ids) for r in licenses.op4_license_scan(spark, str(tmp_path)).collect()}
+    assert got == {0: ("MIT", ""), 1: (None, "MIT"), 2: (licenses.WHOLE[-1][0], got[2][1]), 3: (None, "")}
+
+
 def test_licenses_wrapped(spark):
     wrap = lambda t, n: "\n\n".join(textwrap.fill(p, n) for p in t.split("\n\n"))
     texts = [(i, w) for i, t in licenses.LICENSES for w in (" ".join(t.split()), *[wrap(t, n) for n in (72, 80)], *[wrap(t, n).upper() for n in (40, 60)])]
