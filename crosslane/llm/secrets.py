@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .scan import text_slices
+from .work import spread
 
 
 @dataclass(frozen=True)
@@ -418,7 +419,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan_secrets(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
 
 
 QUERIES = {"op10_secret_scan": op10_secret_scan}
