@@ -15,8 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a tile in either direction; most tiles whose lists meet in one merge.
-QUERY_BLOCK, VECTOR_BLOCK, FAN_IN = 2048, 8192, 64
+#: Rows of a tile in either direction; most tiles whose lists meet in one merge; query rows of a tile that are searched at once.
+QUERY_BLOCK, VECTOR_BLOCK, FAN_IN, STRIP = 2048, 8192, 64, 128
 
 
 def usable(vector: str) -> F.Column:
@@ -42,6 +42,17 @@ def tile_products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return out
 
 
+def balanced(m: np.ndarray) -> np.ndarray:
+    """Rows whose squares would leave the range of doubles, scaled by a power of two (which changes no cosine); others as they are."""
+    most = np.abs(m).max(axis=1)
+    far = (most > 1e140) | (most < 1e-140)
+    if not far.any():
+        return m
+    out = m.copy()
+    out[far] = np.ldexp(m[far], -np.frexp(most[far])[1][:, None])
+    return out
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of row pairs, component by component in order, so equal vectors get equal scores."""
     dot, na, nb = (np.zeros(len(a)) for _ in range(3))
@@ -53,24 +64,27 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def search_tile(q_ids: np.ndarray, q: np.ndarray, v_ids: np.ndarray, v: np.ndarray, k: int) -> list[tuple[int, int, float]]:
-    """The k nearest of each query in one tile: bounds first, then exact scores of the survivors."""
+    """The k nearest of each query in one tile: bounds first, then exact scores of the survivors, strip by strip."""
+    q, v = balanced(q), balanced(v)
     unit_q, unit_v = q / np.sqrt((q * q).sum(axis=1))[:, None], v / np.sqrt((v * v).sum(axis=1))[:, None]
     (iq, sq, eq), (iv, sv, ev) = quantise(unit_q), quantise(unit_v)
-    near = tile_products(iq, iv).astype(np.float64) * sq[:, None] * sv[None, :]
-    # |q.v - q'.v'| <= |q - q'| |v| + |q'| |v - v'|, and |q'| <= 1 + |q - q'|.
-    slack = eq[:, None] + (1 + eq)[:, None] * ev[None, :] + 1e-9
-    own = q_ids[:, None] == v_ids[None, :]
-    low = np.where(own, -np.inf, near - slack)
-    some = min(k, low.shape[1])
-    least = np.partition(low, low.shape[1] - some, axis=1)[:, low.shape[1] - some]
-    i, j = np.nonzero((near + slack >= least[:, None]) & ~own)
     out = []
-    exact = np.concatenate([cosines(q[i[a : a + 65536]], v[j[a : a + 65536]]) for a in range(0, len(i), 65536)]) if len(i) else np.zeros(0)
-    edge = np.searchsorted(i, np.arange(len(q_ids) + 1))
-    for r in range(len(q_ids)):
-        a, b = edge[r], edge[r + 1]
-        best = heapq.nsmallest(k, zip((-exact[a:b]).tolist(), v_ids[j[a:b]].tolist(), strict=True))
-        out += [(int(q_ids[r]), int(w), -s) for s, w in best]
+    for top in range(0, len(q), STRIP):
+        rows = slice(top, top + STRIP)
+        near = tile_products(iq[rows], iv).astype(np.float64) * sq[rows, None] * sv[None, :]
+        # |q.v - q'.v'| <= |q - q'| |v| + |q'| |v - v'|, and |q'| <= 1 + |q - q'|.
+        slack = eq[rows, None] + (1 + eq[rows])[:, None] * ev[None, :] + 1e-9
+        own = q_ids[rows, None] == v_ids[None, :]
+        low = np.where(own, -np.inf, near - slack)
+        some = min(k, low.shape[1])
+        least = np.partition(low, low.shape[1] - some, axis=1)[:, low.shape[1] - some]
+        i, j = np.nonzero((near + slack >= least[:, None]) & ~own)
+        exact = np.concatenate([cosines(q[rows][i[a : a + 65536]], v[j[a : a + 65536]]) for a in range(0, len(i), 65536)]) if len(i) else np.zeros(0)
+        edge = np.searchsorted(i, np.arange(len(near) + 1))
+        for r in range(len(near)):
+            a, b = edge[r], edge[r + 1]
+            best = heapq.nsmallest(k, zip((-exact[a:b]).tolist(), v_ids[j[a:b]].tolist(), strict=True))
+            out += [(int(q_ids[top + r]), int(w), -s) for s, w in best]
     return out
 
 
@@ -78,7 +92,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
     """(query_id, rank, vec_id, score): the k nearest vectors of each query but its own id, nearest first,
     ties to the smaller id; fewer where there are fewer. Nulls and vectors that are zero or not finite take no part.
 
-    All vectors have one length. Rows that repeat an id are candidates each; a query id counts once.
+    A query meets the vectors of its own length only. Rows that repeat an id are candidates each; a query id counts once (of
+    rows that repeat it, one).
     The grid has a block for each QUERY_BLOCK queries and VECTOR_BLOCK vectors: a query is sent to every
     column of the grid and a vector to every row, and no task holds more than one tile.
     """
@@ -98,7 +113,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
             found = search_tile(a["id"].to_numpy(), np.stack(a["vec"].to_numpy()), b["id"].to_numpy(), np.stack(b["vec"].to_numpy()), k)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    lists = left.groupBy("row", "col").cogroup(right.groupBy("row", "col")).applyInPandas(tile, schema)
+    left, right = left.withColumn("dims", F.size("vec")), right.withColumn("dims", F.size("vec"))
+    keys = ["row", "col", "dims"]
+    lists = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(tile, schema)
     while cols > FAN_IN:  # lists of very many tiles are merged in steps
         cols = math.ceil(cols / FAN_IN)
         part = F.pmod(F.xxhash64("vec_id"), F.lit(cols))
