@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scan import mix64, shingle_sets, text_slices
-from .work import with_group, with_row_keys, without, written
+from .work import spread, with_group, with_row_keys, without, written
 
 WIDTH, NUM, DEN = 4, 85, 100
 #: Cells and rows of the sketch of shingle frequencies, cells of one stored piece of it.
 CELLS, ROWS, PIECE = 1 << 22, 2, 1 << 16
+#: Parts in which the tasks' counts of a piece are added first.
+FAN_IN = 256
 #: Share of a text's shingles that its prefix holds beyond what may be missing from an overlap.
 SPARE_NUM, SPARE_DEN = 1, 20
 #: Most shingles in a block that is searched at once; larger ones are searched tile by tile.
@@ -76,36 +78,45 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
                 row, at = divmod(k * PIECE, CELLS)
                 part = counts[row][at : at + PIECE]
                 if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["id", "n", "key", "piece", "counts"])
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([zlib.compress(part.astype(np.uint64).tobytes(), 1)], pa.binary())], names=["id", "n", "key", "piece", "counts"])
 
     return docs.mapInArrow(run, f"id {docs.schema[0].dataType.simpleString()}, n long, key long, piece int, counts binary")
 
 
-def _levels(pieces: DataFrame) -> np.ndarray:
-    """The sketch: for each row and cell a level that grows with the logarithm of its count. ROWS * CELLS bytes."""
+def _added(pieces: DataFrame, by: list[str], level: bool) -> DataFrame:
+    """(piece, counts) of ``pieces``, added up for each of the keys ``by``; as levels where it is the last step."""
+
+    def done(piece: int, total: np.ndarray) -> pa.RecordBatch:
+        if level:
+            total = np.minimum(255, np.rint(6 * np.log2(1 + total.astype(float)))).astype(np.uint8)
+        return pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["piece", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, total = -1, np.zeros(0, np.uint64)
+        now, total = None, np.zeros(0, np.uint64)
         for batch in batches:
-            for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if piece != now:
-                    if now >= 0:
-                        yield _level_row(now, total)
-                    now, total = piece, np.zeros(PIECE, np.uint64)
-                total += np.frombuffer(zlib.decompress(counts), np.uint32)
-        if now >= 0:
-            yield _level_row(now, total)
+            *keys, counts = (c.to_pylist() for c in batch.columns)
+            for *key, some in zip(*keys, counts, strict=True):
+                if key != now:
+                    if now is not None:
+                        yield done(now[0], total)
+                    now, total = key, np.zeros(PIECE, np.uint64)
+                total += np.frombuffer(zlib.decompress(some), np.uint64)
+        if now is not None:
+            yield done(now[0], total)
 
-    out = np.zeros(ROWS * CELLS, np.uint8)
-    by = pieces.select("piece", "counts").repartition("piece").sortWithinPartitions("piece").mapInArrow(run, "piece int, level binary")
-    for r in by.toLocalIterator():  # ROWS * CELLS / PIECE rows at most
-        out[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(zlib.decompress(r["level"]), np.uint8)
-    return out.reshape(ROWS, CELLS)
+    return pieces.select(*by, "counts").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "piece int, counts binary")
 
 
-def _level_row(piece: int, total: np.ndarray) -> pa.RecordBatch:
-    level = np.minimum(255, np.rint(6 * np.log2(1 + total.astype(float)))).astype(np.uint8)
-    return pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([zlib.compress(level.tobytes(), 1)], pa.binary())], names=["piece", "level"])
+def _levels(pieces: DataFrame) -> np.ndarray:
+    """The sketch: for each row and cell a level that grows with the logarithm of its count. ROWS * CELLS bytes.
+
+    Every task has counted some; they are added in two steps, first for each piece and some of the tasks, so that no task
+    reads a piece of all the others."""
+    some = pieces.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(FAN_IN)))
+    out = np.zeros(ROWS * CELLS, np.uint8)
+    for r in _added(_added(some, ["piece", "part"], False), ["piece"], True).toLocalIterator():  # ROWS * CELLS / PIECE rows at most
+        out[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(zlib.decompress(r["counts"]), np.uint8)
+    return out.reshape(ROWS, CELLS)
 
 
 def missing_at_most(n: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -393,7 +404,7 @@ def representatives(docs: DataFrame, width: int, num: int, den: int, id_col: str
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return near_duplicates(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
 
 
 ORACLE = {

@@ -315,6 +315,16 @@ def test_vectors_match_brute_force(spark, monkeypatch):
     assert vector_search.nearest(few.limit(0), few.limit(0)).count() == 0
 
 
+def test_vectors_of_other_lengths_and_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "STRIP", 2)
+    rows = [(i, [float(i + 1), 1.0]) for i in range(6)] + [(100 + i, [1.0, float(i), 2.0]) for i in range(4)] + [(200, [1e200, 1e200]), (201, [3e-200, 1e-200]), (202, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.query_id: r for r in vector_search.nearest(df, df, k=1).collect()}
+    assert sorted(got) == [*range(6), 100, 101, 102, 103, 200, 201]
+    assert (got[200].vec_id, got[201].vec_id) == (0, 2) and got[200].score == pytest.approx(1) and got[201].score == pytest.approx(1)
+    assert all(got[100 + i].vec_id >= 100 for i in range(4))
+
+
 # --- exact dedup
 
 
