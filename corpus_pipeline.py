@@ -6,6 +6,8 @@ shared folder and read again as the next stage's documents.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +23,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.train(docs.select("doc_id", "text"), labels)
-    return toxicity.score(docs, model, score_col="_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    name = f"_score_{uuid.uuid4().hex[:8]}"  # no column of the documents has this name
+    return toxicity.score(docs, model, score_col=name).where(F.col(name) < 0.5).drop(name)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the smallest id."""
     ship(spark)
-    return exact_dedup.kept_rows(docs, exact_dedup.new_index_name())
+    index = exact_dedup.new_index_name()
+    kept = exact_dedup.kept_rows(docs, index)
+    exact_dedup.drop_index(spark, index)
+    return kept
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
