@@ -28,8 +28,6 @@ from .work import spread, with_group, with_row_keys, without, written
 WIDTH, NUM, DEN = 4, 85, 100
 #: Cells and rows of the sketch of shingle frequencies, cells of one stored piece of it.
 CELLS, ROWS, PIECE = 1 << 22, 2, 1 << 16
-#: Parts in which the tasks' counts of a piece are added first.
-FAN_IN = 256
 #: Share of a text's shingles that its prefix holds beyond what may be missing from an overlap.
 SPARE_NUM, SPARE_DEN = 1, 20
 #: Most shingles in a block that is searched at once; larger ones are searched tile by tile.
@@ -112,7 +110,8 @@ def _levels(pieces: DataFrame) -> np.ndarray:
 
     Every task has counted some; they are added in two steps, first for each piece and some of the tasks, so that no task
     reads a piece of all the others."""
-    some = pieces.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(FAN_IN)))
+    parts = max(1, math.isqrt(pieces.rdd.getNumPartitions()))
+    some = pieces.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(parts)))
     out = np.zeros(ROWS * CELLS, np.uint8)
     for r in _added(_added(some, ["piece", "part"], False), ["piece"], True).toLocalIterator():  # ROWS * CELLS / PIECE rows at most
         out[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(zlib.decompress(r["counts"]), np.uint8)
