@@ -11,7 +11,7 @@ from ..sources import html, tables
 from . import surrogate as s
 from .queries import query
 
-_DAY = F.lit("2026-05-01").cast("date")
+_DAY = "date'2026-05-01'"
 _FORMS = ("STANDARD", "MEDIUM", "PROMO", "LARGE", "ECONOMY", "SMALL")
 
 
@@ -102,7 +102,7 @@ def canonical_by_country(spark, d):
 
 def _snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     raw = _lists(spark, d)["IE"].withColumn("row_index", F.xxhash64("Code", "Drug Name", "Pack Size", "Reimbursement Price"))
-    return canonical.canonical(raw, canonical.COUNTRIES["IE"], _DAY, F.lit("doc-ie"))
+    return canonical.canonical(raw, canonical.COUNTRIES["IE"], F.expr(_DAY), F.lit("doc-ie"))
 
 
 @query(f"""WITH {_WANT} SELECT 'IE' AS country, '2026-05-01' AS day, count(*) AS n_records, CAST(sum(price_amount) AS DECIMAL(38,2)) AS total, count(*) AS n_traced FROM ie WHERE reason IS NULL""")
@@ -149,7 +149,7 @@ def file_integrity(spark, d):
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.regexp_extract("path", "(source=[^/]+/[^/]+)$", 1).alias("file"), F.url_decode(F.regexp_extract("path", "source=([^/]+)/", 1)).alias("source"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
     edge = docs.agg(F.min("source").alias("least"), F.max("source").alias("most"))
     entry = F.struct(F.when(F.col("source") == F.col("least"), F.concat("file", F.lit(".gone"))).otherwise(F.col("file")).alias("name"), F.when(F.col("source") == F.col("most"), F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"), "bytes")
-    listed = files.join(F.broadcast(edge)).select("source", F.lit("ZZ").alias("country_code"), _DAY.alias("snapshot_date"), F.array(entry).alias("files"))
+    listed = files.join(F.broadcast(edge)).select("source", F.lit("ZZ").alias("country_code"), F.expr(_DAY).alias("snapshot_date"), F.array(entry).alias("files"))
     found = tables.verify_files(spark, path, listed)
     status = found.join(listed.select("source", F.col("files")[0]["name"].alias("name")), "name").select("source", "status")
     return docs.groupBy("source").agg(F.count("*").alias("n_docs")).join(status, "source", "left").select(F.col("source").alias("name"), "status", "n_docs")
