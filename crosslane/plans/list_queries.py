@@ -147,9 +147,9 @@ def file_integrity(spark, d):
     path = tables.shared_path(spark, "files")
     docs.repartition("source").sortWithinPartitions("source", "doc_id").select("source", F.col("doc_id").cast("string").alias("value")).write.partitionBy("source").text(path)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.regexp_extract("path", "(source=[^/]+/[^/]+)$", 1).alias("file"), F.url_decode(F.regexp_extract("path", "source=([^/]+)/", 1)).alias("source"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
-    edge = docs.agg(F.min("source").alias("least"), F.max("source").alias("most"))
-    entry = F.struct(F.when(F.col("source") == F.col("least"), F.concat("file", F.lit(".gone"))).otherwise(F.col("file")).alias("name"), F.when(F.col("source") == F.col("most"), F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"), "bytes")
-    listed = files.join(F.broadcast(edge)).select("source", F.lit("ZZ").alias("country_code"), F.expr(_DAY).alias("snapshot_date"), F.array(entry).alias("files"))
+    least, most = docs.agg(F.min("source")).scalar(), docs.agg(F.max("source")).scalar()
+    entry = F.struct(F.when(F.col("source") == least, F.concat("file", F.lit(".gone"))).otherwise(F.col("file")).alias("name"), F.when(F.col("source") == most, F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"), "bytes")
+    listed = files.select("source", F.lit("ZZ").alias("country_code"), F.expr(_DAY).alias("snapshot_date"), F.array(entry).alias("files"))
     found = tables.verify_files(spark, path, listed)
     status = found.join(listed.select("source", F.col("files")[0]["name"].alias("name")), "name").select("source", "status")
     return docs.groupBy("source").agg(F.count("*").alias("n_docs")).join(status, "source", "left").select(F.col("source").alias("name"), "status", "n_docs")
