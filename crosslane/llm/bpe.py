@@ -346,6 +346,9 @@ def decode(ids: np.ndarray, vocab: Vocabulary) -> np.ndarray:
     return vocab.piece_bytes[_ranges(vocab.piece_start[ids], vocab.piece_size[ids])]
 
 
+#: Tokens after which a batch of results is cut.
+OUT_TOKENS = 1 << 22
+
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -353,7 +356,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """The columns of ``docs`` and ``token_ids`` (array<int>), ``token_offsets`` (array<int>, the byte where each token begins).
 
     Null and empty texts have no tokens; bytes that aren't UTF-8 count as U+FFFD. Columns of these two names are replaced.
-    Narrow: no shuffle.
+    Equal texts of one batch are encoded once. Narrow: no shuffle; rows of a batch may change places.
     """
     docs = docs.drop("token_ids", "token_offsets")
     sent = Sent(docs.sparkSession, path)
@@ -362,21 +365,25 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         vocab = sent.vocabulary()
         sizes = vocab.piece_size
         for batch in batches:
-            text = batch.column(batch.schema.get_field_index(text_col))
-            at = 0
-            for raw, _, slots, bounds in encode_slices(text, vocab):
-                rows = len(bounds) - 1
+            # Repeats of a text (the copies that a mix takes lie together) are encoded once in a batch.
+            text = batch.column(batch.schema.get_field_index(text_col)).dictionary_encode("encode")
+            which, at = text.indices.to_numpy(), 0
+            for raw, _, slots, bounds in encode_slices(text.dictionary, vocab):
+                n = len(bounds) - 1
                 ids, edge = vocab.ids_of(slots)
                 edge = edge[bounds]
                 begin = np.cumsum(sizes[ids]) - sizes[ids]
-                owner = np.repeat(np.arange(rows), np.diff(edge))
+                owner = np.repeat(np.arange(n), np.diff(edge))
                 head = np.append(begin, len(raw))[edge[:-1]]
-                some = batch.slice(at, rows)
-                at += rows
-                yield pa.RecordBatch.from_arrays(
-                    [*some.columns, pa.ListArray.from_arrays(edge.astype(np.int32), ids.astype(np.int32)), pa.ListArray.from_arrays(edge.astype(np.int32), (begin - head[owner]).astype(np.int32))],
-                    names=[*some.schema.names, "token_ids", "token_offsets"],
-                )
+                lists = [pa.ListArray.from_arrays(edge.astype(np.int32), x.astype(np.int32)) for x in (ids, begin - head[owner])]
+                rows = np.flatnonzero((which >= at) & (which < at + n))
+                own = which[rows] - at
+                at += n
+                # Copies of a long text leave in several batches, so that memory stays bounded.
+                step = np.cumsum(np.diff(edge)[own]) // OUT_TOKENS
+                for some in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(step)) + 1):
+                    kept, mine = batch.take(pa.array(rows[some])), pa.array(own[some])
+                    yield pa.RecordBatch.from_arrays([*kept.columns, *(x.take(mine) for x in lists)], names=[*kept.schema.names, "token_ids", "token_offsets"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{fields}, token_ids array<int>, token_offsets array<int>")

@@ -58,6 +58,19 @@ def test_bpe_offsets_decode(spark):
     assert bpe.encode(df.limit(0), bpe.rank_file()).count() == 0
 
 
+def test_bpe_of_repeated_texts(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "OUT_TOKENS", 7)  # many cuts; the value travels with the task
+    enc = oracle()
+    texts = [t for i, t in enumerate([*EDGES, "so it goes, once more"]) for _ in range(1 + i % 3)] + ["a", None, "so it goes, once more"]
+    got = bpe.encode(docs(spark, texts).coalesce(1), bpe.rank_file()).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(texts)))
+    for r in got:
+        assert r.text == texts[r.doc_id]
+        assert r.token_ids == enc.encode_ordinary(r.text or "")
+        sizes = [len(enc.decode_single_token_bytes(t)) for t in r.token_ids]
+        assert r.token_offsets == [sum(sizes[:i]) for i in range(len(sizes))]
+
+
 def test_bpe_of_bytes_that_are_no_text(spark):
     raw = [b"ok \xff\xfe then", b"plain", None, b"\xe4\xb8"]
     df = spark.createDataFrame(list(enumerate(raw)), "doc_id long, raw binary").select("doc_id", F.col("raw").cast("string").alias("text"))
