@@ -12,6 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Rows of one Arrow batch: texts are long, and a worker holds a batch at a time.
 BATCH_ROWS = 1000
@@ -60,6 +61,26 @@ def with_row_keys(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
     return written(docs.withColumn(name, F.struct(one.isNull().alias("none"), one.alias("id"), F.monotonically_increasing_id().alias("row"))), "rows"), name
 
 
+def in_order(rows: DataFrame, groups: list[str], order: list[str], totals: dict[str, str] | None = None) -> DataFrame:
+    """Add ``_rank``, each row's place (from 0) in its group by the columns of ``order`` (nulls first), and for each name of
+    ``totals`` the running total of its column, this row included. Columns of ``groups`` may not be null.
+
+    Rows are dealt by ranges of groups and order together and only counts of these pieces are added up, so a group of any size is
+    spread over many tasks. A piece that continues its group is the first of its partition: fewer of them than partitions.
+    """
+    totals = totals or {}
+    by = [*groups, *order]
+    dealt = written(rows.repartitionByRange(*by).sortWithinPartitions(*by).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")), "ordered")
+    adds = {"_rank": F.count("*"), **{n: F.sum(c) for n, c in totals.items()}}
+    pieces = dealt.groupBy(*groups, "_part").agg(*[x.alias(f"_n{i}") for i, x in enumerate(adds.values())])
+    past = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = pieces.select(*groups, "_part", *[F.sum(f"_n{i}").over(past).alias(f"_n{i}") for i in range(len(adds))]).where("_n0 IS NOT NULL")
+    inside = Window.partitionBy(*groups, "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = dealt.select("*", (F.row_number().over(Window.partitionBy(*groups, "_part").orderBy("_at")) - 1).cast("long").alias("_rank"), *[F.sum(c).over(inside).alias(n) for n, c in totals.items()])
+    joined = numbered.join(F.broadcast(before), [*groups, "_part"], "left")
+    return joined.select(*rows.columns, *[(F.col(n) + F.coalesce(f"_n{i}", F.lit(0))).alias(n) for i, n in enumerate(adds)])
+
+
 def without(rows: DataFrame, name: str, dropped: DataFrame) -> DataFrame:
     """``rows`` of ``with_row_keys`` but those whose key is in ``dropped``. Texts stay where they are while the dropped
     rows are counted to be few; else both sides are shuffled."""
