@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import molecules
 from ..operators import canonical
-from ..sources import html, tables
+from ..sources import archive, html, tables
 from . import surrogate as s
 from .queries import query
 
@@ -100,24 +100,60 @@ def canonical_by_country(spark, d):
     return j.groupBy(*keys).agg(F.count("*").alias("n"), *ends, F.sum("price_amount").cast("decimal(38,2)").alias("total"))
 
 
+def _numbered(spark: SparkSession, d: str) -> DataFrame:
+    """The list of IE, each row once, with a row_index."""
+    return _lists(spark, d)["IE"].dropDuplicates(["Code", "Drug Name", "Pack Size", "Reimbursement Price"]).withColumn("row_index", F.xxhash64("Code", "Drug Name", "Pack Size", "Reimbursement Price"))
+
+
 def _snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     raw = _lists(spark, d)["IE"].withColumn("row_index", F.xxhash64("Code", "Drug Name", "Pack Size", "Reimbursement Price"))
     return canonical.canonical(raw, canonical.COUNTRIES["IE"], F.expr(_DAY), F.lit("doc-ie"))
 
 
+def _fields(df: DataFrame) -> str:
+    """The schema of a table of the archive, without what its folders tell."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in archive.KEYS)
+
+
 @query(f"""WITH {_WANT} SELECT 'IE' AS country, '2026-05-01' AS day, count(*) AS n_records, CAST(sum(price_amount) AS DECIMAL(38,2)) AS total, count(*) AS n_traced FROM ie WHERE reason IS NULL""")
 def snapshot_outputs(spark, d):
-    """Canonical rows and lineage written by snapshot and read back, the country and date taken from the files' paths."""
+    """Canonical rows and lineage committed as a snapshot and read back, the country and date taken from the files' paths."""
     good, _, lineage = _snapshots(spark, d)
     path = tables.shared_path(spark, "snapshots")
-    tables.write_snapshots(good.withColumn("price_amount", F.col("price_amount").cast("string")), f"{path}/canonical")
-    tables.write_snapshots(lineage, f"{path}/lineage")
-    back = tables.read_records(spark, f"{path}/canonical", ", ".join(f"`{f.name}` {'string' if f.name == 'price_amount' else f.dataType.simpleString()}" for f in good.schema))
+    archive.commit({"canonical": good.withColumn("price_amount", F.col("price_amount").cast("string")), "lineage": lineage}, path)
+    back = archive.read(spark, path, "canonical", _fields(good.withColumn("price_amount", F.lit("")))).withColumn("price_amount", F.col("price_amount").try_cast("decimal(18,6)"))
     back = tables.with_path_value(tables.with_path_value(back, "country_code=([A-Z]+)", "country").drop("file_name"), "snapshot_date=([0-9-]+)", "day")
-    traced = spark.read.parquet(f"{path}/lineage").select(F.col("canonical_id").alias("id")).distinct().withColumn("traced", F.lit(1))
+    traced = archive.read(spark, path, "lineage", _fields(lineage)).select(F.col("canonical_id").alias("id")).distinct().withColumn("traced", F.lit(1))
     return back.join(traced, "id", "left").groupBy("country", "day").agg(F.count("*").alias("n_records"), F.sum("price_amount").cast("decimal(38,2)").alias("total"), F.count("traced").alias("n_traced"))
 
 
+@query(f"""WITH {s.OBS}, raw AS (SELECT DISTINCT product_code, product_name, strength_value, dosage_form, pack_units, price_type = 'R' AS zero, price_amount * CAST(price_type <> 'R' AS INT) AS p FROM obs), z AS (SELECT day, refused FROM (VALUES ('2026-05-01', true), ('2026-06-01', false)) v(day, refused))
+SELECT 'IE' AS country_code, day AS snapshot_date, (SELECT count(*) FROM raw) AS n_raw, (SELECT count(*) FROM raw WHERE NOT zero AND dosage_form <> 'SMALL') AS n_canonical, (SELECT count(*) FROM raw WHERE zero OR dosage_form = 'SMALL') AS n_anomalies, (SELECT count(*) FROM raw WHERE zero) AS n_zero, refused FROM z""")
+def snapshot_archive(spark, d):
+    """A list of one date is added to the archive, then that of another date; the first one again is refused. Of each snapshot the
+    raw, canonical and anomaly rows that are there afterwards, and the raw rows whose stored fields have a price of zero."""
+    raw, path = _numbered(spark, d), tables.shared_path(spark, "archive")
+
+    def add(day: str) -> bool:
+        date, document = F.lit(day).cast("date"), F.lit(f"doc-ie-{day}")
+        good, bad, lineage = canonical.canonical(raw, canonical.COUNTRIES["IE"], date, document)
+        parts = {"raw": archive.raw_records(raw, "IE", date, document), "canonical": good, "anomalies": bad, "lineage": lineage}
+        kinds.update({n: _fields(p) for n, p in parts.items()})
+        try:
+            archive.commit(parts, path)
+        except archive.SnapshotExists:
+            return False
+        return True
+
+    kinds: dict[str, str] = {}
+    done = [add("2026-05-01"), add("2026-06-01"), add("2026-05-01")]
+    back = {n: archive.read(spark, path, n, k) for n, k in kinds.items()}
+    counts = archive.snapshot_counts(back["raw"], back["canonical"], back["anomalies"])
+    zero = back["raw"].groupBy(*archive.KEYS).agg(F.count_if(F.col("raw_fields")["Reimbursement Price"] == "0").alias("n_zero"))
+    refused = F.when(F.col("snapshot_date") == F.lit("2026-05-01").cast("date"), F.lit(not done[2])).otherwise(F.lit(not done[1]))
+    return counts.join(zero, archive.KEYS).withColumn("refused", refused).withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+
+
 @query(f"""WITH {s.OBS}, r AS (SELECT DISTINCT product_code, product_name, strength_value, dosage_form, pack_units, CASE WHEN price_type = 'R' THEN 0 ELSE price_amount END AS p, price_type = 'R' AS zero FROM obs)
 SELECT CASE WHEN zero THEN 'price is zero' ELSE 'missing: dosage_form' END AS title, CASE WHEN zero THEN 'low' ELSE 'medium' END AS severity, count(*) AS n FROM r WHERE zero OR dosage_form = 'SMALL' GROUP BY ALL""")
 def anomaly_titles(spark, d):

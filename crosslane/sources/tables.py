@@ -80,11 +80,6 @@ def verify_files(spark: SparkSession, folder: str, manifests: DataFrame) -> Data
     return j.select("country_code", "snapshot_date", "name", F.when(F.col("_sha").isNull(), "missing").when(F.col("_sha") != F.lower("sha256"), "mismatch").otherwise("ok").alias("status"))
 
 
-def write_snapshots(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Records by country and date; a snapshot that is there already is refused."""
-    df.repartition("country_code", "snapshot_date").write.mode(mode).partitionBy("country_code", "snapshot_date").parquet(path)
-
-
 def write_json(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     (df.write.partitionBy(*by) if by else df.write).mode("errorifexists").json(path)
 
