@@ -27,6 +27,8 @@ GENERIC_MAKERS = (
     "egis", "richter", "biotika", "léčiva", "leciva", "medochemie", "pharmavision", "rowex", "clonmel", "rowa",
 )
 PASSES, MAX_DISTANCE, MIN_LENGTH = 5, 2, 4
+#: Words of up to so many characters are indexed by deletions, longer ones by their parts.
+SHORT = 24
 
 
 def rewritten(name: Column, language: Column) -> Column:
@@ -71,12 +73,42 @@ def by_code(words: DataFrame) -> DataFrame:
     return words.select(F.explode("codes").alias("code"), "name").groupBy("code").agg(F.min("name").alias("name"), F.count("*").alias("n")).where("n = 1").drop("n")
 
 
+def deletions(name: Column) -> Column:
+    """Distinct hashes of what is left of ``name`` without up to two of its characters; the first one always stays."""
+    # Two marks at the end may go as well, so that exactly two characters go in every case.
+    padded, n = F.concat(name, F.lit("\0\0")), F.length(name)
+
+    def left(i: Column, j: Column) -> Column:
+        return F.xxhash64(F.replace(F.concat(F.substr(padded, F.lit(1), i - 1), F.substr(padded, i + 1, j - i - 1), F.substr(padded, j + 1)), F.lit("\0"), F.lit("")))
+
+    each = F.transform(F.sequence(F.lit(2), n + 1), lambda i: F.transform(F.sequence(i + 1, n + 2), lambda j: left(i, j)))
+    return F.array_distinct(F.flatten(each))
+
+
+def _segment(length: Column, k: int) -> tuple[Column, Column]:
+    """Place (from 1) and length of the k-th of MAX_DISTANCE + 1 parts of a text of ``length`` characters."""
+    parts = MAX_DISTANCE + 1
+    begin, end = F.floor(length * k / parts), F.floor(length * (k + 1) / parts)
+    return (begin + 1).cast("int"), (end - begin).cast("int")
+
+
 def near_pairs(names: DataFrame, words: DataFrame) -> DataFrame:
-    """(name, word, distance) of distinct names and words that begin with the same character, within distance 2. The first
-    character and the length are keys of the join, so no pair of other lengths is looked at."""
-    a = names.select("name").distinct().withColumns({"_c": F.substring("name", 1, 1), "_len": F.explode(F.sequence(F.length("name") - MAX_DISTANCE, F.length("name") + MAX_DISTANCE))})
-    b = words.select(F.col("name").alias("word"), F.substring("name", 1, 1).alias("_c"), F.length("name").alias("_len")).distinct()
-    return a.join(b, ["_c", "_len"]).withColumn("distance", F.levenshtein("name", "word", MAX_DISTANCE)).where(F.col("distance").between(0, MAX_DISTANCE)).select("name", "word", "distance")
+    """(name, word, distance) of distinct names and words that begin with the same character, within distance 2.
+
+    Two texts within two edits share what is left of them without up to two characters, so names meet words of up to SHORT characters by
+    hashes of these (some 80 for 12 characters). A longer word is cut in three parts, one of which two edits leave whole and shift by two places at most;
+    names meet it by (length, part, text). Either way the distance itself is computed for pairs that have met, each once.
+    """
+    a = names.select("name").where(F.length("name") > 0).distinct()
+    b = words.select(F.col("name").alias("word")).where(F.length("name") > 0).distinct()
+    short = a.where(F.length("name") <= SHORT + MAX_DISTANCE).select("name", F.explode(deletions(F.col("name"))).alias("_key"))
+    met = short.join(b.where(F.length("word") <= SHORT).select("word", F.explode(deletions(F.col("word"))).alias("_key")), "_key").select("name", "word")
+    segment = lambda text, length, k, shift: F.xxhash64(F.lit(k), length, F.substr(text, _segment(length, k)[0] + shift, _segment(length, k)[1]))
+    n, ks, shifts = F.length("name"), range(MAX_DISTANCE + 1), range(-MAX_DISTANCE, MAX_DISTANCE + 1)
+    asked = a.where(n > SHORT - MAX_DISTANCE).select("name", F.explode(F.array_distinct(F.array(*[segment(F.col("name"), n + more, k, s) for more in shifts for k in ks for s in shifts]))).alias("_key"))
+    parts = b.where(F.length("word") > SHORT).select("word", F.explode(F.array(*[segment(F.col("word"), F.length("word"), k, 0) for k in ks])).alias("_key"))
+    both = met.unionByName(asked.join(parts, "_key").select("name", "word")).where(F.substring("name", 1, 1) == F.substring("word", 1, 1)).distinct()
+    return both.withColumn("distance", F.levenshtein("name", "word", MAX_DISTANCE)).where(F.col("distance").between(0, MAX_DISTANCE))
 
 
 def fuzzy(names: DataFrame, words: DataFrame, ratio: float, col: str = "name") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.forms import compatibility
 from ..functions.scalars import stable_id
 from .fx import as_of, ratio
+from .grid import self_join
 from .policy import policy_gate, valid_policy
 from .quality import data_gate
 
@@ -50,25 +51,20 @@ def lane_pairs(lanes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, lanes.join(ends, ["country_code", "comparison_category"], "left_anti")
 
 
-def _side(df: DataFrame, side: str, keys: list[str]) -> DataFrame:
-    return df.select(*[F.col(c).alias(c if c in keys else f"{c}_{side}") for c in df.columns])
-
-
 def pairs(records: DataFrame, same_quarter: bool = False) -> DataFrame:
     """Pairs of records of two countries (a's code is the smaller) that agree on HARD and on the molecule, or on a 7-character code.
 
-    Two equi-joins instead of one with OR: the second leaves out what the first has, so nothing needs a distinct.
+    Two equi-joins instead of one with OR: the second leaves out what the first has, so nothing needs a distinct. A molecule
+    or code of very many records is dealt to a grid of tasks (``grid.self_join``), so pass a written table: it is read several times.
     """
     r = records.withColumn("atc7", F.when(F.length("atc_code") == 7, F.upper("atc_code")))
     hard = [*HARD, "quarter"] if same_quarter else HARD
     if same_quarter:
         r = r.withColumn("quarter", F.date_trunc("quarter", "snapshot_date"))
     ordered = F.col("country_code_a") < F.col("country_code_b")
-    by_name = [*hard, "canonical_inn"]
-    named = _side(r, "a", by_name).join(_side(r, "b", by_name), by_name).where(ordered)
+    named = self_join(r, [*hard, "canonical_inn"]).where(ordered)
     named = named.withColumns({"canonical_inn_a": F.col("canonical_inn"), "canonical_inn_b": F.col("canonical_inn"), "method": F.lit("molecule")}).drop("canonical_inn")
-    by_code = [*hard, "atc7"]
-    coded = _side(r.where("atc7 is not null"), "a", by_code).join(_side(r.where("atc7 is not null"), "b", by_code), by_code).where(ordered & ~F.col("canonical_inn_a").eqNullSafe(F.col("canonical_inn_b")))
+    coded = self_join(r, [*hard, "atc7"]).where(ordered & ~F.col("canonical_inn_a").eqNullSafe(F.col("canonical_inn_b")))
     coded = coded.withColumns({"atc7_a": F.col("atc7"), "atc7_b": F.col("atc7"), "method": F.lit("code")}).drop("atc7")
     return named.unionByName(coded)
 

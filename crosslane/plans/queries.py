@@ -295,6 +295,31 @@ def edit_distance_join(spark, d):
     return molecules.near_pairs(word(0), word(1))
 
 
+_NEAR_WORDS = "(SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{4,}}')) AS {} FROM {})"
+
+
+@query(f"""WITH p AS {_NEAR_WORDS.format("name", "benchmark")}, w AS {_NEAR_WORDS.format("word", "conversations")}
+SELECT name, word, CAST(levenshtein(name, word) AS INTEGER) AS distance FROM p JOIN w ON name[1:1] = word[1:1] AND abs(length(name) - length(word)) <= 2 WHERE levenshtein(name, word) <= 2""")
+def near_words(spark, d):
+    """Words of the benchmark and words of conversations within two edits of one another."""
+    words = lambda t: spark.read.parquet(f"{d}/{t}.parquet").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), 0)).alias("name")).distinct()
+    return molecules.near_pairs(words("benchmark"), words("conversations"))
+
+
+_ORDER_RATES = """z AS (SELECT CASE o_custkey % 2 WHEN 0 THEN 'PLN' ELSE 'CZK' END AS ccy, CAST(o_orderdate AS DATE) AS since, max(CAST(o_totalprice AS DECIMAL(18,2))) AS rate FROM orders GROUP BY ALL)"""
+
+
+@query(f"""WITH {s.OBS}, {_ORDER_RATES}, a AS (SELECT DISTINCT price_currency, price_date FROM obs),
+r AS (SELECT a.price_currency, a.price_date, max_by(z.rate, z.since) AS rate FROM a LEFT JOIN z ON z.ccy = a.price_currency AND z.since <= a.price_date GROUP BY ALL)
+SELECT o.id, CASE WHEN o.price_currency = 'EUR' THEN 1 ELSE CAST(r.rate * 100 AS BIGINT) END AS rate FROM obs o JOIN r ON r.price_currency = o.price_currency AND r.price_date = o.price_date""")
+def order_rates_as_of(spark, d):
+    """The latest of a log of very many rates, one made of each order; a currency's best of a day is the one that counts."""
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    log = orders.select(F.lit("EUR").alias("from_ccy"), F.when(F.col("o_custkey") % 2 == 0, "PLN").otherwise("CZK").alias("to_ccy"), F.col("o_orderdate").cast("date").alias("rate_date"), F.col("o_totalprice").cast("decimal(18,2)").cast("decimal(18,10)").alias("rate"), F.lit("orders").alias("source_url"), F.lit(None).cast("timestamp").alias("stored_at"))
+    j = fx.as_of(s.observations(spark, d).select("id", "price_currency", "price_date"), log, "price_currency", "price_date", "rate")
+    return j.select("id", F.when(F.col("price_currency") == "EUR", F.lit(1)).otherwise((F.col("rate") * 100).cast("long")).cast("long").alias("rate"))
+
+
 @query(f"""WITH {s.OBS} SELECT CASE WHEN product_name LIKE inn || '%' THEN 'generic' WHEN length(inn) >= 6 AND contains(product_name, inn) THEN 'generic' ELSE 'brand' END AS product_type, inn, count(*) AS n FROM obs GROUP BY ALL""")
 def product_types(spark, d):
     o = s.observations(spark, d)
