@@ -51,10 +51,11 @@ def parsed(records: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     return r.withColumn("unit_price", per_unit(F.col("price_amount"), F.col("pack_units"))).withColumn("strength_price", per_strength(F.col("unit_price"), F.col("strength_value")))
 
 
-def lane_index(records: DataFrame, policies: DataFrame, profiles: DataFrame, rates: DataFrame, fx_date: Column | None = None) -> DataFrame:
-    """All countries in one plan: policy and data gates, parsed product, price per strength unit in euro, keys.
+def snapshot_index(records: DataFrame, policies: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The rows of the index before their conversion: policy and data gates, parsed product, keys. Nothing of a row depends on other
+    snapshots than its own.
 
-    Records carry canonical_inn, form_class and route. Rows that a gate blocks, that can't be parsed or that have no rate are left out.
+    Records carry canonical_inn, form_class and route. Rows that a gate blocks or that can't be parsed are left out.
     """
     texts = parsed_texts(records)
     r = valid_policy(records, policies).withColumn("_g", policy_gate()).where("not _g.blocked")
@@ -63,14 +64,22 @@ def lane_index(records: DataFrame, policies: DataFrame, profiles: DataFrame, rat
     prof = profiles.select(*on, "population_rate", F.col("assessment").alias("plausibility"), F.lit(True).alias("_there"))
     r = r.join(prof, on, "left").withColumn("_d", data_gate(assessment="plausibility")).where("not _d.blocked")
     r = parsed(r.select(*records.columns, *lane_semantics(), "plausibility"), texts).where("strength_price is not null")
-    # One date for all countries: the latest snapshot.
+    kind = product_type(F.col("product_name"), F.col("canonical_inn"))
+    return r.withColumn("product_type", kind["type"]).withColumn("lane_key", lane_key()).withColumn("identity_key", identity_key())
+
+
+def in_euro(index: DataFrame, rates: DataFrame, fx_date: Column) -> DataFrame:
+    """The index with amount_eur and eur_per_strength at one date for all countries; rows without a rate are left out."""
+    r = to_base(index.withColumn("fx_date", fx_date.cast("date")), rates, amount="price_amount", currency="price_currency", day="fx_date")
+    return r.withColumn("eur_per_strength", per_strength(per_unit(F.col("amount_eur"), F.col("pack_units")), F.col("strength_value")))
+
+
+def lane_index(records: DataFrame, policies: DataFrame, profiles: DataFrame, rates: DataFrame, fx_date: Column | None = None) -> DataFrame:
+    """All countries in one plan: ``snapshot_index`` in euro, at the latest snapshot's date if no other is named.
+    ``stored_index`` keeps the same rows by snapshot, so that a new snapshot needs no reading of the others."""
     if fx_date is None:
         fx_date = records.agg(F.max("snapshot_date")).scalar()
-    r = r.withColumn("fx_date", fx_date.cast("date"))
-    r = to_base(r, rates, amount="price_amount", currency="price_currency", day="fx_date")
-    eur = per_strength(per_unit(F.col("amount_eur"), F.col("pack_units")), F.col("strength_value"))
-    kind = product_type(F.col("product_name"), F.col("canonical_inn"))
-    return r.withColumn("eur_per_strength", eur).withColumn("product_type", kind["type"]).withColumn("lane_key", lane_key()).withColumn("identity_key", identity_key())
+    return in_euro(snapshot_index(records, policies, profiles), rates, fx_date)
 
 
 def cohorts(index: DataFrame, min_countries: int = 2, inn: str | None = None, lane: str | None = None, keys: tuple[str, ...] = ("lane_key", "identity_key"), kind: str | None = None) -> DataFrame:

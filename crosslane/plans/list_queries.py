@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import molecules
-from ..operators import canonical
+from ..operators import canonical, policy, quality, stored_index
 from ..sources import archive, html, tables
 from . import surrogate as s
 from .queries import query
@@ -154,6 +154,53 @@ def snapshot_archive(spark, d):
     return counts.join(zero, archive.KEYS).withColumn("refused", refused).withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
 
 
+# Policies of lists: country, price type, category, VAT position.
+_LIST_POLICIES = (
+    ("IE", "Reimbursement Price", "ex_factory", "vat_exclusive"), ("PL", "Cena zbytu netto", "ex_factory", "vat_exclusive"), ("PL", "Urzędowa cena zbytu", "wholesale", "vat_inclusive"),
+    ("PL", "Cena hurtowa brutto", "not_comparable", "vat_inclusive"), ("ES", "Precio de venta al público con IVA", "retail", "vat_inclusive"), ("IT", "Prezzo al pubblico", "retail", "vat_inclusive"),
+)
+
+
+def _list_policies(spark: SparkSession) -> DataFrame:
+    rows = spark.createDataFrame([(f"{c}-{k}", c, t, k, v) for c, t, k, v in _LIST_POLICIES], "id string, country_code string, price_type string, category string, vat string")
+    none = F.array().cast("array<string>")
+    semantics = F.struct(F.col("category").alias("comparison_category"), F.col("vat").alias("vat_position"), F.lit("none").alias("margin_position"), F.lit("published").alias("derivation_kind"))
+    return rows.select(
+        "id", "country_code", "price_type", F.col("category").alias("comparison_category"), F.lit("2020-01-01").cast("date").alias("effective_from"), F.lit(None).cast("date").alias("effective_to"), F.lit(None).cast("string").alias("superseded_by"),
+        F.lit("high").alias("confidence"), F.lit("2020-01-01").cast("timestamp").alias("authored_at"), none.alias("caveats"), F.array(F.lit("inline")).alias("source_references"), semantics.alias("semantics"), F.array().cast(f"array<{policy.RULE}>").alias("derivation_rules"),
+    )
+
+
+_LIST_LANES = ", ".join(f"('{c}', '{t}', '{k}|{v}|none')" for c, t, k, v in _LIST_POLICIES if k != "not_comparable")
+
+
+@query(f"""WITH {_WANT}, {s.FX}, latest AS (SELECT ccy, max_by(rate, since) AS rate FROM fx GROUP BY ccy), v AS (SELECT * FROM (VALUES {_LIST_LANES}) v(cc, t, lane_key)),
+r AS (SELECT w.*, v.lane_key, CAST(regexp_extract(strength, '^([0-9.]+)', 1) AS DOUBLE) AS mg, CAST(regexp_extract(pack_size, '^([0-9]+)', 1) AS DOUBLE) AS units FROM w JOIN v ON v.cc = w.country_code AND v.t = w.price_type WHERE reason IS NULL AND price_amount > 0)
+SELECT country_code, lane_key, lower(inn) || '|' || CAST(mg AS DECIMAL(18,1)) || '|' || dosage_form || '|' || route AS product, count(*) AS n, round(sum(CAST(price_amount AS DOUBLE) / CASE r.ccy WHEN 'EUR' THEN 1 ELSE l.rate END / units / mg), 2) AS eur
+FROM r LEFT JOIN latest l ON l.ccy = r.ccy WHERE units > 0 AND mg > 0 GROUP BY ALL""")
+def index_by_snapshot(spark, d):
+    """The index of four countries' lists with their forms and routes, stored by snapshot: two lists first, the two others later, each
+    read and judged alone; all are converted at the latest snapshot's date on reading."""
+    lists, words, policies, path = _lists(spark, d), molecules.dictionary(s.atc(spark)), _list_policies(spark), tables.shared_path(spark, "index")
+    path = f"{path}/{stored_index.rules_key(policies, words)}"
+    days = {"IE": "2026-05-01", "PL": "2026-05-01", "ES": "2026-05-22", "IT": "2026-06-01"}
+
+    def records(code: str) -> DataFrame:
+        c = canonical.COUNTRIES[code]
+        j = canonical.named(canonical.judged(_read_back(spark, code, lists[code]), c), c, words).where("reason is null")
+        row = F.concat_ws("|", "product_code", "product_name", "pack_size", "price_text", "price_type")
+        return tables.written(j.select(F.sha2(row, 256).alias("id"), F.sha2(row, 256).alias("raw_record_id"), "country_code", F.lit(days[code]).cast("date").alias("snapshot_date"), "product_name", F.lower("inn").alias("canonical_inn"), "strength", "pack_size", "price_type", "price_amount", "price_currency", F.col("dosage_form").alias("form_class"), F.col("route_of_administration").alias("route")), f"records-{code}")
+
+    for some in (("IE", "PL"), ("ES",), ("IT",)):
+        for country, _ in stored_index.missing(spark, path, [(c, days[c]) for c in some]):
+            own = records(country)
+            stored_index.add(own, policies, quality.plausibility(quality.numeric_profile(own, "price_amount", quality.SNAPSHOT)), path)
+    i = stored_index.read(spark, path, s.rates(spark))
+    product = F.concat_ws("|", "canonical_inn", F.col("strength_value").cast("decimal(18,1)").cast("string"), "form_class", "route")
+    eur = F.round(F.sum(F.col("eur_per_strength").cast("double")) + 3.14159265e-9, 2)
+    return i.groupBy("country_code", "lane_key", product.alias("product")).agg(F.count("*").alias("n"), eur.alias("eur"))
+
+
 @query(f"""WITH {s.OBS}, r AS (SELECT DISTINCT product_code, product_name, strength_value, dosage_form, pack_units, CASE WHEN price_type = 'R' THEN 0 ELSE price_amount END AS p, price_type = 'R' AS zero FROM obs)
 SELECT CASE WHEN zero THEN 'price is zero' ELSE 'missing: dosage_form' END AS title, CASE WHEN zero THEN 'low' ELSE 'medium' END AS severity, count(*) AS n FROM r WHERE zero OR dosage_form = 'SMALL' GROUP BY ALL""")
 def anomaly_titles(spark, d):
