@@ -6,11 +6,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.tables import written
+from .policy import small
+from .quantiles import exact_quantiles, same
+
 # Thresholds of the plausibility decision.
 MIN_POPULATION, SUSPECT_POPULATION, MAX_OUTLIERS, MIN_POSITIVE, MIN_RULES = 0.50, 0.90, 0.05, 0.95, 0.95
 SNAPSHOT = ["country_code", "snapshot_date"]
 
 
+#: Values from which on a group's quartiles are found by ranges; the others' distinct values fit into one buffer.
+LARGE = 2_000_000
+
+
+def _quartiles(records: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """Counts, least, median and greatest value and _q, the exact quartiles, of each group."""
+    v = F.col(value).cast("double")
+    counts = [F.count("*").alias("record_count"), F.count(v).alias("value_count"), F.count_if(v > 0).alias("positive_count"), F.min(v).alias("min_value"), F.max(v).alias("max_value")]
+    sorted_whole = lambda rows: rows.groupBy(*keys).agg(*counts, F.percentile(v, 0.5).alias("median_value"), F.percentile(v, F.array(F.lit(0.25), F.lit(0.75))).alias("_q"))
+    hot = records.groupBy(*keys).agg(F.count(v).alias("_n")).where(F.col("_n") > LARGE).select(*keys)
+    if hot.isEmpty():
+        return sorted_whole(records)
+    hot = small(written(hot, "large"))
+    of = same(keys, "r", "h")
+    large = records.alias("r").join(hot.alias("h"), of, "left_semi")
+    q = exact_quantiles(large, keys, value, (0.25, 0.5, 0.75))
+    cols = ["record_count", "value_count", "positive_count", "min_value", "max_value"]
+    ranged = large.groupBy(*keys).agg(*counts).alias("r").join(q.alias("h"), of).select(*[F.col(f"r.{k}").alias(k) for k in [*keys, *cols]], F.col("quantiles")[1].alias("median_value"), F.array(F.col("quantiles")[0], F.col("quantiles")[2]).alias("_q"))
+    return sorted_whole(records.alias("r").join(hot.alias("h"), of, "left_anti")).unionByName(ranged)
+
+
 def numeric_profile(records: DataFrame, value: str, keys: list[str], min_rows: int = 4) -> DataFrame:
     """Per key: counts, rates, min, median, max, exact quartiles and outliers beyond 1.5 times their distance.
 
@@ -18,11 +43,7 @@ def numeric_profile(records: DataFrame, value: str, keys: list[str], min_rows: i
     outlier_distinct counts each once. Groups under ``min_rows`` values have no band.
     """
     v = F.col(value).cast("double")
-    base = records.groupBy(*keys).agg(
-        F.count("*").alias("record_count"), F.count(v).alias("value_count"), F.count_if(v > 0).alias("positive_count"),
-        F.min(v).alias("min_value"), F.percentile(v, 0.5).alias("median_value"), F.max(v).alias("max_value"),
-        F.percentile(v, F.array(F.lit(0.25), F.lit(0.75))).alias("_q"),
-    )
+    base = _quartiles(records, value, keys)
     span = F.col("_q")[1] - F.col("_q")[0]
     base = base.withColumns({"q25": F.col("_q")[0], "q75": F.col("_q")[1], "_low": F.col("_q")[0] - 1.5 * span, "_high": F.col("_q")[1] + 1.5 * span})
     on = records.join(base.select(*keys, "_low", "_high", "value_count"), keys)
