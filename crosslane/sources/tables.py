@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bytes of a file that are read at a time.
+BLOCK = 4 << 20
 MANIFEST = "country_code string, snapshot_date date, files array<struct<name:string,sha256:string,bytes:long>>"
 
 
@@ -71,12 +77,56 @@ def manifest_files(manifests: DataFrame) -> DataFrame:
     return manifests.select("country_code", "snapshot_date", F.explode("files").alias("file")).select("country_code", "snapshot_date", "file.*")
 
 
-def verify_files(spark: SparkSession, folder: str, manifests: DataFrame) -> DataFrame:
+def file_digests(spark: SparkSession, folder: str, opener: Callable[[str], BinaryIO] | None = None) -> DataFrame:
+    """(name, bytes, sha256) of every file below ``folder`` that isn't empty, the name being its path below it.
+
+    Spark lists the files without reading them (it passes over empty ones); a task then streams each of its files in blocks, so a file of
+    any size is digested in constant memory. ``opener`` opens a path on an executor; by default that is a path of a mounted folder (file:).
+    A store that only Spark reads needs an opener of its own, else its files are read as one value each, of 2 GB at most.
+    """
+    below = re.escape(folder.rstrip("/").split("://")[-1].removeprefix("file:")) + "/(.+)$"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    name = F.regexp_extract("path", below, 1).alias("name")
+    if opener is None and not _mounted(folder):
+        return files.select(name, F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return _digested(files.select("path", name), opener)
+
+
+def _digested(files: DataFrame, opener: Callable[[str], BinaryIO] | None) -> DataFrame:
+    """(name, bytes, sha256) of the files (path, name) that can be opened."""
+    open_path = opener or (lambda path: open(re.sub("^file:/*", "/", path), "rb"))  # sent to executors by value
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                digest, size = hashlib.sha256(), 0
+                try:
+                    f = open_path(path)
+                except FileNotFoundError:
+                    continue
+                with f:
+                    while block := f.read(BLOCK):
+                        digest.update(block)
+                        size += len(block)
+                yield pa.RecordBatch.from_pydict({"name": [name], "bytes": pa.array([size], pa.int64()), "sha256": [digest.hexdigest()]})
+
+    return files.repartition(files.sparkSession.sparkContext.defaultParallelism, "path").mapInArrow(run, "name string, bytes long, sha256 string")
+
+
+def _mounted(folder: str) -> bool:
+    return bool(re.match("(file:)?/", folder))
+
+
+def verify_files(spark: SparkSession, folder: str, manifests: DataFrame, opener: Callable[[str], BinaryIO] | None = None) -> DataFrame:
     """(country_code, snapshot_date, name, status) of the manifests' files, named by their paths below ``folder``: ok, missing
-    or mismatch. Each file is digested in one task."""
-    below = re.escape(folder.rstrip("/").split("://")[-1]) + "/(.+)$"
-    seen = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(F.regexp_extract("path", below, 1).alias("name"), F.sha2("content", 256).alias("_sha"))
-    j = manifest_files(manifests).join(seen, "name", "left")
+    or mismatch (see file_digests). What isn't listed is looked for once more by its name, as empty files aren't."""
+    told = manifest_files(manifests)
+    seen = file_digests(spark, folder, opener).select("name", "sha256")
+    if opener or _mounted(folder):
+        seen = written(seen, "digests")
+        rest = told.select("name").distinct().join(seen, "name", "left_anti")
+        seen = seen.unionByName(_digested(rest.select(F.concat(F.lit(f"{folder.rstrip('/')}/"), "name").alias("path"), "name"), opener).select("name", "sha256"))
+    j = told.join(seen.withColumnRenamed("sha256", "_sha"), "name", "left")
     return j.select("country_code", "snapshot_date", "name", F.when(F.col("_sha").isNull(), "missing").when(F.col("_sha") != F.lower("sha256"), "mismatch").otherwise("ok").alias("status"))
 
 
