@@ -99,9 +99,10 @@ def filter_values(reviews: DataFrame) -> DataFrame:
     return reviews.select("country_code_a", "country_code_b", "canonical_inn_a", "usability").distinct().select(F.explode(options).alias("o")).select("o.*").distinct()
 
 
-def for_window(queue: DataFrame, window: str) -> DataFrame:
-    """The known fields of one window's queue."""
-    return queue.where(F.col("window") == window).select("id", "usability", "queue_status", "blockers", "caveats")
+def for_window(queue: DataFrame, window: str | None = None) -> DataFrame:
+    """The known fields of one window's queue, or with their window those of all; the filter reaches the scan's partitions."""
+    fields = ["id", "usability", "queue_status", "blockers", "caveats"]
+    return queue.select("window", *fields) if window is None else queue.where(F.col("window") == window).select(*fields)
 
 
 def with_default(df: DataFrame, table: DataFrame, key: str, defaults: dict[str, Column]) -> DataFrame:

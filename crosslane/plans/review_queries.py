@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import forms
 from ..operators import candidates, canonical, policy, quality, review
+from ..sources.tables import written
 from . import surrogate as s
 from .queries import _LANES, _QUART, _candidate_records, _d, _profiles, query
 
@@ -54,16 +55,21 @@ def evidence_fields(spark, d):
     return e.select(F.col("bundle.a.id").alias("id_a"), F.col("bundle.b.id").alias("id_b"), _d(F.col("bundle.a.price_amount"), 2).alias("amount_a"), _d(F.col("bundle.b.price_amount"), 2).alias("amount_b"), F.col("bundle.fx.fx_used").alias("fx_used"))
 
 
-@query(f"""WITH {_LANES}, s AS (SELECT snapshot_date >= DATE '1998-01-01' AS ok FROM c) SELECT ok AS resolved, CASE WHEN ok THEN '' ELSE 'a:document,b:document' END AS broken, count(*) AS n FROM s GROUP BY ALL""")
+_LOST = lambda x: f"CASE WHEN c{x} = 'CZK' OR snapshot_date < DATE '1998-01-01' THEN '{x}:document' END, CASE WHEN pt{x} = 'N' AND year(snapshot_date) = 1999 THEN '{x}:profile' END, CASE WHEN c{x} = 'CZK' THEN '{x}:raw' END"
+
+
+@query(f"""WITH {_LANES}, s AS (SELECT concat_ws(',', CASE WHEN country_code_a = 'AB' THEN '-:review' END, {_LOST("a")}, {_LOST("b")}) AS broken FROM c) SELECT broken = '' AS resolved, broken, count(*) AS n FROM s GROUP BY ALL""")
 def audit_resolution(spark, d):
-    """Every candidate's chain; documents of snapshots before 1998 are missing."""
+    """Every candidate's chain against tables of their own: reviews of country AB, profiles of N in 1999, raw rows in CZK and documents of
+    snapshots before 1998 are missing."""
     records = _candidate_records(spark, d)
-    c = candidates.candidates(records, s.rates(spark), same_quarter=True)
+    c = written(candidates.candidates(records, s.rates(spark), same_quarter=True), "candidates")
     document = F.concat_ws("-", F.col("country_code"), F.year("snapshot_date"))
-    lineage = records.select("raw_record_id", document.alias("source_document_id"))
+    lineage = records.where("price_currency <> 'CZK'").select("raw_record_id", document.alias("source_document_id"))
     documents = records.where("snapshot_date >= date'1998-01-01'").select(document.alias("id")).distinct()
-    prof = records.select(F.col("profile_id").alias("id")).distinct()
-    links = review.audit_links(c, c, candidates.derivation_rules(records), prof, s.policies(spark), records, lineage, documents)
+    prof = _profiles(s.observations(spark, d)).where("not (price_type = 'N' and year(snapshot_date) = 1999)").select(F.concat_ws("-", "country_code", F.year("snapshot_date"), "price_type").alias("id"))
+    reviews = _reviews(spark, d, c).where("country_code_a <> 'AB'").select("id")
+    links = review.audit_links(c, reviews, candidates.derivation_rules(records), prof, s.policies(spark), records, lineage, documents)
     return review.resolution(links).groupBy("resolved", "broken").agg(F.count("*").alias("n"))
 
 

@@ -9,7 +9,7 @@ from ..functions import forms, molecules, scalars
 from ..operators import candidates, canonical, lanes, policy, quality, review
 from ..sources import tables
 from . import surrogate as s
-from .queries import _INDEX, _JOINED, _LANES, _candidate_records, _d, _index, _snapshots, query
+from .queries import _INDEX, _JOINED, _LANES, _QUART, _candidate_records, _d, _index, _profiles, _snapshots, query
 from .review_queries import _REVIEWED, _reviews
 
 _UUID = lambda x: f"(sha256({x})[1:8] || '-' || sha256({x})[9:12] || '-' || sha256({x})[13:16] || '-' || sha256({x})[17:20] || '-' || sha256({x})[21:32])"
@@ -348,8 +348,8 @@ def _stored(spark: SparkSession, d: str) -> str:
 
 @query(f"""WITH {_LANES} SELECT DISTINCT CAST(year(snapshot_date) AS VARCHAR) AS "window" FROM c""")
 def available_windows(spark, d):
-    """The windows that have candidates, in order."""
-    return tables.available(spark.read.option("inferSchema", "false").parquet(f"{_stored(spark, d)}/candidates").select(F.col("window").cast("string").alias("window")), "window")
+    """The windows that have candidates, in order, told by the folders: no file is read."""
+    return spark.createDataFrame([(w,) for w in tables.windows(spark, f"{_stored(spark, d)}/candidates")], "window string")
 
 
 _KEPT = "id string, usability string, policy_strength string, data_strength string, caveats array<string>, blockers array<string>, window string"
@@ -375,21 +375,27 @@ def combined_caveats(spark, d):
 
 @query(f"""WITH {_REVIEWED} SELECT CAST(year(snapshot_date) AS VARCHAR) AS "window", usability, 'needs_review' AS queue_status, count(*) AS n FROM rev WHERE usability <> 'usable' GROUP BY ALL""")
 def nonusable_across_windows(spark, d):
-    """The queues of all windows as one table, the window taken from each file's path; each window's queue adds up to it."""
+    """The queues of all windows as one table, the window taken from each file's path."""
     path = _stored(spark, d)
     q = tables.with_path_value(spark.read.schema("id string, usability string, queue_status string, blockers array<string>, caveats array<string>").json(f"{path}/queue/window=*"), "window=([^/]+)/", "window")
-    windows = [r["window"] for r in tables.available(q, "window").collect()]  # a row for each window
-    out = q.limit(0).select("window", "usability", "queue_status", "id")
-    for w in windows:
-        out = out.unionByName(review.for_window(q, w).select(F.lit(w).alias("window"), "usability", "queue_status", "id"))
+    out = review.for_window(q)
     return out.groupBy("window", "usability", "queue_status").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {s.OBS}, p AS (SELECT country_code, snapshot_date, price_type, count(*) AS n FROM obs GROUP BY ALL) SELECT country_code, CAST(snapshot_date AS VARCHAR) AS snapshot_date, 'green' AS snapshot_status, string_agg(price_type || ' plausible ' || n, ', ' ORDER BY price_type) AS field_summary FROM p GROUP BY ALL""")
+# Prices of which some snapshots' are all zero, and others' have outliers.
+_MIXED_OBS = s.OBS.replace("CAST(l_extendedprice AS DECIMAL(18,6)) AS price_amount", "CAST(CASE WHEN n_nationkey % 4 = 1 AND year(l_shipdate) = 1995 THEN 0 WHEN n_nationkey % 4 = 2 AND year(l_shipdate) = 1996 AND l_partkey % 10 = 0 THEN l_extendedprice * 100 ELSE l_extendedprice END AS DECIMAL(18,6)) AS price_amount")
+
+
+@query(f"""WITH {_MIXED_OBS}, {_QUART}, n AS (SELECT country_code, snapshot_date, price_type, count(*) FILTER (WHERE price_amount > 0) AS pos FROM obs GROUP BY ALL),
+p AS (SELECT q.country_code, q.snapshot_date, q.price_type, record_count, CASE WHEN pos / record_count < 0.95 THEN 'implausible' WHEN outlier_count / record_count > 0.05 THEN 'suspect' ELSE 'plausible' END AS a FROM q JOIN o USING (country_code, snapshot_date, price_type) JOIN n USING (country_code, snapshot_date, price_type))
+SELECT country_code, CAST(snapshot_date AS VARCHAR) AS snapshot_date, CASE WHEN bool_or(a = 'implausible') THEN 'red' WHEN bool_or(a = 'suspect') THEN 'yellow' ELSE 'green' END AS snapshot_status, string_agg(price_type || ' ' || a || ' ' || record_count, ', ' ORDER BY price_type) AS field_summary FROM p GROUP BY ALL""")
 def profile_summary(spark, d):
-    """Profiles written one line a snapshot under a header with its status, and read again as a summary of their fields."""
+    """Profiles of snapshots good and bad written one line a snapshot under a header with its status, and read again as a summary of their fields."""
     o = s.observations(spark, d)
-    profiles = o.groupBy("country_code", "snapshot_date", "price_type").agg(F.count("*").alias("record_count")).withColumn("assessment", F.lit("plausible"))
+    nation = (F.ascii("country_code") - 65) * 5 + F.ascii(F.substring("country_code", 2, 1)) - 65
+    year, p = F.year("snapshot_date"), F.col("price_amount")
+    mixed = F.when((nation % 4 == 1) & (year == 1995), F.lit(0)).when((nation % 4 == 2) & (year == 1996) & (F.col("product_code").cast("long") % 10 == 0), p * 100).otherwise(p)
+    profiles = _profiles(o.withColumn("price_amount", mixed.cast("decimal(18,6)")))
     path = tables.shared_path(spark, "profiles")
     tables.write_profiles(profiles.select("country_code", "snapshot_date", "price_type", "assessment", "record_count"), quality.snapshot_status(profiles), path)
     back = tables.read_dimension(spark, path, "country_code string, snapshot_date date, snapshot_status string, profiles array<struct<price_type:string,assessment:string,record_count:long>>")

@@ -179,9 +179,17 @@ def not_done(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def available(df: DataFrame, name: str) -> DataFrame:
-    """The distinct values of a column in order (the windows that have candidates, say)."""
+    """The distinct values of a column in order (the molecules that have candidates, say)."""
     return df.select(name).distinct().orderBy(name)
 
 
+def windows(spark: SparkSession, path: str, name: str = "window") -> list[str]:
+    """The values of a partitioned table's first partition column, in order, from the names of its folders: no file is read."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}=*")) or []
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return sorted(names.unescapePathName(f.getPath().getName().split("=", 1)[1]) for f in found)
+
+
 def in_window(df: DataFrame, window: Column) -> DataFrame:
     return df.withColumn("window", window)
