@@ -84,9 +84,10 @@ def in_order(rows: DataFrame, groups: list[str], order: list[str], totals: dict[
 def without(rows: DataFrame, name: str, dropped: DataFrame) -> DataFrame:
     """``rows`` of ``with_row_keys`` but those whose key is in ``dropped``. Texts stay where they are while the dropped
     rows are counted to be few; else both sides are shuffled."""
-    gone = written(dropped.select(F.col(f"{name}.row").alias("_gone")), "dropped")
+    lost = f"_gone_{uuid.uuid4().hex[:8]}"  # no column of the rows has this name
+    gone = written(dropped.select(F.col(f"{name}.row").alias(lost)), "dropped")
     few = gone.limit(MOST_DROPPED + 1).count() <= MOST_DROPPED
-    return rows.join(F.broadcast(gone) if few else gone, F.col(f"{name}.row") == F.col("_gone"), "left_anti")
+    return rows.join(F.broadcast(gone) if few else gone, F.col(f"{name}.row") == F.col(lost), "left_anti")
 
 
 def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
@@ -96,12 +97,12 @@ def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, t
     (its bound follows from the sizes); all others are joined by a shuffle.
     Both inputs are read twice, so pass written tables.
     """
-    least = max(1000, total // HOT_SHARE)
+    least, mark = max(1000, total // HOT_SHARE), f"_hot_{uuid.uuid4().hex[:8]}"
     hot, rest = groups.where(F.col(size) > least), groups.where(F.col(size) <= least)
-    marked = rows.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
+    marked = rows.join(F.broadcast(hot.select(*keys, F.lit(True).alias(mark))), keys, "left")
     return (
-        marked.where(F.col("_hot")).drop("_hot").join(F.broadcast(hot), keys, "left")
-        .unionByName(marked.where(F.col("_hot").isNull()).drop("_hot").join(rest, keys, "left"))
+        marked.where(F.col(mark)).drop(mark).join(F.broadcast(hot), keys, "left")
+        .unionByName(marked.where(F.col(mark).isNull()).drop(mark).join(rest, keys, "left"))
     )
 
 
