@@ -23,6 +23,8 @@ from .work import new_path, with_group, written
 LEAST_SHARED, SEGMENT_BYTES, CHUNK_BYTES = 1000, 16_384, 4096
 #: Records of one part file; with SEGMENT_BYTES this bounds what a reading task holds.
 RECORDS_PER_FILE = 2000
+#: Type of the row that stands for what can't be read of a file.
+TORN = "torn"
 _END = "\r\n\r\n"
 _DATE = "2024-09-01T00:00:00Z"
 
@@ -122,7 +124,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (names in lower case) and block of each record of a WARC file."""
+    """Header fields (names in lower case) and block of each record of a WARC file. At a tear a ValueError is raised, after
+    the records before it."""
     at = 0
     while at < len(data):
         end = data.find(b"\r\n\r\n", at)
@@ -130,15 +133,35 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             raise ValueError(f"no WARC record at byte {at}")
         lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        size = int(fields["content-length"])
+        numbers = [fields.get(k, "0") for k in ("content-length", "warc-segment-number", "warc-segment-total-length")]
+        if "content-length" not in fields or not all(n.isascii() and n.isdigit() for n in numbers):
+            raise ValueError(f"a length or number can't be read at byte {at}")
+        size = int(numbers[0])
         block = data[end + 4 : end + 4 + size]
         if len(block) != size:
-            raise ValueError("a record is cut off")
+            raise ValueError(f"the record at byte {at} is cut off")
+        if data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
+            raise ValueError(f"the end of the record at byte {at} is missing")
         yield fields, block
-        at = end + 4 + size
-        if data[at : at + 4] != b"\r\n\r\n":
-            raise ValueError("a record's end is missing")
-        at += 4
+        at = end + 8 + size
+
+
+def unzipped(data: bytes) -> tuple[bytes, str | None]:
+    """The bytes of gzip members that follow one another, as far as they can be read, and what is wrong with them."""
+    whole: list[bytes] = []
+    while data:
+        z = zlib.decompressobj(31)
+        try:
+            for i in range(0, len(data), 1 << 20):
+                whole.append(z.decompress(data[i : i + (1 << 20)]))
+                if z.eof:
+                    data = z.unused_data + data[i + (1 << 20) :]
+                    break
+            else:
+                return b"".join(whole), "the gzip file is cut off"
+        except zlib.error:
+            return b"".join(whole), "the gzip file is damaged"
+    return b"".join(whole), None
 
 
 def http_payload(block: bytes) -> bytes:
@@ -147,11 +170,12 @@ def http_payload(block: bytes) -> bytes:
     return unchunked(body) if framed else body
 
 
-_FIELDS = "record_id string, origin_id string, segment int, total long, type string, uri string, page string, digest string, refers_to string, block binary"
+_FIELDS = "record_id string, origin_id string, segment int, total long, type string, uri string, page string, digest string, refers_to string, block binary, fault string"
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the WARC files under ``path`` (.warc or gzip), continuations too, one row each."""
+    """Every record of the WARC files under ``path`` (.warc or gzip), continuations too, one row each. A file that is torn or damaged
+    gives the records before the tear and a row of type ``torn`` with a ``fault``; other files are read as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _FIELDS.split(", ")]
@@ -159,17 +183,17 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         schema = pa.schema([(n, types[x.split()[1]]) for n, x in zip(names, _FIELDS.split(", "), strict=True)])
         for batch in batches:
             for data in batch.column(0).to_pylist():
+                fault, rows = None, []
                 if data[:2] == b"\x1f\x8b":
-                    whole, rest = [], data
-                    while rest:  # one gzip member after another
-                        z = zlib.decompressobj(31)
-                        whole.append(z.decompress(rest))
-                        rest = z.unused_data
-                    data = b"".join(whole)
-                rows = []
-                for f, block in parse(data):
-                    get = f.get
-                    rows.append((get("warc-record-id"), get("warc-segment-origin-id") or get("warc-record-id"), int(get("warc-segment-number", 0)), int(t) if (t := get("warc-segment-total-length")) else None, get("warc-type"), get("warc-target-uri"), get("x-page-id"), get("warc-payload-digest"), get("warc-refers-to"), block))
+                    data, fault = unzipped(data)
+                try:
+                    for f, block in parse(data):
+                        get = f.get
+                        rows.append((get("warc-record-id"), get("warc-segment-origin-id") or get("warc-record-id"), int(get("warc-segment-number", 0)), int(t) if (t := get("warc-segment-total-length")) else None, get("warc-type"), get("warc-target-uri"), get("x-page-id"), get("warc-payload-digest"), get("warc-refers-to"), block, None))
+                except ValueError as e:
+                    fault = f"{fault}; {e}" if fault else str(e)
+                if fault:
+                    rows.append((None, None, 0, None, TORN, None, None, None, None, b"", fault))
                 cols = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types, strict=True)], schema=schema)
 
@@ -193,19 +217,21 @@ def reassemble(parts: DataFrame) -> DataFrame:
         *[one(c) for c in ("record_id", "type", "uri", "page", "digest", "refers_to")],
         F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("_parts"), F.max("total").alias("total"), F.max("segment").alias("_n"),
     )
-    # All parts are put together in one step: adding one to another would copy the block once for each segment.
-    blocks = F.unhex(F.array_join(F.transform("_parts", lambda p: F.hex(p["block"])), ""))
+    # All parts are put together in one step, their bytes as they are: adding one to another would copy the block once for each segment.
+    blocks = F.array_join(F.transform("_parts", lambda p: p["block"].cast("string")), "").cast("binary")
     joined = joined.withColumn("block", blocks).withColumn("complete", F.coalesce((F.size("_parts") == F.col("_n")) & (F.octet_length("block") == F.col("total")) & F.col("record_id").isNotNull(), F.lit(False)))
-    kept = ["record_id", "type", "uri", "page", "digest", "refers_to", "block", "complete"]
-    return whole.withColumn("complete", F.lit(True)).select(*kept).unionByName(joined.select(*kept))
+    kept = ["record_id", "type", "uri", "page", "digest", "refers_to", "block", "complete", "fault"]
+    return whole.withColumn("complete", F.lit(True)).select(*kept).unionByName(joined.withColumn("fault", F.lit(None).cast("string")).select(*kept))
 
 
 def payloads(whole: DataFrame) -> DataFrame:
     """Add payload_bytes, payload_digest (hex SHA-1 of the decoded payload) and fault, and drop the block. A revisit has no
-    payload of its own: both are null, as they are for a record with a fault: missing segments, broken framing, or a payload
+    payload of its own: both are null, as they are for a record with a fault: a tear, missing segments, broken framing, or a payload
     whose digest isn't the stated one. Other records aren't held up by it."""
 
-    def read(kind: str, block: bytes, complete: bool, said: str | None) -> tuple[int | None, str | None, str | None]:
+    def read(kind: str, block: bytes, complete: bool, said: str | None, fault: str | None) -> tuple[int | None, str | None, str | None]:
+        if fault:
+            return None, None, fault
         if not complete:
             return None, None, "segments are missing"
         if kind == "revisit":
@@ -221,18 +247,18 @@ def payloads(whole: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            get = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names) if n in ("type", "block", "complete", "digest")}
-            found = [read(*x) for x in zip(get["type"], get["block"], get["complete"], get["digest"], strict=True)]
-            keep = [n for n in batch.schema.names if n not in ("block", "complete")]
+            get = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names) if n in ("type", "block", "complete", "digest", "fault")}
+            found = [read(*x) for x in zip(get["type"], get["block"], get["complete"], get["digest"], get["fault"], strict=True)]
+            keep = [n for n in batch.schema.names if n not in ("block", "complete", "fault")]
             cols = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string()))]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in keep), *cols], names=[*keep, "payload_bytes", "payload_digest", "fault"])
 
-    kept = [f for f in whole.schema.fields if f.name not in ("block", "complete")]
+    kept = [f for f in whole.schema.fields if f.name not in ("block", "complete", "fault")]
     return whole.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", payload_bytes long, payload_digest string, fault string")
 
 
 def resolved(read: DataFrame) -> DataFrame:
-    """Give revisits the payload of the record that they refer to; ``refers_to_page`` is that record's page."""
+    """Give revisits the payload of the record that they refer to; ``refers_to_page`` is that record's page. Tears stay as rows."""
     rows = written(read, "read")
     revisits = rows.where("type = 'revisit'").drop("payload_bytes", "payload_digest")
     held = rows.where("type = 'response'").select(F.col("record_id").alias("refers_to"), "payload_bytes", "payload_digest", F.col("page").alias("refers_to_page"))
@@ -240,7 +266,7 @@ def resolved(read: DataFrame) -> DataFrame:
     groups = written(held.join(asked, "refers_to"), "held")
     total = rows.count()
     answer = with_group(revisits, groups, ["refers_to"], "_n", total).drop("_n")
-    return rows.where("type = 'response'").withColumn("refers_to_page", F.lit(None).cast("string")).unionByName(answer)
+    return rows.where(F.col("type").isin("response", TORN)).withColumn("refers_to_page", F.lit(None).cast("string")).unionByName(answer)
 
 
 def op7_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,7 +274,7 @@ def op7_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     write_archives(pages, path)
     back = resolved(payloads(reassemble(read_records(spark, path))))
-    return back.select(
+    return back.where(F.col("type") != TORN).select(
         F.col("page").try_cast("long").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("refers_to_page").try_cast("long").alias("refers_to")
     )
 
