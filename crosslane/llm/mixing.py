@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .work import in_order as in_order_of_groups
 from .work import written
 
 #: Weights of the sources in code point order, repeating; most repetitions of a source.
@@ -65,8 +66,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = EPO
     """One row for each row of ``docs``: ``doc`` (a struct of its columns, whatever their names), size, source_size, target
     and copies (times taken).
 
-    Whole repetitions are floor(target / source size); the rest goes to rows in a seeded order, as long
-    as half of a row at least still fits. Rows are ordered within cells of that order, so a source of any
+    Whole repetitions are floor(target / source size); the rest goes to rows in a seeded order as long as they fit, then to
+    later ones that fit into what is left (see with_fill). Rows are ordered within cells of that order, so a source of any
     size is spread over many tasks. A row without words has size 0 and is taken with the whole repetitions
     only; a source without words has target 0. Rows that repeat an id share its place in the order.
     A null source is a source of its own and comes last. The same seed gives the same mix.
@@ -93,20 +94,48 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = EPO
     edge = edges.where((F.col("_from") < F.col("_rest")) & (F.col("_upto") >= F.col("_rest"))).select("_source", F.col("_cell").alias("_edge"), F.col("_from"), "_rest")
     inside = sizes.join(edge.withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_cell") == F.col("_edge"))).drop("_s")
     by_place = Window.partitionBy("_source").orderBy("_place", "_size")
-    # The last place that is still taken in the edge cell; -1 if none.
-    last = (
-        inside.withColumn("_run", F.col("_from") + F.sum("_size").over(by_place.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-        .groupBy("_source", "_edge")
-        .agg(F.max(F.when((F.col("_run") - F.col("_size") / 2) <= F.col("_rest"), F.col("_place"))).alias("_last"))
-    )
-    plan = written(plan.join(last.withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s"), "plan")
+    # The last place whose rows still fit whole in the edge cell, -1 if none, and the words that are taken up to it.
+    run = F.col("_from") + F.sum("_size").over(by_place.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    last = inside.withColumn("_run", run).groupBy("_source", "_edge", "_from").agg(
+        F.max(F.when(F.col("_run") <= F.col("_rest"), F.col("_place"))).alias("_last"), F.coalesce(F.max(F.when(F.col("_run") <= F.col("_rest"), F.col("_run"))), F.col("_from")).alias("_filled")
+    )
+    plan = written(plan.join(last.drop("_from").withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s"), "plan")
     cell = (F.col("_place") % CELLS).cast("int")
     again = (F.col("_rest") > 0) & F.col("_edge").isNotNull() & ((cell < F.col("_edge")) | ((cell == F.col("_edge")) & (F.col("_place") <= F.coalesce("_last", F.lit(-1)))))
+    plan = written(with_fill(plan, sizes, again), "filled")
     joined = rows.join(small_side(plan.withColumnRenamed("_source", "_s")), F.col("_source").eqNullSafe(F.col("_s")), "left")
-    copies = F.least(F.lit(epochs), F.col("_whole") + F.when(again & (F.col("_size") > 0), 1).otherwise(0))
+    fills = F.coalesce(F.col("_place") <= F.try_element_at("_fill", F.col("_size")), F.lit(False))
+    copies = F.least(F.lit(epochs), F.col("_whole") + F.when((again | fills) & (F.col("_size") > 0), 1).otherwise(0))
     return joined.select("doc", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").cast(T.DoubleType()).alias("target"), copies.cast("int").alias("copies"))
 
 
+def with_fill(plan: DataFrame, sizes: DataFrame, again: Column) -> DataFrame:
+    """Add ``_fill`` to the sources' plan: for sizes of rows behind the cut the last place up to which they are taken as well.
+
+    What the cut leaves open is less than one row. It is filled with the rows that still fit, the largest first and of a size the first
+    in order, so what stays open is less than any row that isn't taken. Only counts by size are gathered for a source: at most
+    as many as its longest text has words.
+    """
+    gap = F.floor(F.col("_rest") - F.col("_filled"))
+    side = plan.select(F.col("_source").alias("_s"), "_rest", "_edge", "_last", gap.alias("_gap")).where("_gap > 0")
+    open_rows = sizes.join(small_side(side), F.col("_source").eqNullSafe(F.col("_s"))).where(~again & (F.col("_size") > 0) & (F.col("_size") <= F.col("_gap")))
+    open_rows = open_rows.select(F.coalesce(F.concat(F.lit("="), "_source"), F.lit("")).alias("_key"), "_size", "_place", "_gap")
+    counts = open_rows.groupBy("_key", "_size").agg(F.count("*").alias("n"), F.first("_gap").alias("_gap"))
+    start = F.struct(F.max("_gap").alias("gap"), F.array().cast("array<struct<size:bigint,n:bigint>>").alias("picks"))
+
+    def take(acc: Column, s: Column) -> Column:
+        n = F.least(s["n"], F.floor(acc["gap"] / s["size"]))
+        picks = F.when(n > 0, F.concat(acc["picks"], F.array(F.struct(s["size"].alias("size"), n.alias("n"))))).otherwise(acc["picks"])
+        return F.struct((acc["gap"] - n * s["size"]).alias("gap"), picks.alias("picks"))
+
+    by_size = F.sort_array(F.collect_list(F.struct(F.col("_size").alias("size"), "n")), asc=False)
+    gathered = counts.groupBy("_key").agg(start.alias("start"), by_size.alias("sizes"))
+    picks = gathered.select("_key", F.explode(F.aggregate("sizes", F.col("start"), take, lambda a: a["picks"])).alias("p")).select("_key", F.col("p.size").alias("_size"), F.col("p.n").alias("_n"))
+    ranked = in_order_of_groups(open_rows.join(picks, ["_key", "_size"]), ["_key", "_size"], ["_place"])
+    ends = ranked.where(F.col("_rank") == F.col("_n") - 1).groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_size", "_place"))).alias("_fill"))
+    return plan.join(ends.withColumnRenamed("_key", "_k"), F.coalesce(F.concat(F.lit("="), "_source"), F.lit("")) == F.col("_k"), "left").drop("_k")
+
+
 def small_side(plan: DataFrame, most: int = 100_000) -> DataFrame:
     """Broadcast the sources' plan only when counted to be small; else the join shuffles and splits hot sources."""
     return F.broadcast(plan) if plan.count() <= most else plan
