@@ -2,12 +2,13 @@
 
 A text is canonical in lower case, without lines that are copyright notices and without punctuation, with one
 spelling of equivalent words and single spaces. A line of a licence's own sentences that wraps at the word 'copyright'
-stays; the SQL drops it, so the two differ on such lines (the given tables have none). Its SHA-256 is joined with the digests of known licences (whole
+stays. Its SHA-256 is joined with the digests of known licences (whole
 texts) and of known licence notices (single lines of a text).
 """
 
 from __future__ import annotations
 
+from functools import cache
 from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,8 +90,12 @@ def _shipped() -> tuple[tuple[str, str], ...]:
     return tuple(found)
 
 
-#: All whole texts; the SQL has LICENSES alone.
-WHOLE = LICENSES + _shipped()
+@cache
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """All known whole texts: LICENSES and the data files, which only a driver that scans reads."""
+    return LICENSES + _shipped()
+
+
 #: Single lines that state a licence.
 NOTICES = (
     ("MIT", "Released under the MIT License."),
@@ -148,7 +153,7 @@ def known(spark: SparkSession, texts: tuple[tuple[str, str], ...]) -> DataFrame:
     return made.select("license_id", digest(F.col("text")).alias("sha")).groupBy("sha").agg(F.min("license_id").alias("license_id"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licenses: tuple = WHOLE, notices: tuple = NOTICES) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licenses: tuple | None = None, notices: tuple = NOTICES) -> DataFrame:
     """Per row of ``docs``: the id, canonical_sha256 and canonical_chars of its whole text, license_id (of the licence
     that it is; else null) and notice_ids (licences that single lines state, sorted, comma-joined; else empty).
 
@@ -159,7 +164,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licens
     spark = docs.sparkSession
     text = F.col(text_col)
     clean = canonical(text)
-    whole = known(spark, licenses).withColumnRenamed("license_id", "_license").withColumnRenamed("sha", "_sha")
+    whole = known(spark, whole_texts() if licenses is None else licenses).withColumnRenamed("license_id", "_license").withColumnRenamed("sha", "_sha")
     marks = F.create_map(*[F.lit(x) for r in known(spark, notices).collect() for x in (r["sha"], r["license_id"])]).cast("map<string,string>")
     lines = F.split(F.coalesce(text, F.lit("")), "\n")
     # Where every notice has this word in it, a line without it needs no digest.
@@ -179,9 +184,28 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
 
 
+_START, _NAME = r"^[^A-Za-z0-9\n]*", r"[A-Z\x{80}-\x{10FFFF}]"
+_WORD, _BY = rf"{_START}(?i:copyright)\b[^A-Za-z0-9.;\"\n\x{{80}}-\x{{10FFFF}}]*", r"(?i:by)[^A-Za-z0-9\n]+"
+_SIGN = rf"{_START}(?i:\(c\))"
+
+
+def _sql_notice(line: str) -> str:
+    """Whether a line is a copyright notice, as _COPYRIGHT has it, in patterns without a look ahead."""
+    has = lambda *parts: f"regexp_matches({line}, '{''.join(parts)}')"
+    names = rf"(?:[ \t]+(?:[^a-z\s][^\s]*|(?i:{_BETWEEN})[,.;]*))+[ \t\r]*$"
+    any_of = [
+        has(_START, "(?:©|&copy;)"), has(_START, rf"(?i:copyright(?:s|ed)?\b{_AFTER})"), has(_SIGN, rf"(?i:[^A-Za-z0-9\n]*copyright\b{_AFTER}|{_AFTER}|[^\n]*\b(?:19|20)[0-9]{{2}}\b)"),
+        f"({has(_WORD, _NAME)} AND NOT {has(_WORD, rf'(?i:{_BODY})', r'\b')})", has(_WORD, _BY, r"[\x{80}-\x{10FFFF}]"), f"({has(_WORD, _BY, '[A-Z]')} AND NOT {has(_WORD, _BY, rf'(?i:{_BODY})', r'\b')})",
+        f"({has(_SIGN, r'[^\n]*[A-Z][^\n]*[a-z]')} AND {has(_SIGN, r'[^A-Za-z0-9\n]*', _NAME, r'[^\s]*', names)})",
+    ]
+    return "(" + " OR ".join(any_of) + ")"
+
+
 def _sql_canonical(x: str) -> str:
-    out = f"translate(coalesce({x}, ''), '{_UPPER}', '{_LOWER}')"
-    out = f"regexp_replace({out}, '(^|\\n)[^a-z0-9\\n]*(copyright|\\(c\\)|©)[^\\n]*', chr(10), 'g')"
+    """Lines that may be a notice are looked at one by one; a text without the words and signs of one has none."""
+    lines = f"array_to_string(list_transform(string_split({x}, chr(10)), lambda line: CASE WHEN {_sql_notice('line')} THEN '' ELSE line END), chr(10))"
+    out = rf"CASE WHEN regexp_matches({x}, '(?i:copyright|\(c\)|©|&copy;)') THEN {lines} ELSE coalesce({x}, '') END"
+    out = f"translate({out}, '{_UPPER}', '{_LOWER}')"
     out = f"' ' || trim(regexp_replace({out}, '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+', '  ', 'g')) || ' '"
     for other, one in SPELLINGS:
         out = f"replace({out}, ' {other} ', ' {one} ')"
@@ -192,9 +216,9 @@ def _sql_rows(texts: tuple[tuple[str, str], ...]) -> str:
     return ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in texts)
 
 
-ORACLE = {
-    "op4_license_scan": f"""
-WITH l AS (SELECT sha256({_sql_canonical("t")}) AS sha, min(i) AS license_id FROM (VALUES {_sql_rows(LICENSES)}) v(i, t) GROUP BY 1),
+def oracle() -> str:
+    return f"""
+WITH l AS (SELECT sha256({_sql_canonical("t")}) AS sha, min(i) AS license_id FROM (VALUES {_sql_rows(whole_texts())}) v(i, t) GROUP BY 1),
 n AS (SELECT sha256({_sql_canonical("t")}) AS sha, min(i) AS license_id FROM (VALUES {_sql_rows(NOTICES)}) v(i, t) GROUP BY 1),
 d AS (SELECT doc_id, {_sql_canonical("text")} AS c FROM documents),
 s AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
@@ -203,5 +227,7 @@ m AS (SELECT s.doc_id, string_agg(DISTINCT n.license_id, ',' ORDER BY n.license_
 SELECT d.doc_id, sha256(d.c) AS canonical_sha256, CAST(length(d.c) AS BIGINT) AS canonical_chars, l.license_id, coalesce(m.ids, '') AS notice_ids
 FROM d LEFT JOIN l ON sha256(d.c) = l.sha LEFT JOIN m USING (doc_id)
 """
-}
+
+
+ORACLE = {"op4_license_scan": oracle}
 QUERIES = {"op4_license_scan": op4_license_scan}

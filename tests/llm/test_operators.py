@@ -264,9 +264,9 @@ def test_neighbouring_spellings(spark):
 
 def test_license_query_finds_whole_texts(spark, tmp_path):
     mit = dict(licenses.LICENSES)["MIT"]
-    docs(spark, ["Copyright 2020 Me\n" + mit, "plain\nReleased under the MIT License.", licenses.WHOLE[-1][1], None]).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    docs(spark, ["Copyright 2020 Me\n" + mit, "plain\nReleased under the MIT License.", licenses.whole_texts()[-1][1], None]).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.license_id, r.notice_ids) for r in licenses.op4_license_scan(spark, str(tmp_path)).collect()}
-    assert got == {0: ("MIT", ""), 1: (None, "MIT"), 2: (licenses.WHOLE[-1][0], got[2][1]), 3: (None, "")}
+    assert got == {0: ("MIT", ""), 1: (None, "MIT"), 2: (licenses.whole_texts()[-1][0], got[2][1]), 3: (None, "")}
 
 
 def test_licenses_wrapped(spark):
@@ -289,19 +289,34 @@ def test_licenses_of_the_data_files(spark):
     assert [got[i] for i in range(len(texts))] == [i for i, _ in texts]
 
 
+COPYRIGHT_NOTICES = [
+    "Copyright (c) 2020 Me", "COPYRIGHT (C) ME", "# © Me", "Copyright © Me", "copyright 2020 me", "Copyright: 2019-2020, Me", "(c) 2020 Me", "(C) Copyright 2020 Me", "(c) Me, Inc. and its affiliates.",
+    "Copyright [yyyy] [name of copyright owner]", "Copyright <YEAR> <COPYRIGHT HOLDER>", "Copyright Joyent, Inc. and other Node contributors.", "Copyright by The Authors", "Copyright Étienne", "(c) Me and Co 2020", "copyright (c) me", "Copyrighted 2020 by Me",
+]
+LICENSE_LINES = [
+    "copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM", "copyright owner or by an individual", "* copyright holder nor the names", "copyright", "COPYRIGHT OWNER OR",
+    "(c) You must retain, in the Source form of any Derivative Works", "(c) the licenses granted", "(C) YOU MUST RETAIN", "(c)    Representations.", "\"COPYRIGHT\" LINE AND A POINTER", "\"Copyright\" also means copyright-like laws", "copyright license to reproduce", "copyrighted by the Free Software", "Copyright Notice", "copyright. You may", "copyright and related rights",
+]
+
+
 def test_copyright_lines(spark):
-    notices = [
-        "Copyright (c) 2020 Me", "COPYRIGHT (C) ME", "# © Me", "Copyright © Me", "copyright 2020 me", "Copyright: 2019-2020, Me", "(c) 2020 Me", "(C) Copyright 2020 Me", "(c) Me, Inc. and its affiliates.",
-        "Copyright [yyyy] [name of copyright owner]", "Copyright <YEAR> <COPYRIGHT HOLDER>", "Copyright Joyent, Inc. and other Node contributors.", "Copyright by The Authors", "Copyright Étienne", "(c) Me and Co 2020", "copyright (c) me", "Copyrighted 2020 by Me",
-    ]
-    bodies = [
-        "copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM", "copyright owner or by an individual", "* copyright holder nor the names", "copyright", "COPYRIGHT OWNER OR",
-        "(c) You must retain, in the Source form of any Derivative Works", "(c) the licenses granted", "(C) YOU MUST RETAIN", "(c)    Representations.", "\"COPYRIGHT\" LINE AND A POINTER", "\"Copyright\" also means copyright-like laws", "copyright license to reproduce", "copyrighted by the Free Software", "Copyright Notice", "copyright. You may", "copyright and related rights",
-    ]
+    notices, bodies = COPYRIGHT_NOTICES, LICENSE_LINES
     rows = spark.createDataFrame([(t,) for t in notices + bodies], "t string").select("t", licenses.canonical(F.concat(F.lit("a\n"), F.col("t"), F.lit("\nb"))).alias("c")).collect()
     assert {r.t for r in rows if r.c == "a b"} == set(notices)
 
 
+def test_license_sql_is_the_same_function(spark, tmp_path):
+    apache = dict(licenses.whole_texts())["Apache-2.0"]
+    isc = dict(licenses.LICENSES)["ISC"].replace("above copyright", "above\ncopyright")
+    texts = [apache, "Copyright 2020 Me\n" + apache, isc, "(c) 2020 Me\n" + isc, None, "", "© Me\r\nx", "By copyright by And\ncopyright by Me\ncopyright by é", *[f"a\n{x}\nb" for x in COPYRIGHT_NOTICES + LICENSE_LINES], *[x for x in COPYRIGHT_NOTICES + LICENSE_LINES]]
+    docs(spark, texts).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, licenses.op4_license_scan(spark, str(tmp_path)).collect()))
+    duck = duckdb.connect()
+    duck.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(duck.sql(licenses.oracle()).fetchall())
+    assert [r[3] for r in got[:4]] == ["Apache-2.0", "Apache-2.0", "ISC", "ISC"]
+
+
 # --- vectors
 
 
