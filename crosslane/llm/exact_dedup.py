@@ -1,9 +1,10 @@
 """Exact deduplication against a persistent digest index.
 
-The index is a table bucketed and sorted by the digest of the normalised text; each digest carries the batch that brought it.
-A batch is digested, aggregated to one row for each digest, sort-merge anti-joined with the index (whose side needs no
-shuffle) and what is new is appended. A batch that is judged again, after a failure say, meets its own digests as new ones
-and appends none twice.
+The index has two tables, bucketed by the digest of the normalised text: a main one with one sorted file for each bucket, which a
+sort-merge join reads without a shuffle or a sort, and a small one of what came in since. A batch is digested, aggregated to one row for
+each digest, anti-joined with both, and what is new is appended to the small table. When that has grown to a part of the main one,
+both become a new main table, with as many buckets as its digests ask for; so each digest is rewritten a few times at most. Each digest
+carries the batch that brought it: a batch that is judged again, after a failure say, meets its own digests as new ones and appends none twice.
 """
 
 from __future__ import annotations
@@ -13,10 +14,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .work import spread, with_group, with_row_keys, without, written
+from .work import shared_dir, spread, with_group, with_row_keys, without, written
 
-#: Digests that a bucket of a new index is made for, and the fewest and most buckets.
-BUCKET_DIGESTS, LEAST_BUCKETS, MOST_BUCKETS = 2_000_000, 8, 1 << 15
+#: Digests that a bucket is made for, and the fewest and most buckets; the small table is merged from one in MERGE_SHARE of the main one's digests on.
+BUCKET_DIGESTS, LEAST_BUCKETS, MOST_BUCKETS, MERGE_SHARE = 2_000_000, 8, 1 << 15, 4
 
 
 def normalised(text: Column) -> Column:
@@ -28,18 +29,62 @@ def digest(text: Column) -> Column:
     return F.sha2(normalised(text), 256)
 
 
-def open_index(spark: SparkSession, table: str, id_type: str, digests: int) -> tuple[DataFrame, int]:
-    """The index ``table`` and its number of buckets. Where it doesn't exist it is made empty, its buckets by the number of
-    ``digests`` that it is made for."""
-    if not spark.catalog.tableExists(table):
-        buckets = LEAST_BUCKETS
-        while buckets * BUCKET_DIGESTS < digests and buckets < MOST_BUCKETS:
-            buckets *= 2
-        empty = spark.createDataFrame([], f"digest binary, keep_id {id_type}, batch string")
-        empty.write.bucketBy(buckets, "digest").sortBy("digest").format("parquet").saveAsTable(table)
-        return spark.table(table), buckets
-    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
-    return spark.table(table), int(told["Num Buckets"])
+def _save(rows: DataFrame, table: str, buckets: int, mode: str) -> None:
+    """As a table bucketed and sorted by digest, in the shared folder."""
+    path = f"{shared_dir(rows.sparkSession)}/{table}-{uuid.uuid4().hex}"
+    out = rows.write.mode(mode).bucketBy(buckets, "digest").sortBy("digest").format("parquet")
+    (out if rows.sparkSession.catalog.tableExists(table) else out.option("path", path)).saveAsTable(table)
+
+
+def _told(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+
+
+def _buckets(digests: int) -> int:
+    buckets = LEAST_BUCKETS
+    while buckets * BUCKET_DIGESTS < digests and buckets < MOST_BUCKETS:
+        buckets *= 2
+    return buckets
+
+
+def open_index(spark: SparkSession, index: str, id_type: str) -> tuple[DataFrame, DataFrame]:
+    """The main and the small table of ``index``, which are made empty where they don't exist; ``index`` itself is a view of both."""
+    # Spark tells the order of a bucket with one file only where it is asked to look.
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+    there = spark.catalog.tableExists
+    if not there(f"{index}_main") and there(f"{index}_next"):  # a merge that was stopped at its end
+        spark.sql(f"ALTER TABLE {index}_next RENAME TO {index}_main")
+    for name in (f"{index}_main", f"{index}_new"):
+        if not there(name):
+            _save(spark.createDataFrame([], f"digest binary, keep_id {id_type}, batch string"), name, LEAST_BUCKETS, "append")
+    if not there(index):
+        spark.sql(f"CREATE VIEW {index} AS SELECT * FROM {index}_main UNION ALL SELECT * FROM {index}_new")
+    return spark.table(f"{index}_main"), spark.table(f"{index}_new")
+
+
+def unseen(groups: DataFrame, main: DataFrame, new: DataFrame) -> DataFrame:
+    """The rows of ``groups`` whose digest neither table has; the main one is read in its own order."""
+    return groups.hint("merge").join(main.hint("merge"), "digest", "left_anti").join(new, "digest", "left_anti")
+
+
+def merge(spark: SparkSession, index: str, digests: int) -> None:
+    """Both tables as a new main one of one sorted file for each bucket. A merge that fails leaves the tables as they were; one that is
+    stopped between its last steps is ended by the next ``open_index``."""
+    buckets, main, new = _buckets(digests), spark.table(f"{index}_main"), spark.table(f"{index}_new")
+    _drop(spark, f"{index}_next")
+    both = main.unionByName(new.join(main.select("digest"), "digest", "left_anti"))
+    # Dealt by the number of the bucket, so that one task has all rows of a bucket and makes one file of them.
+    _save(both.repartition(buckets, F.pmod(F.hash("digest"), F.lit(buckets))), f"{index}_next", buckets, "append")
+    _drop(spark, f"{index}_main")
+    spark.sql(f"ALTER TABLE {index}_next RENAME TO {index}_main")
+    _drop(spark, f"{index}_new")
+
+
+def _drop(spark: SparkSession, table: str) -> None:
+    if spark.catalog.tableExists(table):
+        place = spark._jvm.org.apache.hadoop.fs.Path(_told(spark, table)["Location"])
+        spark.sql(f"DROP TABLE {table}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def deduplicate(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
@@ -61,12 +106,16 @@ def deduplicate(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: s
     first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_row").alias("row")))
     groups = written(rows.groupBy("digest").agg(first.alias("first"), F.count("*").alias("group_size")), "groups")
     sums = groups.agg(F.count("*").alias("digests"), F.sum("group_size").alias("rows")).first()
-    known, buckets = open_index(spark, index, id_type, sums["digests"])
-    fresh = groups.hint("merge").join(known.hint("merge"), "digest", "left_anti")
+    main, new = open_index(spark, index, id_type)
+    fresh = unseen(groups, main, new)
     # Read before the append, so that a digest of an earlier batch keeps its earlier row.
-    others = known.where(F.col("batch") != batch)
-    earlier = written(groups.hint("merge").join(others.hint("merge"), "digest").select("digest", F.col("keep_id").alias("old_id")), "earlier")
-    fresh.select("digest", F.col("first.id").alias("keep_id"), F.lit(batch).alias("batch")).write.mode("append").bucketBy(buckets, "digest").sortBy("digest").format("parquet").saveAsTable(index)
+    old = [groups.hint("merge").join(side.where(F.col("batch") != batch), "digest").select("digest", F.col("keep_id").alias("old_id")) for side in (main.hint("merge"), new)]
+    earlier = written(old[0].unionByName(old[1]).groupBy("digest").agg(F.min("old_id").alias("old_id")), "earlier")
+    _save(fresh.select("digest", F.col("first.id").alias("keep_id"), F.lit(batch).alias("batch")), f"{index}_new", LEAST_BUCKETS, "append")
+    have, more = spark.table(f"{index}_main").count(), spark.table(f"{index}_new").count()
+    if more * MERGE_SHARE > have:
+        merge(spark, index, have + more)
+        open_index(spark, index, id_type)
     judged = (
         groups.join(earlier.withColumn("old", F.lit(True)), "digest", "left")
         .where((F.col("group_size") > 1) | F.col("old"))
@@ -86,7 +135,9 @@ def deduplicate(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: s
 
 def drop_index(spark: SparkSession, table: str) -> None:
     """Remove an index that no later batch will meet. What was judged doesn't read it any more."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"DROP VIEW IF EXISTS {table}")
+    for name in (f"{table}_main", f"{table}_new", f"{table}_next"):
+        _drop(spark, name)
 
 
 def kept_rows(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
