@@ -270,8 +270,8 @@ def materialised_counts(spark, d):
 
 
 def _price_pages(spark: SparkSession, d: str) -> DataFrame:
-    """A detail page for each part, with a section for each of its first suppliers' offers."""
-    line = spark.read.parquet(f"{d}/lineitem.parquet").where("l_linenumber <= 2").select("l_partkey", "l_suppkey", F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("p"), "l_returnflag")
+    """A detail page for each part, with a section for each of its offers."""
+    line = spark.read.parquet(f"{d}/lineitem.parquet").select("l_partkey", "l_suppkey", F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("p"), "l_returnflag")
     part = spark.read.parquet(f"{d}/part.parquet")
     price = F.when(F.col("l_returnflag") == "R", F.lit("sem preço")).otherwise(F.concat(F.replace("p", F.lit("."), F.lit(",")), F.lit(" €")))
     section = F.concat(F.lit('<div class="embalagem-main-panel"><span class="btn btn-link">'), F.col("l_suppkey").cast("string"), F.lit(' unidades</span><span class="btn btn-link">Caixa</span><span>PVP:</span><span>'), price, F.lit("</span><label>Número de Registo:</label><span>N"), F.col("l_suppkey").cast("string"), F.lit("</span><label>CNPEM:</label><div> </div><div>5015</div></div>"))
@@ -280,7 +280,7 @@ def _price_pages(spark: SparkSession, d: str) -> DataFrame:
     return part.join(offers, part.p_partkey == offers.l_partkey).select(F.col("p_partkey").alias("page_id"), F.concat(head, "offers").alias("html"))
 
 
-@query("""WITH l AS (SELECT DISTINCT l_partkey, l_suppkey, CAST(l_extendedprice AS DECIMAL(18,2)) AS p FROM lineitem WHERE l_linenumber <= 2 AND l_returnflag <> 'R')
+@query("""WITH l AS (SELECT DISTINCT l_partkey, l_suppkey, CAST(l_extendedprice AS DECIMAL(18,2)) AS p FROM lineitem WHERE l_returnflag <> 'R')
 SELECT p_partkey AS page_id, upper(split_part(p_name, ' ', 1)[1]) || split_part(p_name, ' ', 1)[2:] || ' ' || upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] || ' ééé &lt;' AS name, p_name AS substance, p_size || ' mg' AS dose, 'N' || l_suppkey AS code, l_suppkey || ' unidades; Caixa' AS presentation,
 replace(CAST(p AS VARCHAR), '.', ',') AS price, '5015' AS cnpem FROM part JOIN l ON l_partkey = p_partkey""")
 def price_pages(spark, d):
@@ -289,22 +289,27 @@ def price_pages(spark, d):
     return r.select("page_id", F.col("Nome do Medicamento").alias("name"), F.col("Substância Ativa/DCI").alias("substance"), F.col("Dosagem").alias("dose"), F.col("Código").alias("code"), F.col("Apresentação").alias("presentation"), F.col("PVP").alias("price"), F.col("CNPEM").alias("cnpem"))
 
 
+#: Part keys of one search page, so a page has a bounded number of entries.
+PAGE = 1000
+_PAGE_ID = f"p_brand || '/' || (p_partkey // {PAGE})"
+
+
 def _search_pages(spark: SparkSession, d: str) -> DataFrame:
-    """A page for each brand: options of its sizes (some with short codes), links and a total."""
-    part = spark.read.parquet(f"{d}/part.parquet")
+    """Pages of a brand's parts, those of PAGE part keys in a row on one: options of their sizes (some with short codes), links and a total."""
+    part = spark.read.parquet(f"{d}/part.parquet").withColumn("page_id", F.concat_ws("/", "p_brand", F.floor(F.col("p_partkey") / PAGE)))
     code = F.concat(F.lit("A"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit("BC01"))
     option = F.concat(F.lit('<option value="REF_CLASS_ATC:'), F.when(F.col("p_size") % 5 == 0, F.left(code, F.lit(5))).otherwise(code), F.lit('">'), F.lit("size &gt; "), F.col("p_size").cast("string"), F.lit("</option>"))
     link = F.concat(F.lit('<a id="mainForm:dt-medicamentos:'), F.col("p_size").cast("string"), F.lit(':linkNome">x</a>'))
-    made = part.groupBy("p_brand").agg(F.array_join(F.sort_array(F.collect_list(option)), "").alias("o"), F.array_join(F.sort_array(F.collect_list(link)), "").alias("l"), F.count("*").cast("string").alias("n"))
+    made = part.groupBy("p_brand", "page_id").agg(F.array_join(F.sort_array(F.collect_list(option)), "").alias("o"), F.array_join(F.sort_array(F.collect_list(link)), "").alias("l"), F.count("*").cast("string").alias("n"))
     total = F.when(F.col("p_brand") == "Brand#3", "none").otherwise(F.concat(F.lit("total de "), F.col("n"), F.lit(" registos")))
-    return made.select(F.col("p_brand").alias("page_id"), F.concat("o", "l", total).alias("html"))
+    return made.select("page_id", F.concat("o", "l", total).alias("html"))
 
 
-@query("""SELECT DISTINCT p_brand AS page_id, 'A' || lpad(CAST(p_size AS VARCHAR), 2, '0') || 'BC01' AS code, 'size > ' || p_size AS label FROM part WHERE p_size % 5 <> 0""")
+@query(f"""SELECT DISTINCT {_PAGE_ID} AS page_id, 'A' || lpad(CAST(p_size AS VARCHAR), 2, '0') || 'BC01' AS code, 'size > ' || p_size AS label FROM part WHERE p_size % 5 <> 0""")
 def page_options(spark, d):
     return html.options(_search_pages(spark, d)).select("page_id", "code", "label")
 
 
-@query("""SELECT p_brand AS page_id, CAST(count(DISTINCT p_size) AS INTEGER) AS n_links, CAST(count(CASE WHEN p_brand <> 'Brand#3' THEN 1 END) AS INTEGER) AS n_results FROM part GROUP BY p_brand""")
+@query(f"""SELECT {_PAGE_ID} AS page_id, CAST(count(DISTINCT p_size) AS INTEGER) AS n_links, CAST(count(CASE WHEN p_brand <> 'Brand#3' THEN 1 END) AS INTEGER) AS n_results FROM part GROUP BY p_brand, page_id""")
 def page_links(spark, d):
     return _search_pages(spark, d).select("page_id", F.size(html.link_ids(F.col("html"))).alias("n_links"), html.result_count(F.col("html")).alias("n_results"))

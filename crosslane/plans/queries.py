@@ -356,6 +356,20 @@ def candidate_summary(spark, d):
     return candidates.candidate_summary(c)[0].drop("n_ratio")
 
 
+# Pairs of any two snapshots; the rate is that of the later one.
+_ANY_QUARTER = _LANES.replace(" AND a.snapshot_date = b.snapshot_date", "").replace("a.snapshot_date, a.country_code AS", "greatest(a.snapshot_date, b.snapshot_date) AS snapshot_date, a.snapshot_date <> b.snapshot_date AS apart, a.country_code AS")
+
+
+@query(f"""WITH {_ANY_QUARTER}, p AS (SELECT c.*, CASE WHEN pa = pb THEN 'exact' ELSE 'high' END AS identity_confidence, va / CASE WHEN ca = cb THEN vb ELSE ROUND(vb / rb.r * ra.r, 10) END AS ratio FROM c JOIN rate ra ON ra.ccy = ca AND ra.snapshot_date = c.snapshot_date JOIN rate rb ON rb.ccy = cb AND rb.snapshot_date = c.snapshot_date)
+SELECT country_code_a, country_code_b, identity_confidence, apart, count(*) AS n, round(min(ratio), 2) AS lowest, round(max(ratio), 2) AS highest FROM p GROUP BY ALL""")
+def pairs_of_all_quarters(spark, d):
+    """The default pairing: records of all quarters meet, the ratio taken at the later snapshot's rate."""
+    c = candidates.candidates(_candidate_records(spark, d), s.rates(spark))
+    apart = (F.col("snapshot_date_a") != F.col("snapshot_date_b")).alias("apart")
+    out = c.groupBy("country_code_a", "country_code_b", "identity_confidence", apart)
+    return out.agg(F.count("*").alias("n"), _d(F.min("price_ratio"), 2).alias("lowest"), _d(F.max("price_ratio"), 2).alias("highest"))
+
+
 @query(f"""WITH {_JOINED}, l AS (SELECT country_code, snapshot_date, price_type, category, count(*) AS n_records FROM gated GROUP BY ALL)
 SELECT country_code, snapshot_date, price_type, n_records, CASE WHEN category IS NULL THEN 'no policy interpretation' ELSE 'price type is not comparable' END AS reason FROM l WHERE category IS NULL OR category = 'not_comparable'""")
 def skipped_lanes(spark, d):

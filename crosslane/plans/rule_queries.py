@@ -331,8 +331,22 @@ def filter_values(spark, d):
 # --- stored comparisons and what is asked of them
 
 
+#: Where a session has written the comparisons of a set of input files.
+_WRITTEN: dict[tuple[str, str], str] = {}
+_TABLES = ("lineitem", "part", "supplier", "nation")
+
+
 def _stored(spark: SparkSession, d: str) -> str:
-    """Candidates, evidence, rules, assessments and queue written by window (the year); the folder."""
+    """The folder of the comparisons of ``d``: written once in a session, and anew when a file has changed or the folder is incomplete."""
+    asked = (spark.sparkContext.applicationId, tables.files_key(spark, [f"{d}/{t}.parquet" for t in _TABLES]))
+    path = _WRITTEN.get(asked)
+    if path is None or not tables.complete(spark, f"{path}/queue"):
+        path = _WRITTEN[asked] = _compared(spark, d)
+    return path
+
+
+def _compared(spark: SparkSession, d: str) -> str:
+    """Candidates, evidence, rules, assessments and queue (the last) written by window (the year); the folder."""
     records = _candidate_records(spark, d)
     c = tables.in_window(candidates.candidates(records, s.rates(spark), same_quarter=True), F.year("snapshot_date_a").cast("string"))
     c = tables.written(c, "candidates")
@@ -346,6 +360,37 @@ def _stored(spark: SparkSession, d: str) -> str:
     return path
 
 
+_SIDE_OF = "struct<id:string,country_code:string,price_amount:decimal(18,6),pack_units:int,strength_price:double>"
+_EVIDENCE = f"candidate_id string, bundle struct<a:{_SIDE_OF},b:{_SIDE_OF},fx:struct<fx_used:boolean>>, window string"
+
+
+def _read_evidence(spark: SparkSession, path: str) -> DataFrame:
+    return tables.read_dimension(spark, f"{path}/evidence", _EVIDENCE)
+
+
+@query(f"""WITH {_LANES} SELECT {_CANDIDATE} AS id, inn AS molecule, country_code_a, country_code_b, round(va, 6) AS strength_price_a, round(vb, 6) AS strength_price_b, CAST(year(snapshot_date) AS VARCHAR) AS "window" FROM c""")
+def stored_evidence(spark, d):
+    """Ad-hoc SQL: stored candidates joined with the prices per strength unit in their stored evidence."""
+    path = _stored(spark, d)
+    args = {"c": spark.read.parquet(f"{path}/candidates"), "e": _read_evidence(spark, path)}
+    rows = spark.sql(
+        """SELECT c.id, c.canonical_inn_a AS molecule, e.bundle.a.country_code AS country_code_a, e.bundle.b.country_code AS country_code_b, e.bundle.a.strength_price AS va, e.bundle.b.strength_price AS vb, CAST(c.window AS STRING) AS window
+        FROM {c} c JOIN {e} e ON c.id = e.candidate_id AND c.window = e.window""", **args
+    )
+    return rows.select("id", "molecule", "country_code_a", "country_code_b", _d(F.col("va")).alias("strength_price_a"), _d(F.col("vb")).alias("strength_price_b"), "window")
+
+
+@query(f"""WITH {_LANES}, u AS (SELECT id_a AS id, country_code_a AS country_code FROM c UNION SELECT id_b, country_code_b FROM c)
+SELECT country_code, rule_type, formula, count(*) AS n FROM u, (VALUES ('per_unit', 'price_amount / pack_units'), ('per_strength_unit', 'unit_price / strength_value')) f(rule_type, formula) GROUP BY ALL""")
+def stored_rules(spark, d):
+    """The stored rules behind the records that stored evidence names, by country."""
+    path = _stored(spark, d)
+    side = lambda x: _read_evidence(spark, path).select(f"bundle.{x}.id", f"bundle.{x}.country_code")
+    rules = tables.read_dimension(spark, f"{path}/rules", "id string, rule_type string, record_id string, formula string, window string")
+    used = side("a").unionByName(side("b")).distinct()
+    return rules.join(used.withColumnRenamed("id", "record_id"), "record_id").groupBy("country_code", "rule_type", "formula").agg(F.count("*").alias("n"))
+
+
 @query(f"""WITH {_LANES} SELECT DISTINCT CAST(year(snapshot_date) AS VARCHAR) AS "window" FROM c""")
 def available_windows(spark, d):
     """The windows that have candidates, in order, told by the folders: no file is read."""
@@ -421,10 +466,9 @@ _SIDE = lambda x: f"'- ' || country_code_{x} || ': ' || CAST(amount{x} AS VARCHA
 _IDS = lambda x: f"'- {x}.id: ' || id_{x} || chr(10) || '- {x}.raw_record_id: ' || id_{x} || chr(10) || '- {x}.policy_id: ' || pol{x} || chr(10) || '- {x}.profile_id: ' || country_code_{x} || '-' || year(snapshot_date) || '-' || pt{x}"
 
 
-@query(f"""WITH {_REVIEWED} SELECT {_CANDIDATE} AS id, regexp_replace('# Comparison: ' || inn || ' ' || country_code_a || '/' || country_code_b || ' [' || usability || ']' || chr(10) || '## Figures' || chr(10) || {_SIDE("a")} || chr(10) || {_SIDE("b")}, '[0-9]+[.][0-9]+', '#', 'g') || chr(10) || '## Evidence' || chr(10) || {_IDS("a")} || chr(10) || {_IDS("b")} AS report FROM rev WHERE inn = 'rod'""")
+@query(f"""WITH {_REVIEWED} SELECT {_CANDIDATE} AS id, regexp_replace('# Comparison: ' || inn || ' ' || country_code_a || '/' || country_code_b || ' [' || usability || ']' || chr(10) || '## Figures' || chr(10) || {_SIDE("a")} || chr(10) || {_SIDE("b")}, '[0-9]+[.][0-9]+', '#', 'g') || chr(10) || '## Evidence' || chr(10) || {_IDS("a")} || chr(10) || {_IDS("b")} AS report FROM rev""")
 def report_texts(spark, d):
-    """Reports of one molecule's candidates; of each the title, figures (without their decimals) and evidence."""
-    c = candidates.candidates(_candidate_records(spark, d).where("canonical_inn = 'rod'"), s.rates(spark), same_quarter=True)
-    r = review.reports(_reviews(spark, d, c))
+    """Reports of all candidates; of each the title, figures (without their decimals) and evidence."""
+    r = review.reports(_reviews(spark, d))
     head = F.regexp_replace(F.regexp_extract("report", r"(?s)^(.*?)\n- Ratio", 1), "[0-9]+[.][0-9]+", "#")
     return r.select("id", F.concat_ws("\n", head, F.regexp_extract("report", r"(?s)(## Evidence\n.*?)\n## Review", 1)).alias("report"))

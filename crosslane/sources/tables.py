@@ -165,11 +165,23 @@ def snapshot_key(snapshots: DataFrame) -> str:
     return snapshots.agg(F.sha2(F.array_join(F.sort_array(F.collect_set(one)), ","), 256)).first()[0]
 
 
+def files_key(spark: SparkSession, paths: list[str]) -> str:
+    """One key for the files at ``paths``, by name, length and time of change, whatever their order: no file is read and no list gathered."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    one = F.xxhash64("path", "length", "modificationTime")
+    return "-".join(str(x) for x in files.agg(F.count("*"), F.bit_xor(one), F.sum(one.cast("decimal(20,0)"))).first())
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` and committed."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+
+
 def materialised(spark: SparkSession, folder: str, snapshots: DataFrame, build) -> DataFrame:
     """The table built from exactly these snapshots: read if it was built before, else built and written."""
     path = f"{folder}/{snapshot_key(snapshots)}"
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+    if not complete(spark, path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
