@@ -205,12 +205,14 @@ def _pl(part: str):
 
 
 def _be_pack(df: DataFrame) -> Column:
-    by_name = first_match(column(df, "S_NAM"), [r"\b(\d+)\s*(?:tablets?|comprim[eé]s?|capsules?|g[ée]lules?|vials?|flacons?)\b", r"\b(?:x|pack of)\s*(\d+)\b"])
-    in_text = first_match(_both("RPT_PCK_LBL_FR", "RPT_PCK_LBL_NL")(df), [r"\b(\d+)\s+(?:comprim[eé]s?|tabletten?|capsules?|g[ée]lules?|flacons?|injectieflacons?|ampoules?)\b"])
+    by_name = first_match(column(df, "S_NAM"), BE_PACK_IN_NAME)
+    in_text = first_match(_both("RPT_PCK_LBL_FR", "RPT_PCK_LBL_NL")(df), BE_PACK_IN_LABEL)
     return F.coalesce(null_if_blank(column(df, "VOLUME_TOTAL")), by_name, in_text)
 
 
 # Headers of the published lists and the patterns that read their texts.
+BE_PACK_IN_NAME = [r"\b(\d+)\s*(?:tablets?|comprim[eé]s?|capsules?|g[ée]lules?|vials?|flacons?)\b", r"\b(?:x|pack of)\s*(\d+)\b"]
+BE_PACK_IN_LABEL = [r"\b(\d+)\s+(?:comprim[eé]s?|tabletten?|capsules?|g[ée]lules?|flacons?|injectieflacons?|ampoules?)\b"]
 COUNTRIES = {
     "IE": Country(
         "IE", "EUR", {"Drug Name": "product_name", "INN": "inn", "Strength Measure": "strength", "Pack Size": "pack_size", "Code": "product_code", "Non Proprietary Name": "manufacturer", "Reimbursement Price": "price"},

@@ -174,6 +174,10 @@ def test_files(spark, tmp_path):
     for _ in range(2):
         tables.materialised(spark, f"file://{tmp_path}/cache", snap, lambda: built.append(1) or snap).count()
     assert len(built) == 1
+    keys = [tables.files_key(spark, [f"file://{tmp_path}/in"]) for _ in range(2)]
+    (tmp_path / "in/c.csv").write_text("z")
+    assert keys[0] == keys[1] != tables.files_key(spark, [f"file://{tmp_path}/in"])
+    assert not tables.complete(spark, f"file://{tmp_path}/in")
     assert tables.read_records(spark, f"file://{tmp_path}/none", "price_amount string").count() == 0
 
 
