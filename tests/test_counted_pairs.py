@@ -4,8 +4,9 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from crosslane.operators import candidates
+from crosslane.operators import candidates, review
 from crosslane.plans import surrogate
+from crosslane.sources.tables import written
 
 RECORD = (
     "id string, country_code string, snapshot_date date, canonical_inn string, atc_code string, comparison_category string, form_class string, route string, strength_unit string, strength_value int, price_type string, "
@@ -37,3 +38,28 @@ def test_rows_do_not_grow_with_pairs(spark):
     """Ten times the records of the same kinds are a hundred times the pairs, and the same number of rows."""
     rows = [candidates.counted_pairs(_records(spark, n).drop("policy_id", "profile_id")).agg(F.count("*"), F.sum("n")).first() for n in (50_000, 500_000)]
     assert rows[1][0] <= rows[0][0] * 1.05 and 80 < rows[1][1] / rows[0][1] < 120
+
+
+def test_chains_of_counted_pairs_are_those_of_the_pairs(spark):
+    records, rates = _records(spark, 400).withColumns({"raw_record_id": F.concat(F.lit("r"), "id"), "unit_price": F.col("strength_price")}).cache(), surrogate.rates(spark)
+    n = F.col("id").cast("long")
+    rules, canonical = candidates.derivation_rules(records.where(n % 3 != 0)), records.where(n % 5 != 0)
+    lineage = records.where(n % 7 != 0).select("raw_record_id", F.concat(F.lit("d"), n % 4).alias("source_document_id"))
+    documents, profiles, policies = (spark.createDataFrame([(x,) for x in xs], "id string") for xs in (["d0", "d1", "d2"], ["f1"], ["p1"]))
+    one = written(candidates.candidates(records, rates), "one")
+    kept = lambda c: c.where("country_code_a <> 'AA'").select("id")
+    want = review.resolution(review.audit_links(one, kept(one), rules, profiles, policies, canonical, lineage, documents)).groupBy("resolved", "n_broken", "broken").agg(F.count("*").alias("n"))
+    chains = review.record_chains(records, rules, profiles, policies, canonical, lineage, documents)
+    counted = written(candidates.counted_pairs(records.join(written(chains, "chains"), "id"), ("lost",)), "counted")
+    got = review.counted_resolution(counted, kept(counted)).groupBy("resolved", "n_broken", "broken").agg(F.sum("n").alias("n"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 50
+
+
+def test_records_with_a_partner_are_the_sides_of_pairs(spark):
+    few = _records(spark, 60)
+    alone = few.where("id = '0'").withColumns({"id": F.lit("alone"), "canonical_inn": F.lit("q"), "atc_code": F.lit(None).cast("string")})
+    records = few.unionByName(alone).cache()
+    for same_quarter in (True, False):
+        p = candidates.pairs(records, same_quarter)
+        want = {r[0] for r in p.select("id_a").union(p.select("id_b")).distinct().collect()}
+        assert {r.id for r in candidates.with_partner(records, same_quarter).collect()} == want and want and "alone" not in want
