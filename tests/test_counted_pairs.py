@@ -63,3 +63,12 @@ def test_records_with_a_partner_are_the_sides_of_pairs(spark):
         p = candidates.pairs(records, same_quarter)
         want = {r[0] for r in p.select("id_a").union(p.select("id_b")).distinct().collect()}
         assert {r.id for r in candidates.with_partner(records, same_quarter).collect()} == want and want and "alone" not in want
+
+
+def test_molecule_of_reviews_that_carry_their_evidence(spark):
+    """The same rows as by joins with evidence and reviews, without a shuffle of pairs."""
+    rows = spark.createDataFrame([("1", "p", "q", "Gear", "AA", "BB", 1.5, None, 2.0, "usable"), ("2", "p", "r", "bolt", "AA", "CC", 1.0, 3.0, None, "usable")], "id string, id_a string, id_b string, canonical_inn_a string, country_code_a string, country_code_b string, price_amount_a double, price_amount_b double, price_ratio double, usability string")
+    e = rows.select(F.col("id").alias("candidate_id"), F.struct(F.struct(F.col("price_amount_a").alias("price_amount")).alias("a"), F.struct(F.col("price_amount_b").alias("price_amount")).alias("b")).alias("bundle"))
+    joined, carried = review.for_molecule(rows.drop("usability"), e, rows.select("id", "usability"), "gear"), review.for_molecule(rows, None, None, "gear")
+    assert carried.collect() == joined.collect() and carried.count() == 1
+    assert "Join" not in carried._jdf.queryExecution().optimizedPlan().toString()
