@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.forms import IE_NAME_FORMS, PL_NAME_FORMS, normalised_form
 from ..functions.molecules import first_per_key, resolve_identity
 from ..functions.scalars import atc_code, filled, first_label, first_match, joined_name, leading_pack, locale_decimal, null_if_blank, once, polish_name, retail_decimal, stable_id
+from ..sources.tables import by_texts
 from .policy import small
 
 REQUIRED = ("product_name", "strength", "dosage_form", "pack_size")
@@ -29,7 +30,8 @@ class Country:
     ``price`` is one lane named ``price_type``. ``skipped``: true for rows that are no priced medicine, which go without a
     trace. ``labels``: columns that name the active ingredient. ``form_from``: the text that the form rules read beside
     the form, else the product name. ``form_needed``: a form that isn't known is a missing one. ``by_code``: the molecule
-    is that of the row's code, else the first word of its name."""
+    is that of the row's code, else the first word of its name. ``texts``: all columns that ``derived`` and ``form_from`` read, which
+    are then read once for each distinct set of their values; None: not known, so every row is read."""
 
     code: str
     currency: str
@@ -51,6 +53,7 @@ class Country:
     vat_pattern: str | None = None
     vat: bool | None = None
     zero_is_anomaly: bool = False
+    texts: tuple[str, ...] | None = None
 
 
 def column(df: DataFrame, name: str) -> Column:
@@ -60,6 +63,11 @@ def column(df: DataFrame, name: str) -> Column:
 
 def mapped(raw: DataFrame, c: Country) -> DataFrame:
     """Canonical columns from the country's, empty ones derived; further columns stay for lineage and unpivoting."""
+    out = _derived(_listed(raw, c), c)
+    return out.withColumns({name: f(F.col(name)) for name, f in c.cleaned.items()})
+
+
+def _listed(raw: DataFrame, c: Country) -> DataFrame:
     for name, prefix in c.prefixes.items():
         raw = prefix_column(raw, prefix, name)
     if c.skipped:
@@ -70,10 +78,26 @@ def mapped(raw: DataFrame, c: Country) -> DataFrame:
         sources = [k for k, v in c.mapping.items() if v == t and k in raw.columns]
         if sources:
             clash[t] = F.coalesce(*[null_if_blank(F.col(f"`{k}`")) for k in sources])
-    out = raw.select(*[F.col(f"`{x}`") for x in raw.columns if x.lower() not in TARGETS], *[v.alias(k) for k, v in clash.items()], *[F.col(f"`{x}`").alias(f"_list_{x}") for x in raw.columns if x.lower() in TARGETS])
+    return raw.select(*[F.col(f"`{x}`") for x in raw.columns if x.lower() not in TARGETS], *[v.alias(k) for k, v in clash.items()], *[F.col(f"`{x}`").alias(f"_list_{x}") for x in raw.columns if x.lower() in TARGETS])
+
+
+def _derived(out: DataFrame, c: Country) -> DataFrame:
     for name, f in c.derived.items():
         out = out.withColumn(name, filled(F.col(name), f(out)))
-    return out.withColumns({name: f(F.col(name)) for name, f in c.cleaned.items()})
+    return out
+
+
+def read(raw: DataFrame, c: Country) -> DataFrame:
+    """``mapped`` rows with their form. Where the list says which texts are read (``texts``), each distinct set of them is read once."""
+    texts = c.texts if c.texts is not None or c.derived or c.form_from else ()
+    if texts is None:
+        return with_form(mapped(raw, c), c)
+    rows = _listed(raw, c)
+    asked = (*texts, *c.derived, "dosage_form", *([] if c.form_from else ["product_name"]))
+    given = [x for x in dict.fromkeys(asked) if x in rows.columns]
+    clean = lambda df, those: df.withColumns({n: f(F.col(n)) for n, f in c.cleaned.items() if those(n)})
+    rows = by_texts(rows, given, lambda t: with_form(clean(_derived(t, c), lambda n: n in given), c))
+    return clean(rows, lambda n: n not in given)
 
 
 def with_form(rows: DataFrame, c: Country) -> DataFrame:
@@ -111,7 +135,7 @@ def vat_flag(c: Country) -> Column:
 
 def judged(raw: DataFrame, c: Country) -> DataFrame:
     """Every lane of every raw row with price_amount, missing fields and ``reason`` (null where the row is good)."""
-    rows = long_prices(with_form(mapped(raw, c), c), c)
+    rows = long_prices(read(raw, c), c)
     amount = retail_decimal(F.col("price_text")) if c.retail else locale_decimal(F.col("price_text"), c.decimal)
     rows = once(rows, price_amount=amount).withColumn("missing", F.array_compact(F.array(*[F.when(null_if_blank(F.col(r)).isNull(), F.lit(r)) for r in REQUIRED])))
     zero = F.when(F.lit(c.zero_is_anomaly) & (F.col("price_amount") == 0), ZERO)
@@ -216,7 +240,7 @@ BE_PACK_IN_LABEL = [r"\b(\d+)\s+(?:comprim[eé]s?|tabletten?|capsules?|g[ée]lul
 COUNTRIES = {
     "IE": Country(
         "IE", "EUR", {"Drug Name": "product_name", "INN": "inn", "Strength Measure": "strength", "Pack Size": "pack_size", "Code": "product_code", "Non Proprietary Name": "manufacturer", "Reimbursement Price": "price"},
-        "Reimbursement Price", vat=False, zero_is_anomaly=True, derived={"dosage_form": lambda df: first_label(F.col("product_name"), list(IE_NAME_FORMS))},
+        "Reimbursement Price", vat=False, zero_is_anomaly=True, texts=("product_name",), derived={"dosage_form": lambda df: first_label(F.col("product_name"), list(IE_NAME_FORMS))},
     ),
     "FR": Country(
         "FR", "EUR",
@@ -226,12 +250,12 @@ COUNTRIES = {
     "PL": Country(
         "PL", "PLN", {"Substancja czynna": "inn", "Zawartość opakowania": "pack_size", "Numer GTIN lub inny kod jednoznacznie identyfikujący produkt": "product_code", "Numer GTIN": "product_code"},
         "Cena hurtowa brutto", separator=";", decimal=",", vat_pattern="brutto|detaliczna|urzędowa", prices=("Cena zbytu netto", "Urzędowa cena zbytu", "Cena hurtowa brutto", "Cena detaliczna"),
-        derived={"product_name": _pl("name"), "dosage_form": _pl("form"), "strength": _pl("strength")}, cleaned={"inn": F.lower}, form_from=_pl_text, form_needed=True,
+        derived={"product_name": _pl("name"), "dosage_form": _pl("form"), "strength": _pl("strength")}, cleaned={"inn": F.lower}, form_from=_pl_text, form_needed=True, texts=_PL_NAME,
     ),
     "ES": Country(
         "ES", "EUR",
         {"Código Nacional": "product_code", "Nombre del producto farmacéutico": "product_name", "Principio activo o asociación de principios activos": "inn", "Nombre del laboratorio ofertante": "manufacturer", "Precio de venta al público con IVA": "price"},
-        "Precio de venta al público con IVA", separator=";", retail=True, vat=True, skipped=lambda df: null_if_blank(column(df, "Tipo de fármaco")).isNull() | null_if_blank(column(df, "Precio de venta al público con IVA")).isNull(),
+        "Precio de venta al público con IVA", separator=";", retail=True, vat=True, texts=("product_name",), skipped=lambda df: null_if_blank(column(df, "Tipo de fármaco")).isNull() | null_if_blank(column(df, "Precio de venta al público con IVA")).isNull(),
         derived={
             "strength": _found("product_name", [r"(\d+(?:[,.]\d+)?\s*(?:mg/ml|mg|microgramos|mcg|g|%))"], True),
             "pack_size": _found("product_name", [r",\s*(\d+)\s+comprimidos?", r"\b(\d+)\s+comprimidos?", r"\b(\d+)\s+c[aá]psulas?", r"\b(\d+)\s+frascos?", r"\b(\d+)\s+viales?"]),
@@ -240,7 +264,7 @@ COUNTRIES = {
     ),
     "IT": Country(
         "IT", "EUR", {"AIC": "product_code", "Denominazione e Confezione": "product_name", "Principio Attivo": "inn", "Titolare AIC": "manufacturer", "Prezzo al pubblico": "price"},
-        "Prezzo al pubblico", separator=";", encoding="ISO-8859-1", retail=True, vat=True, prefixes={"Prezzo al pubblico": "Prezzo al pubblico"},
+        "Prezzo al pubblico", separator=";", encoding="ISO-8859-1", retail=True, vat=True, texts=("product_name", "Descrizione Gruppo"), prefixes={"Prezzo al pubblico": "Prezzo al pubblico"},
         derived={
             "strength": _found("Descrizione Gruppo", [r"\b(\d+(?:[,.]\d+)?\s*(?:MG/ML|MG|MCG|G|%))\b"], True),
             "pack_size": _found("Descrizione Gruppo", [r"\b(\d+)\s+UNITA'"]),
@@ -249,7 +273,7 @@ COUNTRIES = {
     ),
     "PT": Country(
         "PT", "EUR", {"Nome do Medicamento": "product_name", "Substância Ativa/DCI": "inn", "Forma Farmacêutica": "dosage_form", "Dosagem": "strength", "Titular de AIM": "manufacturer", "Código": "product_code", "PVP": "price"},
-        "PVP", separator=";", retail=True, vat=True,
+        "PVP", separator=";", retail=True, vat=True, texts=("Apresentação", "ATC"),
         derived={
             "pack_size": _found("Apresentação", [r"\b(\d+)\s+comprimidos?", r"\b(\d+)\s+c[aá]psulas?", r"\b(\d+)\s+frascos?", r"\b(\d+)\s+seringas?", r"\b(\d+)\s+unidade"]),
             "atc_code": lambda df: atc_code(column(df, "ATC")),
@@ -257,12 +281,12 @@ COUNTRIES = {
     ),
     "CZ": Country(
         "CZ", "CZK", {"kodSUKL": "product_code", "nazev": "product_name", "sila": "strength", "lekovaFormaKod": "dosage_form", "ATCkod": "atc_code"},
-        "cenaPuvodce", prices=("cenaPuvodce", "maxCenaLekarna"), vat_pattern="maxcenalekarna", by_code=True, form_needed=True, form_from=lambda df: F.lit(None).cast("string"),
+        "cenaPuvodce", prices=("cenaPuvodce", "maxCenaLekarna"), vat_pattern="maxcenalekarna", by_code=True, form_needed=True, texts=("baleni",), form_from=lambda df: F.lit(None).cast("string"),
         skipped=lambda df: F.coalesce(null_if_blank(column(df, "cenaPuvodce")), F.lit("0")).isin("0", "0.0"), derived={"pack_size": lambda df: leading_pack(column(df, "baleni"))}, cleaned={"strength": F.upper},
     ),
     "BE": Country(
         "BE", "EUR", {"F_ORGA": "manufacturer", "S_COD": "product_code", "ATC_COD": "atc_code", "SI_CONC_NOM": "strength", "SPB_PRICE": "price", "INN": "inn", "INN_NAM": "inn", "DCI": "inn", "SUBSTANCE": "inn"},
-        "SPB_PRICE", retail=True, vat=False, labels=("B_LBL_FR", "B_LBL_NL"), skipped=lambda df: null_if_blank(column(df, "SPB_PRICE")).isNull(),
+        "SPB_PRICE", retail=True, vat=False, labels=("B_LBL_FR", "B_LBL_NL"), texts=("S_NAM", "S_NAM_SPECIF", "VOLUME_TOTAL", "RPT_PCK_LBL_FR", "RPT_PCK_LBL_NL"), skipped=lambda df: null_if_blank(column(df, "SPB_PRICE")).isNull(),
         derived={
             "product_name": lambda df: F.nullif(joined_name(column(df, "S_NAM"), column(df, "S_NAM_SPECIF")), F.lit("")),
             "strength": _found("S_NAM", [r"(\d+(?:[,.]\d+)?\s*(?:mg/ml|mg|microgram|mcg|g|%))"], True),

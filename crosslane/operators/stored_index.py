@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.molecules import product_type
 from ..sources import archive
+from ..sources.tables import by_texts
 from .lanes import in_euro, snapshot_index
 
 #: What is kept of a row, and the number of rows that a snapshot had.
@@ -44,7 +46,10 @@ def add(records: DataFrame, policies: DataFrame, profiles: DataFrame, path: str)
     """Judge the snapshots in ``records`` and add them. A snapshot of which a gate leaves no row is marked as judged as well.
     One that is there already is refused (archive.SnapshotExists)."""
     kinds = [x.split() for x in ROW.split(", ")]
-    rows = snapshot_index(records, policies, profiles).select(*[F.col(n).cast(k) for n, k in kinds], *archive.KEYS)
+    # Brand or generic is told once for each name and molecule.
+    kind = product_type(F.col("product_name"), F.col("canonical_inn"))["type"]
+    typed = by_texts(records, ["product_name", "canonical_inn"], lambda t: t.withColumn("product_type", kind))
+    rows = snapshot_index(typed, policies, profiles).select(*[F.col(n).cast(k) for n, k in kinds], *archive.KEYS)
     return archive.commit({"index": rows, "judged": records.groupBy(*archive.KEYS).agg(F.count("*").alias("n_records"))}, path)
 
 
