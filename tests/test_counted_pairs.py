@@ -72,3 +72,14 @@ def test_molecule_of_reviews_that_carry_their_evidence(spark):
     joined, carried = review.for_molecule(rows.drop("usability"), e, rows.select("id", "usability"), "gear"), review.for_molecule(rows, None, None, "gear")
     assert carried.collect() == joined.collect() and carried.count() == 1
     assert "Join" not in carried._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ends_of_ratios_are_those_of_the_pairs(spark):
+    """Counts, least and greatest ratio as pairs one by one have them, whatever packs the ends of prices have; and no row for a pair."""
+    rates = surrogate.rates(spark)
+    records = _records(spark, 600).withColumn("strength_price", F.when(F.col("strength_price") > 1, F.col("strength_price") + F.pmod(F.xxhash64("id"), F.lit(97)) / 7).otherwise(F.col("strength_price")).cast("decimal(38,20)")).cache()
+    by = ["country_code_a", "country_code_b", "snapshot_date_a", "snapshot_date_b", "identity_confidence"]
+    for same_quarter in (True, False):
+        one = candidates.candidates(records, rates, same_quarter).groupBy(*by).agg(F.count("*").alias("n"), F.min("price_ratio").alias("lowest"), F.max("price_ratio").alias("highest"))
+        got = candidates.extreme_pairs(records, rates, same_quarter).select(*one.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, one.collect())) and got.count() > 10
