@@ -3,7 +3,9 @@
 Two texts link when their sets of shingles overlap by ``num / den`` of their union at least. A linked
 pair shares one of the rarest shingles of either text (as many as may be missing from the overlap, and
 one more), so inverted lists of those alone, built by one shuffle, bring every linked pair into one
-coarse block. Blocks then hold each text's whole set once and are searched with DivideSkip: the
+coarse block. Texts that only have a passage in common would connect blocks that have nothing to do with one
+another, the more the larger the table is: the sets that have company in these lists are listed again by half of their
+shingles, and only those that keep it there are put into blocks, by lists of their own. Blocks then hold each text's whole set once and are searched with DivideSkip: the
 shortest lists of a text are merged by a heap, the longest only probed by binary search for what
 the merge left. A text that is in a group already isn't compared with the rest of that group, so
 a group of near copies costs far fewer than all its pairs, and only one link for each text is kept.
@@ -27,9 +29,13 @@ from .work import spread, with_group, with_row_keys, without, written
 
 WIDTH, NUM, DEN = 4, 85, 100
 #: Cells and rows of the sketch of shingle frequencies, cells of one stored piece of it.
-CELLS, ROWS, PIECE = 1 << 22, 2, 1 << 16
+CELLS, ROWS, PIECE = 1 << 20, 2, 1 << 16
 #: Share of a text's shingles that its prefix holds beyond what may be missing from an overlap.
 SPARE_NUM, SPARE_DEN = 1, 20
+#: The same where sets that have had company are listed again.
+AGAIN_NUM, AGAIN_DEN = 7, 20
+#: Most sets of blocks that are broadcast, of a few dozen bytes each.
+MOST_WANTED = 500_000
 #: Most shingles in a block that is searched at once; larger ones are searched tile by tile.
 BLOCK_SHINGLES = 4_000_000
 #: Bits of the filter of texts that are in a block; set keys that a task remembers.
@@ -72,15 +78,36 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
             if n:
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(sizes), pa.int64()), pa.array(np.concatenate(keys), pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=["id", "n", "key", "piece", "counts"])
         if some:
-            for k in range(ROWS * CELLS // PIECE):
-                row, at = divmod(k * PIECE, CELLS)
-                part = counts[row][at : at + PIECE]
-                if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([zlib.compress(part.astype(np.uint64).tobytes(), 1)], pa.binary())], names=["id", "n", "key", "piece", "counts"])
+            for k, part in _pieces(counts):
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([part], pa.binary())], names=["id", "n", "key", "piece", "counts"])
 
     return docs.mapInArrow(run, f"id {docs.schema[0].dataType.simpleString()}, n long, key long, piece int, counts binary")
 
 
+def _counted_cells(sets: DataFrame, bits) -> DataFrame:
+    """(piece, counts): the tasks' counts for the sketch of the sets (key, n, shingles) that the bitmap lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [np.zeros(CELLS, np.uint32) for _ in range(ROWS)]
+        for batch in batches:
+            hashes, _, _ = _let_through(batch, bits.value)
+            for row, cells in zip(counts, _cells(hashes), strict=True):
+                np.add.at(row, cells, 1)
+        for k, part in _pieces(counts):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.binary())], names=["piece", "counts"])
+
+    return sets.mapInArrow(run, "piece int, counts binary")
+
+
+def _pieces(counts: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
+    """The pieces of a task's counts that aren't all zero."""
+    for k in range(ROWS * CELLS // PIECE):
+        row, at = divmod(k * PIECE, CELLS)
+        part = counts[row][at : at + PIECE]
+        if part.any():
+            yield k, zlib.compress(part.astype(np.uint64).tobytes(), 1)
+
+
 def _added(pieces: DataFrame, by: list[str], level: bool) -> DataFrame:
     """(piece, counts) of ``pieces``, added up for each of the keys ``by``; as levels where it is the last step."""
 
@@ -123,6 +150,11 @@ def missing_at_most(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return n - -(-n * num // den)
 
 
+def kept_again(n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """``kept_back`` where sets are listed again: at most the least overlap, of which nothing more could be shared."""
+    return np.maximum(1, np.minimum(n * AGAIN_NUM // AGAIN_DEN, -(-n * num // den)))
+
+
 def kept_back(n):
     """Of its rarest shingles, how many a text of n shingles has in its prefix beyond the one that a link needs at least.
 
@@ -149,21 +181,44 @@ def _postings(docs: DataFrame, width: int, num: int, den: int, levels) -> DataFr
                     seen.clear()
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 use = fresh[owner]
-                hashes, owner = hashes[use], owner[use]
-                rank = np.min([row[c] for row, c in zip(level, _cells(hashes), strict=True)], axis=0) if len(hashes) else np.zeros(0, np.uint8)
-                order = np.lexsort((hashes, rank, owner))
-                hashes, owner = hashes[order], owner[order]
-                kept = np.where(fresh, sizes, 0)
-                place = np.arange(len(owner)) - np.repeat(np.cumsum(kept) - kept, kept)
-                head = place < (missing_at_most(sizes, num, den) + kept_back(sizes))[owner]
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[head].view(_SIGNED)), pa.array(keys[owner[head]]), pa.array(sizes[owner[head]], pa.int64())], names=["token", "key", "n"])
+                yield _prefixes(hashes[use], np.diff(bounds)[fresh], keys[fresh], level, missing_at_most(sizes, num, den)[fresh] + kept_back(sizes)[fresh])
 
     return docs.select(docs.columns[1]).mapInArrow(run, "token long, key long, n long")
 
 
-def _chains(postings: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b, c): each set of an inverted list with the first one of its stretch, and with null b, in how many lists the set
-    has company. A stretch ends where sizes are too far apart to link."""
+def _prefixes(hashes: np.ndarray, sizes: np.ndarray, keys: np.ndarray, level: np.ndarray, most: np.ndarray) -> pa.RecordBatch:
+    """(token, key, n): of each set the ``most`` rarest of its shingles, which follow one another in ``hashes``."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    rank = np.min([row[c] for row, c in zip(level, _cells(hashes), strict=True)], axis=0) if len(hashes) else np.zeros(0, np.uint8)
+    order = np.lexsort((hashes, rank, owner))
+    hashes = hashes[order]
+    head = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) < most[owner]
+    return pa.RecordBatch.from_arrays([pa.array(hashes[head].view(_SIGNED)), pa.array(keys[owner[head]]), pa.array(sizes[owner[head]], pa.int64())], names=["token", "key", "n"])
+
+
+def _let_through(batch: pa.RecordBatch, field: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shingles, sizes and keys of the sets (key, n, shingles) that a bitmap lets through."""
+    keys = batch.column(0).to_numpy()
+    at = _bit_place(keys)
+    want = ((field[at >> 3] >> (at & 7)) & 1).astype(bool)
+    blobs = [x for x, w in zip(batch.column(2).to_pylist(), want.tolist(), strict=True) if w]
+    return np.frombuffer(b"".join(blobs), np.uint64), batch.column(1).to_numpy()[want], keys[want]
+
+
+def _set_postings(sets: DataFrame, num: int, den: int, levels, bits, kept) -> DataFrame:
+    """``_postings`` of the sets (key, n, shingles) that the bitmap lets through; ``kept`` is what a prefix keeps back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, sizes, keys = _let_through(batch, bits.value)
+            yield _prefixes(hashes, sizes, keys, levels.value, missing_at_most(sizes, num, den) + kept(sizes))
+
+    return sets.mapInArrow(run, "token long, key long, n long")
+
+
+def _chains(postings: DataFrame, num: int, den: int, edges: bool = True) -> DataFrame:
+    """(a, b, c): each set of an inverted list with the first one of its stretch (where ``edges`` are asked for), and with null b, in how
+    many lists the set has company. A stretch ends where sizes are too far apart to link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # token, size, set, head and length of the stretch so far
@@ -188,7 +243,7 @@ def _chains(postings: DataFrame, num: int, den: int) -> DataFrame:
                 single = [last[3]] if last[4] == 1 else []
                 size[0] += last[4]
             last = (token[-1], n[-1], key[-1], head[-1], size[-1])
-            edge = head != key
+            edge = (head != key) & edges
             pairs = np.unique(np.column_stack([key[edge], head[edge]]), axis=0)
             has, times = np.unique(np.concatenate([key[company], np.array(single, key.dtype)]), return_counts=True)
             b = pa.concat_arrays([pa.array(pairs[:, 1]), pa.nulls(len(has), pa.int64())])
@@ -349,22 +404,36 @@ def _search(blocks: DataFrame, num: int, den: int) -> DataFrame:
     return blocks.select(*by, "key", "shingles").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long")
 
 
+def _company(chains: DataFrame, size: DataFrame, least) -> DataFrame:
+    """(key, n) of the sets that have company in so many lists as ``least`` says of the smallest text that they can link with."""
+    return chains.where("b is null").select(F.col("a").alias("key"), "c").join(size, "key").where(F.col("c") >= least).select("key", "n")
+
+
 def linked_sets(docs: DataFrame, profiles: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(key, root) of the sets that link with another one; ``docs`` has the columns id and text."""
-    spark = docs.sparkSession
-    levels = spark.sparkContext.broadcast(_levels(profiles.where(F.col("piece").isNotNull())))
-    chains = written(_chains(_postings(docs, width, num, den, levels), num, den), "chains")
-    coarse = components(chains.where("b is not null").select("a", "b"))
+    send = docs.sparkSession.sparkContext.broadcast
+    levels = send(_levels(profiles.where(F.col("piece").isNotNull())))
     size = profiles.where("n > 0").groupBy("key").agg(F.max("n").alias("n"))
     # The smallest text that a set of n can link with has n * num / den shingles, rounded up.
     # Only sets with enough company are worth comparing, and only with another such set of their block.
-    least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * num / den) * SPARE_NUM / SPARE_DEN))
-    able = chains.where("b is null").select(F.col("a").alias("key"), "c").join(size, "key").where(F.col("c") >= least).join(coarse, "key").select("key", "n", "root")
-    able = written(able, "able")
+    smallest = F.ceil(F.col("n") * num / den)
+    least = F.greatest(F.lit(1), F.floor(smallest * SPARE_NUM / SPARE_DEN))
+    able = written(_company(_chains(_postings(docs, width, num, den, levels), num, den, edges=False), size, least), "able")
+    sets = written(_sets(docs, width, send(_filter(able))).dropDuplicates(["key"]), "sets")
+    # A passage in common gives company in few lists of half of all shingles, whatever the sketch knows of its frequency.
+    again = F.greatest(F.lit(1), F.least(F.floor(smallest * AGAIN_NUM / AGAIN_DEN), F.ceil(smallest * num / den)))
+    listed = _set_postings(sets, num, den, levels, send(_filter(able)), lambda n: kept_again(n, num, den))
+    able = written(_company(_chains(listed, num, den, edges=False), able, again), "able")
+    # Blocks come from lists of what is left, by a sketch of its own.
+    bits = send(_filter(able))
+    levels = send(_levels(_counted_cells(sets, bits)))
+    chains = written(_chains(_set_postings(sets, num, den, levels, bits, kept_back), num, den), "chains")
+    coarse = components(chains.where("b is not null").select("a", "b"))
+    able = written(_company(chains, able, least).join(coarse, "key"), "able")
     blocks = able.groupBy("root").agg(F.count("*").alias("sets"), F.sum("n").alias("all")).where("sets > 1")
     wanted = written(able.join(blocks, "root").select("key", "root", F.ceil(2 * F.col("all") / BLOCK_SHINGLES).cast("int").alias("m"), (F.col("all") > BLOCK_SHINGLES).alias("large")), "wanted")
-    bits = spark.sparkContext.broadcast(_filter(wanted))
-    sets = _sets(docs, width, bits).dropDuplicates(["key"]).join(wanted, "key")
+    few = wanted.limit(MOST_WANTED + 1).count() <= MOST_WANTED
+    sets = sets.join(F.broadcast(wanted) if few else wanted, "key")
     if not wanted.where("large").limit(1).count():
         return components(_search(sets.withColumns({"i": F.lit(0), "j": F.lit(0)}), num, den))
     # A large block is dealt to parts; every two parts meet in a tile.
