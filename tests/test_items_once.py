@@ -41,5 +41,5 @@ def test_pairs_that_are_not_added_up_give_the_same_sums(spark):
 
 def test_caveats_are_added_up_before_any_shuffle_of_pairs(spark):
     """The only exchange by hash behind the pairs is that of the few caveats; joins of classes are the others."""
-    for query in (rule_queries.code_pairs,):
+    for query in (rule_queries.code_pairs, rule_queries.candidate_caveats):
         assert not [x for x in _exchanges(query(spark, DATA)) if "identity_reason" in x or "form_confidence_a" in x]
