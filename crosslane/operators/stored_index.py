@@ -42,15 +42,15 @@ def missing(spark: SparkSession, path: str, asked: list[tuple[str, str]]) -> lis
     return [x for x in asked if _folder(*x) not in there]
 
 
-def add(records: DataFrame, policies: DataFrame, profiles: DataFrame, path: str) -> list[str]:
+def add(records: DataFrame, policies: DataFrame, profiles: DataFrame, path: str, one: bool = False) -> list[str]:
     """Judge the snapshots in ``records`` and add them. A snapshot of which a gate leaves no row is marked as judged as well.
-    One that is there already is refused (archive.SnapshotExists)."""
+    One that is there already is refused (archive.SnapshotExists). ``one``: all records are of one snapshot."""
     kinds = [x.split() for x in ROW.split(", ")]
     # Brand or generic is told once for each name and molecule.
     kind = product_type(F.col("product_name"), F.col("canonical_inn"))["type"]
     typed = by_texts(records, ["product_name", "canonical_inn"], lambda t: t.withColumn("product_type", kind))
     rows = snapshot_index(typed, policies, profiles).select(*[F.col(n).cast(k) for n, k in kinds], *archive.KEYS)
-    return archive.commit({"index": rows, "judged": records.groupBy(*archive.KEYS).agg(F.count("*").alias("n_records"))}, path)
+    return archive.commit({"index": rows, "judged": records.groupBy(*archive.KEYS).agg(F.count("*").alias("n_records"))}, path, one)
 
 
 def read(spark: SparkSession, path: str, rates: DataFrame, fx_date: Column | None = None, countries: list[str] | None = None) -> DataFrame:

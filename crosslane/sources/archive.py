@@ -34,20 +34,27 @@ def _dated(fs, at, folder: str) -> list[str]:
     return sorted("/".join(s.getPath().toString().rstrip("/").rsplit("/", 2)[1:]) for s in found)
 
 
-def commit(tables: dict[str, DataFrame], path: str) -> list[str]:
+def commit(tables: dict[str, DataFrame], path: str, one: bool = False) -> list[str]:
     """Add the snapshots of ``tables`` (name: rows with country_code and snapshot_date) to the archive; their folders, in order.
 
     If any of the snapshots is there already, SnapshotExists is raised and nothing is added. A snapshot of very many rows
-    becomes several files: Spark splits what is too large and joins what is too small for one. Of two writers of one snapshot
+    becomes several files: Spark splits what is too large and joins what is too small for one. Where ``one`` says that all rows are of one snapshot
+    they are written as they lie, by a few tasks, and aren't shuffled. Of two writers of one snapshot
     the second fails at its rename. Empty tables add nothing.
     """
     spark = next(iter(tables.values())).sparkSession
     files, at, fs = _files(spark, path)
     staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     plain = spark.sparkContext._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    if one:  # a snapshot that is there is refused before anything is written, where its first row tells it
+        told = [r for r in (rows.select(*[F.col(k).cast("string") for k in KEYS]).first() for rows in tables.values()) if r]
+        there = {d for d in ("/".join(f"{k}={r[k]}" for k in KEYS) for r in told) if fs.exists(at(f"{path}/{d}"))}
+        if there:
+            raise SnapshotExists(f"in the archive already: {', '.join(sorted(there))}")
     try:
         for name, rows in tables.items():
-            rows.hint("rebalance", *KEYS).write.partitionBy(*KEYS).parquet(f"{staging}/{name}")
+            dealt = rows.coalesce(4 * spark.sparkContext.defaultParallelism) if one else rows.hint("rebalance", *KEYS)
+            dealt.write.partitionBy(*KEYS).parquet(f"{staging}/{name}", compression="zstd")
         whole: dict[str, list[str]] = {}
         for name in tables:
             for dated in _dated(fs, at, f"{staging}/{name}"):
