@@ -19,9 +19,16 @@ def _of(values: dict[str, str]):
     return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("dosage_form"))
 
 
-def _lists(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """One raw list for each country, in its own headers. Rows of price type R have no readable price (none at all in ES, BE and CZ)."""
-    o = s.observations(spark, d).select("*", F.split("strength", " ")[0].alias("mg"), F.split("pack_size", " ")[0].alias("units"), F.col("price_amount").cast("decimal(18,2)").cast("string").alias("p"))
+#: What lists read of an observation.
+_LISTED = ("product_name", "inn", "strength", "pack_size", "dosage_form", "price_type", "price_amount", "manufacturer", "product_code", "tax")
+
+
+def _lists(spark: SparkSession, d: str, several: bool = True) -> dict[str, DataFrame]:
+    """One raw list for each country, in its own headers. Rows of price type R have no readable price (none at all in ES, BE and CZ).
+    Where ``several`` are read, line items meet their parts once for all of them."""
+    o = s.observations(spark, d).select(*_LISTED)
+    o = tables.few_files(o, "listed") if several else o
+    o = o.select("*", F.split("strength", " ")[0].alias("mg"), F.split("pack_size", " ")[0].alias("units"), F.col("price_amount").cast("decimal(18,2)").cast("string").alias("p"))
     good = F.col("price_type") != "R"
     dot, comma = F.col("p"), F.replace("p", F.lit("."), F.lit(","))
     word = lambda t: F.upper(t)
@@ -44,25 +51,27 @@ def _lists(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     }
 
 
-def _read_back(spark: SparkSession, code: str, raw: DataFrame) -> DataFrame:
-    """The list written in the country's format and read again (the register of CZ as JSON lines with failed requests)."""
+def _read_back(spark: SparkSession, code: str, raw: DataFrame) -> tuple[DataFrame, str]:
+    """The list written in the country's format, compressed, and read again (the register of CZ as JSON lines with failed requests); its
+    folder, which is the caller's to drop."""
     path, c = tables.shared_path(spark, f"list-{code}"), canonical.COUNTRIES[code]
     if code == "CZ":
-        raw.write.json(path)
-        return tables.read_json_records(spark, path, ", ".join(f"`{x}` string" for x in raw.columns if x != "_error"), "cenaPuvodce")
-    raw.write.csv(path, header=True, sep=c.separator, encoding=c.encoding, quote='"', escape='"')
-    return tables.read_delimited(spark, path, raw.columns, c.separator, c.encoding)
+        raw.write.json(path, compression="gzip")
+        return tables.read_json_records(spark, path, ", ".join(f"`{x}` string" for x in raw.columns if x != "_error"), "cenaPuvodce"), path
+    raw.write.csv(path, header=True, sep=c.separator, encoding=c.encoding, quote='"', escape='"', compression="gzip")
+    return tables.read_delimited(spark, path, raw.columns, c.separator, c.encoding), path
 
 
-def _judged(spark: SparkSession, d: str) -> DataFrame:
+def _of_lists(spark: SparkSession, d: str, found) -> DataFrame:
+    """What ``found`` tells of the judged rows of each list, together. Each list is a job of its own, as it comes in: it is dropped when
+    what was found is written, so the disk holds one list."""
     words = molecules.dictionary(s.atc(spark))
     out = None
     for code, raw in _lists(spark, d).items():
         c = canonical.COUNTRIES[code]
-        j = canonical.named(canonical.judged(_read_back(spark, code, raw), c), c, words)
-        j = j.select("country_code", "price_type", "product_name", F.lower("inn").alias("inn"), "atc_code", "strength", "pack_size", "dosage_form", "route_of_administration", "price_amount", "price_currency", "price_includes_vat", "manufacturer", "product_code", "reason")
-        # Each list is a job of its own, as it comes in.
-        j = tables.written(j, f"canonical-{code}")
+        back, path = _read_back(spark, code, raw)
+        j = tables.written(found(canonical.named(canonical.judged(back, c), c, words).withColumn("inn", F.lower("inn"))), f"canonical-{code}")
+        tables.dropped(spark, path)
         out = j if out is None else out.unionByName(j)
     return out
 
@@ -94,19 +103,19 @@ w AS (SELECT * FROM ie UNION ALL SELECT * FROM fr UNION ALL SELECT * FROM pl UNI
 @query(f"""WITH {_WANT} SELECT country_code, price_type, inn, atc_code, strength, dosage_form, route, vat, ccy, reason, count(*) AS n, min(pack_size) AS least_pack, max(pack_size) AS most_pack, min(product_name) AS first_name, max(product_name) AS last_name, CAST(sum(price_amount) AS DECIMAL(38,2)) AS total FROM w GROUP BY ALL""")
 def canonical_by_country(spark, d):
     """Every country's list in its own format, read and judged."""
-    j = _judged(spark, d)
     keys = ["country_code", "price_type", "inn", "atc_code", "strength", "dosage_form", F.col("route_of_administration").alias("route"), F.col("price_includes_vat").alias("vat"), F.col("price_currency").alias("ccy"), "reason"]
     ends = [f(c).alias(n) for f, c, n in ((F.min, "pack_size", "least_pack"), (F.max, "pack_size", "most_pack"), (F.min, "product_name", "first_name"), (F.max, "product_name", "last_name"))]
-    return j.groupBy(*keys).agg(F.count("*").alias("n"), *ends, F.sum("price_amount").cast("decimal(38,2)").alias("total"))
+    # A list has one country, so its groups are its own.
+    return _of_lists(spark, d, lambda j: j.groupBy(*keys).agg(F.count("*").alias("n"), *ends, F.sum("price_amount").cast("decimal(38,2)").alias("total")))
 
 
 def _numbered(spark: SparkSession, d: str) -> DataFrame:
     """The list of IE, each row once, with a row_index."""
-    return _lists(spark, d)["IE"].dropDuplicates(["Code", "Drug Name", "Pack Size", "Reimbursement Price"]).withColumn("row_index", F.xxhash64("Code", "Drug Name", "Pack Size", "Reimbursement Price"))
+    return _lists(spark, d, several=False)["IE"].dropDuplicates(["Code", "Drug Name", "Pack Size", "Reimbursement Price"]).withColumn("row_index", F.xxhash64("Code", "Drug Name", "Pack Size", "Reimbursement Price"))
 
 
 def _snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    raw = _lists(spark, d)["IE"].withColumn("row_index", F.xxhash64("Code", "Drug Name", "Pack Size", "Reimbursement Price"))
+    raw = _lists(spark, d, several=False)["IE"].withColumn("row_index", F.xxhash64("Code", "Drug Name", "Pack Size", "Reimbursement Price"))
     return canonical.canonical(raw, canonical.COUNTRIES["IE"], F.expr(_DAY), F.lit("doc-ie"))
 
 
@@ -120,7 +129,7 @@ def snapshot_outputs(spark, d):
     """Canonical rows and lineage committed as a snapshot and read back, the country and date taken from the files' paths."""
     good, _, lineage = _snapshots(spark, d)
     path = tables.shared_path(spark, "snapshots")
-    archive.commit({"canonical": good.withColumn("price_amount", F.col("price_amount").cast("string")), "lineage": lineage}, path)
+    archive.commit({"canonical": good.withColumn("price_amount", F.col("price_amount").cast("string")), "lineage": lineage}, path, one=True)
     back = archive.read(spark, path, "canonical", _fields(good.withColumn("price_amount", F.lit("")))).withColumn("price_amount", F.col("price_amount").try_cast("decimal(18,6)"))
     back = tables.with_path_value(tables.with_path_value(back, "country_code=([A-Z]+)", "country").drop("file_name"), "snapshot_date=([0-9-]+)", "day")
     traced = archive.read(spark, path, "lineage", _fields(lineage)).select(F.col("canonical_id").alias("id")).distinct().withColumn("traced", F.lit(1))
@@ -132,7 +141,8 @@ SELECT 'IE' AS country_code, day AS snapshot_date, (SELECT count(*) FROM raw) AS
 def snapshot_archive(spark, d):
     """A list of one date is added to the archive, then that of another date; the first one again is refused. Of each snapshot the
     raw, canonical and anomaly rows that are there afterwards, and the raw rows whose stored fields have a price of zero."""
-    raw, path = _numbered(spark, d), tables.shared_path(spark, "archive")
+    # Each table of each snapshot reads the list, so rows are made distinct once.
+    raw, path = tables.few_files(_numbered(spark, d), "numbered"), tables.shared_path(spark, "archive")
 
     def add(day: str) -> bool:
         date, document = F.lit(day).cast("date"), F.lit(f"doc-ie-{day}")
@@ -140,7 +150,7 @@ def snapshot_archive(spark, d):
         parts = {"raw": archive.raw_records(raw, "IE", date, document), "canonical": good, "anomalies": bad, "lineage": lineage}
         kinds.update({n: _fields(p) for n, p in parts.items()})
         try:
-            archive.commit(parts, path)
+            archive.commit(parts, path, one=True)
         except archive.SnapshotExists:
             return False
         return True
@@ -187,14 +197,17 @@ def index_by_snapshot(spark, d):
 
     def records(code: str) -> DataFrame:
         c = canonical.COUNTRIES[code]
-        j = canonical.named(canonical.judged(_read_back(spark, code, lists[code]), c), c, words).where("reason is null")
+        back, folder = _read_back(spark, code, lists[code])
+        j = canonical.named(canonical.judged(back, c), c, words).where("reason is null")
         row = F.concat_ws("|", "product_code", "product_name", "pack_size", "price_text", "price_type")
-        return tables.written(j.select(F.sha2(row, 256).alias("id"), F.sha2(row, 256).alias("raw_record_id"), "country_code", F.lit(days[code]).cast("date").alias("snapshot_date"), "product_name", F.lower("inn").alias("canonical_inn"), "strength", "pack_size", "price_type", "price_amount", "price_currency", F.col("dosage_form").alias("form_class"), F.col("route_of_administration").alias("route")), f"records-{code}")
+        made = tables.written(j.select(F.sha2(row, 256).alias("id"), "country_code", F.lit(days[code]).cast("date").alias("snapshot_date"), "product_name", F.lower("inn").alias("canonical_inn"), "strength", "pack_size", "price_type", "price_amount", "price_currency", F.col("dosage_form").alias("form_class"), F.col("route_of_administration").alias("route")), f"records-{code}")
+        tables.dropped(spark, folder)
+        return made.withColumn("raw_record_id", F.col("id"))
 
     for some in (("IE", "PL"), ("ES",), ("IT",)):
         for country, _ in stored_index.missing(spark, path, [(c, days[c]) for c in some]):
             own = records(country)
-            stored_index.add(own, policies, quality.plausibility(quality.numeric_profile(own, "price_amount", quality.SNAPSHOT)), path)
+            stored_index.add(own, policies, quality.plausibility(quality.numeric_profile(own, "price_amount", quality.SNAPSHOT)), path, one=True)
     i = stored_index.read(spark, path, s.rates(spark))
     product = F.concat_ws("|", "canonical_inn", F.col("strength_value").cast("decimal(18,1)").cast("string"), "form_class", "route")
     eur = F.round(F.sum(F.col("eur_per_strength").cast("double")) + 3.14159265e-9, 2)
