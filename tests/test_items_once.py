@@ -43,3 +43,16 @@ def test_caveats_are_added_up_before_any_shuffle_of_pairs(spark):
     """The only exchange by hash behind the pairs is that of the few caveats; joins of classes are the others."""
     for query in (rule_queries.code_pairs, rule_queries.candidate_caveats):
         assert not [x for x in _exchanges(query(spark, DATA)) if "identity_reason" in x or "form_confidence_a" in x]
+
+
+def test_records_are_not_shuffled_to_meet_their_partners(spark):
+    records = queries._candidate_records(spark, DATA)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        used = candidates.with_partner(records, same_quarter=True)
+        assert _exchanges(used) == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    pairs = candidates.pairs(records, same_quarter=True)
+    sides = pairs.select(F.col("id_a").alias("id")).union(pairs.select("id_b")).distinct()
+    assert used.count() == sides.count() and used.join(sides, "id", "left_anti").isEmpty()
